@@ -278,3 +278,144 @@ SQL: dict[str, str] = {
         WHERE (sp.x, sp.y) IN (SELECT (x, y) FROM rel)
         GROUP BY sp.date_time, rel.element_nr, rel.bez""",
 }
+
+
+# --- Models -----------------------------------------------------------------------------------
+def fixed_model(first: str, second: str, third: str) -> str:
+    """The fixed model's prediction, with its three tests as SQL conditions."""
+    raw = f"""10.0 + CASE WHEN {first} THEN CASE WHEN {second} THEN 12.5 ELSE -30.25 END ELSE 4.0 END
+        + CASE WHEN {third} THEN -3.5 ELSE 8.0 END"""
+    return f"greatest(CAST({raw} AS DOUBLE), 0)"
+
+
+PRICE_TESTS = ("l_quantity <= 24.5", "l_discount <= 0.045", "l_tax <= 0.035")
+GRID_TESTS = ("hour <= 12", "x <= 4", "traffic_volume <= 900")
+ROW = "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_shipdate"
+GRID_SCORE = f"""SELECT CAST(7 AS BIGINT) AS model_id, date_time, x, y,
+    round_even({fixed_model(*GRID_TESTS)}, 0) AS value FROM ({SQL["feature_frame"]}) g"""
+
+VIEWS["explained"] = f"""SELECT {ROW}, l_quantity, l_discount, l_tax,
+    CAST((vq - v0 + vqd - vd) / 2 AS DOUBLE) AS shap_l_quantity,
+    CAST((vd - v0 + vqd - vq) / 2 AS DOUBLE) AS shap_l_discount,
+    CAST(CASE WHEN l_tax <= 0.035 THEN -3.5 ELSE 8.0 END - 2.25 AS DOUBLE) AS shap_l_tax,
+    CAST(10.0 + v0 + 2.25 AS DOUBLE) AS shap_bias
+    FROM (SELECT *, (40 * 12.5 + 20 * -30.25 + 40 * 4.0) / 100 AS v0,
+      CASE WHEN l_quantity <= 24.5 THEN (40 * 12.5 + 20 * -30.25) / 60 ELSE 4.0 END AS vq,
+      (60 * CASE WHEN l_discount <= 0.045 THEN 12.5 ELSE -30.25 END + 40 * 4.0) / 100 AS vd,
+      CASE WHEN l_quantity > 24.5 THEN 4.0 WHEN l_discount <= 0.045 THEN 12.5 ELSE -30.25 END AS vqd
+      FROM lineitem) g"""
+VIEWS["nodes"] = """SELECT CASE l_linenumber WHEN 1 THEN 'land_water' WHEN 2 THEN 'str_class_I'
+    WHEN 3 THEN 'building_height' WHEN 4 THEN 'summer_holidays' WHEN 5 THEN 'x' WHEN 6 THEN 'hour'
+    END AS feature, l_quantity AS gain FROM lineitem"""
+VIEWS["daily"] = """SELECT model_id, date_time, x, y, max(value) AS value FROM preds_year
+    GROUP BY model_id, date_time, x, y"""
+
+
+def stump(n: int, residuals: str) -> str:
+    """CTEs of one boosting round with depth 1 over a table (features, r): ``best{n}`` has the
+    split and the sums of both sides."""
+    names = ("l_quantity", "l_discount", "l_tax", "l_linenumber")
+    long = " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, CAST({f} AS DOUBLE) AS v, r FROM {residuals}" for f in names
+    )
+    return f"""long{n} AS ({long}),
+        sums{n} AS (SELECT feature, v, count(*) AS n, sum(r) AS s FROM long{n} GROUP BY feature, v),
+        cum{n} AS (SELECT feature, v, lead(v) OVER w AS nxt, sum(n) OVER w AS nl, sum(s) OVER w AS sl,
+            sum(n) OVER (PARTITION BY feature) AS nt, sum(s) OVER (PARTITION BY feature) AS st
+            FROM sums{n} WINDOW w AS (PARTITION BY feature ORDER BY v)),
+        best{n} AS (SELECT feature, (v + nxt) / 2 AS threshold, nl, sl, nt - nl AS nr, st - sl AS sr,
+            nt, st FROM cum{n} WHERE nxt IS NOT NULL
+            ORDER BY sl * sl / nl + (st - sl) * (st - sl) / (nt - nl) DESC LIMIT 1)"""
+
+
+def stump_rows(n: int) -> str:
+    """Node rows of round n with penalty 5000 and step 0.5."""
+    def leaf(node, count, total):
+        return f"""SELECT {n}, {node}, NULL, NULL, round(0.5 * {total} / ({count} + 5000), 6),
+            CAST({count} AS DOUBLE), NULL FROM best{n}"""
+
+    return f"""SELECT {n} AS tree, 0 AS node, feature, round(threshold, 6) AS threshold,
+        round(0.5 * st / (nt + 5000), 6) AS weight, CAST(nt AS DOUBLE) AS cover,
+        round((sl * sl / (nl + 5000) + sr * sr / (nr + 5000) - st * st / (nt + 5000)) / nt, 3) AS gain
+        FROM best{n} UNION ALL {leaf(1, "nl", "sl")} UNION ALL {leaf(2, "nr", "sr")}"""
+
+
+SQL |= {
+    "fit_boosted": f"""WITH r1 AS (SELECT *, l_extendedprice - avg(l_extendedprice) OVER () AS r
+        FROM lineitem), {stump(1, "r1")},
+        r2 AS (SELECT r1.* EXCLUDE (r), r - CASE WHEN CASE b.feature WHEN 'l_quantity' THEN l_quantity
+            WHEN 'l_discount' THEN l_discount WHEN 'l_tax' THEN l_tax ELSE l_linenumber END
+            <= b.threshold THEN 0.5 * sl / (nl + 5000) ELSE 0.5 * sr / (nr + 5000) END AS r
+            FROM r1, best1 b), {stump(2, "r2")}
+        {stump_rows(1)} UNION ALL {stump_rows(2)}""",
+    "predict": f"SELECT {ROW}, {fixed_model(*PRICE_TESTS)} AS pred FROM lineitem",
+    "score": GRID_SCORE,
+    "score_backfill": GRID_SCORE,
+    "refresh_calibration": f"""WITH p AS (SELECT x, y, avg(value) * 24 AS pred FROM ({GRID_SCORE}) s
+        WHERE date_time >= {utc("2024-01-08 00:00:00")} AND date_time < {utc("2024-01-22 00:00:00")}
+        GROUP BY x, y)
+        SELECT x, y, round(kfz_per_24h, 6) AS kfz_per_24h, round(pred, 6) AS kfz_per_24h_pred,
+        round(CASE WHEN kfz_per_24h > 0 AND (pred = 0 OR kfz_per_24h / nullif(pred, 0) > 5) THEN 5
+            WHEN kfz_per_24h <= 0.001 THEN 0 WHEN kfz_per_24h / nullif(pred, 0) < 0.1 THEN 0.1
+            ELSE kfz_per_24h / nullif(pred, 0) END, 6) AS scaling FROM volume JOIN p USING (x, y)""",
+    "prepare_predictions": """SELECT CAST(99 AS BIGINT) AS model_id, date_time, x, y,
+        round_even(value / 4, 0) AS value FROM preds_year""",
+    "chunk_keys": """SELECT CAST(ceil(rn / 4.0) AS INTEGER) AS chunk,
+        string_agg(CAST(x AS VARCHAR), ', ' ORDER BY rn) AS keys
+        FROM (SELECT x, row_number() OVER (ORDER BY x) AS rn FROM (SELECT DISTINCT x FROM cells) d) n
+        GROUP BY 1""",
+    "dedupe_latest": """SELECT o_custkey, o_orderpriority, CAST(o_orderdate AS TIMESTAMP) AS o_orderdate,
+        o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey,
+        o_orderpriority ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders) r WHERE rn = 1""",
+    "upsert_latest": """SELECT coalesce(b.date_time, a.date_time) AS date_time,
+        coalesce(b.x, a.x) AS x, coalesce(b.y, a.y) AS y, coalesce(b.value, a.value) AS value
+        FROM (SELECT * FROM daily WHERE model_id = 1) a
+        FULL JOIN (SELECT * FROM daily WHERE model_id = 2) b
+        ON a.date_time = b.date_time AND a.x = b.x AND a.y = b.y""",
+    "transfer_tables": """SELECT 'traffic_model_scaling' AS "table", true AS ok, count(*) AS rows
+        FROM factors UNION ALL SELECT 'traffic_models_final', false, NULL
+        UNION ALL SELECT 'traffic_model_predictions_stations', true, count(*) FROM daily""",
+    "completeness_check": """SELECT n, cells, hours, abs(n - cells * hours) IN (0, cells)
+        AS all_preds_arrived FROM (SELECT (SELECT count(*) FROM cells) AS cells,
+        (SELECT count(*) FROM calendar) AS hours,
+        (SELECT count(*) FROM cells CROSS JOIN calendar) AS n) q""",
+    "resolve_model_id": """WITH m AS (SELECT o_orderkey + 1 AS model_id,
+        CAST(o_orderdate AS TIMESTAMP) AS date_time, o_orderpriority AS model_name,
+        concat_ws('/', o_orderstatus, CAST(o_custkey AS VARCHAR)) AS description FROM orders)
+        SELECT min(model_id) OVER (PARTITION BY date_time, model_name, description) AS model_id,
+        date_time, model_name, description FROM m
+        UNION ALL SELECT max(model_id) + 1, max(date_time), min(model_name), 'new' FROM m""",
+    "describe_model": """SELECT CAST(NULL AS BIGINT) AS model_id, max(date_time) AS date_time,
+        'trial' AS model_name, 'q_kfz' AS depvar, concat('{"hyperparams":{"nrounds":303,"max_depth":9,',
+        '"eta":0.3048174,"gamma":1.588561,"colsample_bytree":0.8311579,"min_child_weight":1,',
+        '"subsample":0.8877896},"model_formula":["~","q_kfz","x + y + hour"],"dates":{"train_start":"',
+        strftime(min(date_time), '%Y-%m-%d %H:%M:%S'), '","train_end":"',
+        strftime(max(date_time), '%Y-%m-%d %H:%M:%S'), '"}}') AS description FROM obs""",
+    "set_final_model": """SELECT o_orderstatus AS depvar, max(o_orderkey) AS model_id FROM orders
+        GROUP BY o_orderstatus""",
+    "best_trial": """SELECT o_orderkey AS trial, o_orderpriority AS setting, o_totalprice AS rmse
+        FROM orders ORDER BY o_totalprice, o_orderkey LIMIT 1""",
+    "search_results": """SELECT o_orderpriority AS setting, o_orderkey AS trial, o_totalprice AS rmse
+        FROM orders WHERE o_orderpriority = (SELECT o_orderpriority FROM orders
+        ORDER BY o_totalprice, o_orderkey LIMIT 1)""",
+    "feature_importance": """SELECT feature, round(sum(gain) / t, 6) AS importance,
+        round(sum(gain) / t * 0.75, 6) AS rel_importance
+        FROM nodes, (SELECT sum(gain) AS t FROM nodes WHERE feature IS NOT NULL) q
+        WHERE feature IS NOT NULL GROUP BY feature, t""",
+    "importance_by_group": """SELECT CASE feature WHEN 'land_water' THEN 'land_use'
+        WHEN 'str_class_I' THEN 'street_class' WHEN 'building_height' THEN 'buildings'
+        WHEN 'summer_holidays' THEN 'holidays' WHEN 'x' THEN 'coordinates' ELSE feature END
+        AS feature_group, round(100 * sum(gain / t), 6) AS imp
+        FROM nodes, (SELECT sum(gain) AS t FROM nodes WHERE feature IS NOT NULL) q
+        WHERE feature IS NOT NULL GROUP BY 1""",
+    "shap_contributions": f"""SELECT {ROW}, l_quantity, l_discount, l_tax,
+        round(shap_l_quantity, 6) AS shap_l_quantity, round(shap_l_discount, 6) AS shap_l_discount,
+        round(shap_l_tax, 6) AS shap_l_tax, round(shap_bias, 6) AS shap_bias FROM explained""",
+    "shap_effects": """WITH long AS (SELECT 'l_quantity' AS feature, l_quantity AS value,
+            shap_l_quantity AS c FROM explained UNION ALL SELECT 'l_discount', l_discount,
+            shap_l_discount FROM explained UNION ALL SELECT 'l_tax', l_tax, shap_l_tax FROM explained),
+        lim AS (SELECT feature, min(value) AS low, max(value) AS high FROM long GROUP BY feature)
+        SELECT feature, CAST(least(floor((value - low) / ((high - low) / 5)), 4) AS INTEGER) AS bin,
+        count(*) AS n, round(avg(value), 6) AS mean_value, round(avg(c), 6) AS mean_contribution
+        FROM long JOIN lim USING (feature) GROUP BY 1, 2""",
+}

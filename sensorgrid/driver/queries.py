@@ -8,9 +8,21 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sensorgrid.driver.models import fixed_model
 from sensorgrid.driver.views import Views
 from sensorgrid.functions.timeparts import TimeRange, format_timestamp, local_date, local_time, time_parts
-from sensorgrid.operators import calibrate, evaluate, features, spatial, splits
+from sensorgrid.operators import boosting, calibrate, evaluate, explain, features, scoring, spatial, splits
+from sensorgrid.operators.model import BoostParams, FeatureSpec, best_params, random_grid
+from sensorgrid.plans import calibration
+from sensorgrid.plans.calibration import Inputs
+from sensorgrid.schemas import SCHEMAS
+from sensorgrid.session import work_path
+from sensorgrid.sources import registry
+from sensorgrid.sources.tables import Table, append, transfer_registry
+from sensorgrid.sources.tables import completeness_check as completeness
+from sensorgrid.sources.tables import dedupe_latest as dedupe
+from sensorgrid.sources.tables import transfer_tables as transfer
+from sensorgrid.sources.tables import upsert_latest as store
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -274,3 +286,231 @@ def compare_at_points(v):
         v.points, v.cell_coords, v.cell_streets, v.street_names, vintages
     )
     return rounded(out, "pred")
+
+
+# --- Models -----------------------------------------------------------------------------------
+PRICE = FeatureSpec("l_extendedprice", ("l_quantity", "l_discount", "l_tax", "l_linenumber"))
+ROW = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate")
+PRICE_MODEL = fixed_model(("l_quantity", 24.5), ("l_discount", 0.045), ("l_tax", 0.035))
+GRID_MODEL = fixed_model(("hour", 12.0), ("x", 4.0), ("traffic_volume", 900.0))
+
+
+@query
+def fit_boosted(v):
+    """Two boosted stumps on all line items."""
+    params = BoostParams(2, 1, eta=0.5, gamma=1.0, reg_lambda=5000.0)
+    model = boosting.fit_boosted(v.table("lineitem"), PRICE, params, row_key=ROW)
+    out = model.node_frame(v.spark).withColumn("gain", F.col("gain") / F.col("cover"))
+    out = out.select("tree", "node", "feature", "threshold", "weight", "cover", "gain")
+    return rounded(out, "threshold", "weight", digits=6).withColumn("gain", F.round("gain", 3))
+
+
+@query
+def predict(v):
+    out = boosting.predict(v.table("lineitem"), PRICE_MODEL)
+    return out.select(*ROW, F.round("pred", 6).alias("pred"))
+
+
+def _grid(v: Views) -> DataFrame:
+    return features.feature_frame(features.grid_locations(v.cells), v.calendar, v.sides)
+
+
+@query
+def score(v):
+    return scoring.score_frame(_grid(v), GRID_MODEL, 7)
+
+
+@query
+def score_backfill(v):
+    table = Table(
+        work_path(v.spark, "grid"), SCHEMAS["predictions"], ("model_id", "date_time", "x", "y"),
+        ("model_id", "x"),
+    )
+    scoring.score_backfill(
+        features.grid_locations(v.cells), v.calendar, v.sides, GRID_MODEL, 7, table, chunk_size=5
+    )
+    return table.read(v.spark)
+
+
+@query
+def refresh_calibration(v):
+    key = ("model_id", "date_time", "x", "y")
+    year = Table(work_path(v.spark, "year"), SCHEMAS["predictions"], key, ("model_id", "x"))
+    scaling = Table(work_path(v.spark, "scaling"), SCHEMAS["scaling"], ("x", "y"))
+    inputs = Inputs(v.calendar, v.cells, v.sensor_map, v.stations, v.sides, v.volume)
+    calibration.refresh_calibration(
+        inputs, GRID_MODEL, 7, year, scaling, TimeRange.half_open("2024-01-08", "2024-01-22")
+    )
+    return rounded(scaling.read(v.spark), "kfz_per_24h", "kfz_per_24h_pred", "scaling")
+
+
+@query
+def prepare_predictions(v):
+    predictions = v.preds_year.withColumn("value", F.col("value") / 4)
+    return scoring.prepare_predictions(predictions, 99)
+
+
+@query
+def chunk_keys(v):
+    return scoring.chunk_keys(v.cells.select("x").distinct(), "x", 4)
+
+
+# --- Stored tables ----------------------------------------------------------------------------
+def _versions(v: Views) -> DataFrame:
+    """Order rows as versions of a record per customer and priority."""
+    return v.table("orders").select(
+        "o_custkey", "o_orderpriority", "o_orderdate", "o_orderkey", "o_totalprice"
+    )
+
+
+@query
+def dedupe_latest(v):
+    return dedupe(_versions(v), ["o_custkey", "o_orderpriority"], ["o_orderdate"])
+
+
+@query
+def upsert_latest(v):
+    """Model 1's predictions replaced by model 2's where both have the cell and the time."""
+    daily = v.preds_year.groupBy("model_id", "date_time", "x", "y").agg(F.max("value").alias("value"))
+    key = ("date_time", "x", "y")
+    schema = "date_time timestamp_ntz, x bigint, y bigint, value double"
+    table = Table(work_path(v.spark, "upsert"), schema, key, ("x",))
+    for model_id in (1, 2):
+        store(daily.filter(F.col("model_id") == model_id).drop("model_id"), table)
+    return table.read(v.spark)
+
+
+@query
+def transfer_tables(v):
+    """Factors and predictions copied between two schemas; a missing table is reported."""
+    root = work_path(v.spark, "transfer")
+    specs = transfer_registry()
+    scaling, stations = specs["traffic_model_scaling"], specs["traffic_model_predictions_stations"]
+    append(factors(v), scaling.at(root, scaling.source_schema))
+    daily = v.preds_year.groupBy("model_id", "date_time", "x", "y").agg(F.max("value").alias("value"))
+    append(daily, stations.at(root, stations.source_schema))
+    missing = specs["traffic_models_final"]
+    report, _ = transfer(v.spark, root, [scaling, missing, stations])
+    return report.select("table", "ok", "rows")
+
+
+@query
+def completeness_check(v):
+    return completeness(_grid(v), v.cells, v.calendar, (-1, 0, 1))
+
+
+@query
+def resolve_model_id(v):
+    """Orders as registered models; one described model is known, one is new."""
+    registered = v.table("orders").select(
+        (F.col("o_orderkey") + 1).alias("model_id"),
+        F.col("o_orderdate").alias("date_time"),
+        F.col("o_orderpriority").alias("model_name"),
+        F.concat_ws("/", "o_orderstatus", F.col("o_custkey").cast("string")).alias("description"),
+    )
+    described = registered.withColumn("model_id", F.lit(None).cast("bigint"))
+    changed = described.agg(
+        F.max("date_time").alias("date_time"),
+        F.min("model_name").alias("model_name"),
+        F.lit("new").alias("description"),
+    ).select(F.lit(None).cast("bigint").alias("model_id"), "*")
+    return registry.resolve_model_id(described.unionByName(changed), registered)
+
+
+@query
+def describe_model(v):
+    spec = FeatureSpec("q_kfz", ("x", "y", "hour"))
+    return registry.describe_model(v.obs, spec, best_params("q_kfz"), "trial")
+
+
+@query
+def set_final_model(v):
+    """The newest order per status as the production model of a target."""
+    table = Table(work_path(v.spark, "final"), SCHEMAS["final_models"], ("depvar",))
+    models = v.table("orders").groupBy(F.col("o_orderstatus").alias("depvar")).agg(
+        F.max("o_orderkey").alias("model_id")
+    )
+    store(models.withColumn("model_id", F.lit(0).cast("bigint")), table)
+    store(models, table)
+    return table.read(v.spark)
+
+
+# --- Search results and explanation -----------------------------------------------------------
+def _trials(v: Views) -> DataFrame:
+    """Orders as trials: the price stands for the error."""
+    return v.table("orders").select(
+        F.col("o_orderkey").alias("trial"),
+        F.col("o_orderpriority").alias("setting"),
+        F.col("o_totalprice").alias("rmse"),
+    )
+
+
+@query
+def best_trial(v):
+    return boosting.best_trial(_trials(v))
+
+
+@query
+def search_results(v):
+    return boosting.search_results(boosting.best_trial(_trials(v)).select("setting"), _trials(v))
+
+
+def _nodes(v: Views) -> DataFrame:
+    """Line items as tree nodes: splits on one of seven features, and leaves."""
+    names = ["land_water", "str_class_I", "building_height", "summer_holidays", "x", "hour"]
+    feature = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("l_linenumber").cast("int"))
+    return v.table("lineitem").select(
+        F.when(F.col("l_linenumber") <= len(names), feature).alias("feature"),
+        F.col("l_quantity").alias("gain"),
+    )
+
+
+@query
+def feature_importance(v):
+    out = explain.feature_importance(_nodes(v), r2=0.75, top=10)
+    return rounded(out, "importance", "rel_importance")
+
+
+@query
+def importance_by_group(v):
+    return rounded(explain.importance_by_group(explain.feature_importance(_nodes(v))), "imp")
+
+
+@query
+def shap_contributions(v):
+    out = explain.shap_contributions(v.table("lineitem"), PRICE_MODEL, keep=ROW)
+    return rounded(out, "shap_l_quantity", "shap_l_discount", "shap_l_tax", "shap_bias")
+
+
+@query
+def shap_effects(v):
+    explained = explain.shap_contributions(v.table("lineitem"), PRICE_MODEL)
+    out = explain.shap_effects(explained, PRICE_MODEL.spec.features, bins=5)
+    return rounded(out, "mean_value", "mean_contribution")
+
+
+# --- Fits without SQL: many rounds of tree growing --------------------------------------------
+SMALL = BoostParams(2, 2, eta=0.5, reg_lambda=5.0)
+
+
+@query
+def search(v):
+    folded = splits.time_folds(v.table("lineitem"), "l_shipdate", weeks=52, n_folds=2)
+    grid = random_grid(v.spark, 2, seed=3).withColumns(
+        {"nrounds": F.lit(1), "max_depth": F.lit(2)}
+    )
+    return boosting.search(folded, PRICE, grid, ["fold_1", "fold_2"])
+
+
+@query
+def lambda_sweep(v):
+    split = splits.temporal_split(v.table("lineitem"), "l_shipdate", weeks=52)
+    train, test = (split.filter(F.col("split") == s) for s in ("train", "test"))
+    return boosting.lambda_sweep(train, test, PRICE, SMALL, lambdas=(5.0, 5000.0))
+
+
+@query
+def spatial_cv(v):
+    folded = splits.group_folds(v.table("lineitem"), "l_suppkey", n_folds=2, seed=1)
+    out = boosting.spatial_cv(folded, PRICE, SMALL, folds=(1, 2))
+    return out.select(*ROW, "fold", "l_extendedprice", "pred")

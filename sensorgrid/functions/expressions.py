@@ -13,6 +13,13 @@ DEGREE_SCALE = 100_000  # fixed-point coordinates are degrees times this
 FACTOR_MAX = 5.0
 FACTOR_MIN = 0.1
 VOLUME_ZERO = 0.001  # volumes up to this count as zero
+FEATURE_GROUPS = {  # text found in the feature name: group; the first hit counts
+    "land_": "land_use",
+    "str_": "street_class",
+    "building": "buildings",
+    "holiday": "holidays",
+}
+COORDINATES = ("x", "y")
 # ----------------------------------------------------------------------------------------------
 
 _HASH_RANGE = 2**32
@@ -89,3 +96,12 @@ def metres(hav: Column) -> Column:
 def contains_name(text: Column | str, name: Column | str) -> Column:
     """Does ``text`` contain ``name``? An empty name matches nothing."""
     return F.contains(_col(text), _col(name)) & (_col(name) != "")
+
+
+def feature_group(feature: Column | str) -> Column:
+    """Group of a feature by its name; a feature outside all groups is its own."""
+    name = _col(feature)
+    group = F.when(F.lit(False), F.lit(None))
+    for text, label in FEATURE_GROUPS.items():
+        group = group.when(F.contains(name, F.lit(text)), F.lit(label))
+    return group.when(name.isin(*COORDINATES), F.lit("coordinates")).otherwise(name)

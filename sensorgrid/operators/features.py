@@ -162,14 +162,15 @@ def locations_by_hours(
 
     Each location is laid out over the days from the first to the last calendar day and then
     equi-joined with the hours of that day. The hours are broadcast while they are few and
-    merge-joined otherwise; the work is spread by location either way. ``tasks`` sets how many
-    tasks write the product: a small location table would otherwise be one task.
+    merge-joined otherwise. ``tasks`` sets how many tasks make the product, each for a range of
+    locations: a small location table would otherwise be one task, and tasks that mix locations
+    would each write a file into every partition of a table partitioned by ``x``.
     """
     spark = locations.sparkSession
     tasks = tasks or 2 * spark.sparkContext.defaultParallelism
     dated = hours.withColumn("_day", F.to_date(ts))
     days = dated.agg(F.sequence(F.min("_day"), F.max("_day")).alias("days")).scalar()
-    spread = locations.repartition(tasks, *locations.columns[:2])
+    spread = locations.repartitionByRange(tasks, "x", "y")
     return (
         spread.withColumn("_day", F.explode(days))
         .join(small_side(dated), "_day")
