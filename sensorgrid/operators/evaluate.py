@@ -123,9 +123,9 @@ def residuals(
 def bin_index(value: Column, low: Column, high: Column, bins: int) -> Column:
     """Bin 0 to ``bins - 1`` of equal width between ``low`` and ``high``; the top edge counts to
     the last bin. One single value means one bin."""
-    width = (high - low) / bins
-    index = F.floor((value - low) / F.nullif(width, F.lit(0.0)))
-    return F.coalesce(F.greatest(F.least(index, F.lit(bins - 1)), F.lit(0)), F.lit(0)).cast("int")
+    index = F.floor((value - low) / F.nullif((high - low) / bins, F.lit(0.0)))
+    inside = F.greatest(F.least(index, F.lit(bins - 1)), F.lit(0))
+    return F.when(high == low, F.lit(0)).when(value.isNotNull(), inside).cast("int")
 
 
 def distribution_table(
