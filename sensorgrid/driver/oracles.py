@@ -226,7 +226,8 @@ SQL: dict[str, str] = {
             (SELECT DISTINCT date_time, x, y FROM obs) d GROUP BY date_time) h)
         SELECT event_id, date_time, x, y, """
     + ", ".join(
-        f"""CASE WHEN p <= n - 4 * b + {i} * (b + 1) THEN 'train'
+        f"""CASE WHEN n - 4 * b + {i} * (b + 1) < 1 OR {i} * (b + 1) > 3 * b THEN 'unused'
+        WHEN p <= n - 4 * b + {i} * (b + 1) THEN 'train'
         WHEN p <= n - 4 * b + {i} * (b + 1) + b THEN 'test' ELSE 'unused' END AS fold_{i + 1}"""
         for i in (0, 1, 2)
     )

@@ -16,7 +16,7 @@ from sensorgrid.operators.model import BoostParams, FeatureSpec, best_params, ra
 from sensorgrid.plans import calibration
 from sensorgrid.plans.calibration import Inputs
 from sensorgrid.schemas import SCHEMAS
-from sensorgrid.session import work_path
+from sensorgrid.session import cut_lineage, work_path
 from sensorgrid.sources import registry
 from sensorgrid.sources.tables import Table, append, transfer_registry
 from sensorgrid.sources.tables import completeness_check as completeness
@@ -38,7 +38,8 @@ def rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
 
 
 def factors(v: Views) -> DataFrame:
-    return calibrate.calibration_factors(v.volume, v.preds_year)
+    """The stored factor table of the other operators: computed once, then read."""
+    return cut_lineage(calibrate.calibration_factors(v.volume, v.preds_year))
 
 
 def of_model(v: Views, model_id: int) -> DataFrame:
@@ -55,7 +56,8 @@ def scored(v: Views) -> DataFrame:
 # --- Calibration ------------------------------------------------------------------------------
 @query
 def calibration_factors(v):
-    return rounded(factors(v), "kfz_per_24h", "kfz_per_24h_pred", "scaling")
+    out = calibrate.calibration_factors(v.volume, v.preds_year)
+    return rounded(out, "kfz_per_24h", "kfz_per_24h_pred", "scaling")
 
 
 @query
@@ -66,9 +68,10 @@ def apply_factors(v):
 
 @query
 def scaled_union(v):
-    by_volume = factors(v).select("x", "y", F.col("kfz_per_24h").alias("scaling"))
+    first = factors(v)
+    second = first.select("x", "y", F.col("kfz_per_24h").alias("scaling"))
     return rounded(
-        calibrate.scaled_union([(of_model(v, 1), factors(v)), (of_model(v, 2), by_volume)]), "pred"
+        calibrate.scaled_union([(of_model(v, 1), first), (of_model(v, 2), second)]), "pred"
     )
 
 
@@ -281,7 +284,8 @@ def cells_of_streets(v):
 
 @query
 def compare_at_points(v):
-    vintages = [(of_model(v, 1), factors(v)), (of_model(v, 2), factors(v))]
+    stored = factors(v)
+    vintages = [(of_model(v, 1), stored), (of_model(v, 2), stored)]
     out = spatial.compare_at_points(
         v.points, v.cell_coords, v.cell_streets, v.street_names, vintages
     )

@@ -156,6 +156,12 @@ def _add_tree(df: DataFrame, model, leaf_weights: Sequence[float]) -> DataFrame:
     )
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Use all cores for data that came in fewer pieces: it is read in every round."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return cut_lineage(df.repartition(cores)) if df.rdd.getNumPartitions() < cores else df
+
+
 def _rmse(df: DataFrame, target: str) -> float:
     error = non_negative("_pred") - F.col(target)
     return df.agg(F.sqrt(F.avg(error * error)).alias("rmse")).first()["rmse"]
@@ -195,9 +201,9 @@ def fit_boosted(
             F.lit(float(base_score)).alias("_pred"),
         )
 
-    frames = {"train": cut_lineage(prepared(train))}
+    frames = {"train": _spread(cut_lineage(prepared(train)))}
     if validation is not None:
-        frames["validation"] = cut_lineage(prepared(validation))
+        frames["validation"] = _spread(cut_lineage(prepared(validation)))
     draw = random.Random(seed)
     n_features = len(spec.features)
     n_drawn = max(1, round(params.colsample_bytree * n_features))

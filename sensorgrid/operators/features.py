@@ -29,6 +29,8 @@ SENTINEL = -1  # a missing count or speed
 DEV_SAMPLE_FRACTION = 0.002
 # ----------------------------------------------------------------------------------------------
 
+ROWS_PER_TASK = 2_000_000
+
 CELL_SIDES: tuple[Mapping[str, str], ...] = (
     STREET_COLUMNS,
     LAND_USE_COLUMNS,
@@ -162,18 +164,23 @@ def locations_by_hours(
 
     Each location is laid out over the days from the first to the last calendar day and then
     equi-joined with the hours of that day. The hours are broadcast while they are few and
-    merge-joined otherwise. ``tasks`` sets how many tasks make the product, each for a range of
-    locations: a small location table would otherwise be one task, and tasks that mix locations
-    would each write a file into every partition of a table partitioned by ``x``.
+    merge-joined otherwise.
+
+    The location days are spread over ``tasks`` tasks before, each with a range of them: a small
+    location table would otherwise be one task, and tasks that mix locations would each write a
+    file into every partition of a table partitioned by ``x``. By default there are tasks for the
+    cores at hand, and more where a task would make over ``ROWS_PER_TASK`` rows.
     """
-    spark = locations.sparkSession
-    tasks = tasks or 2 * spark.sparkContext.defaultParallelism
+    n_hours = hours.count()
+    if tasks is None:
+        wanted = -(-locations.count() * n_hours // ROWS_PER_TASK)
+        tasks = max(2 * locations.sparkSession.sparkContext.defaultParallelism, wanted)
     dated = hours.withColumn("_day", F.to_date(ts))
     days = dated.agg(F.sequence(F.min("_day"), F.max("_day")).alias("days")).scalar()
-    spread = locations.repartitionByRange(tasks, "x", "y")
     return (
-        spread.withColumn("_day", F.explode(days))
-        .join(small_side(dated), "_day")
+        locations.withColumn("_day", F.explode(days))
+        .repartitionByRange(tasks, "x", "y", "_day")
+        .join(small_side(dated, rows=n_hours), "_day")
         .drop("_day")
     )
 

@@ -94,7 +94,8 @@ def score_backfill(
 
     By default this is one job, spread by location. ``chunk_size`` limits how many x coordinates
     one job takes; then a run that broke off goes on where it stopped, because coordinates that
-    are complete in the table are skipped. Returns the number of jobs.
+    are complete in the table are skipped. ``model_id`` must be a partition column of the table.
+    Returns the number of jobs.
     """
     spark = locations.sparkSession
     hours = calendar.filter(time_range.predicate("date_time")) if time_range else calendar
@@ -109,5 +110,5 @@ def score_backfill(
         frame = feature_frame(locations, hours, sides, x_coords=x_coords, **frame_options)
         append(score_frame(frame, model, model_id), table, dry_run)
     if not dry_run:
-        compact(spark, table)
+        compact(spark, table, F.col("model_id") == model_id)
     return len(jobs)

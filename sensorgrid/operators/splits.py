@@ -81,7 +81,7 @@ def row_folds(
 
     With b rows per block (``weeks`` of hours times the rounded mean number of sensors) and n rows,
     training stops at n − k·b, then every b + 1 rows while a whole test block still fits. That
-    gives k − 1 folds for k blocks. ``tie`` must make a row unique; ties in time and place are
+    gives k − 1 folds for k blocks; one that does not fit has no rows. ``tie`` must make a row unique; ties in time and place are
     ordered by its md5.
 
     The rows are neither sorted nor numbered. Counts per time, place and hash slice locate the few
@@ -98,8 +98,8 @@ def row_folds(
         mean = avg_sensors_per_hour(df, ts, place).first()["avg_sensors"] or 0.0
         block_rows = weeks * HOURS_PER_WEEK * round(mean)
     stops = [n - n_folds * block_rows + i * (block_rows + 1) for i in range(n_folds - 1)]
-    stops = [s for s in stops if s >= 1 and s + block_rows <= n]
-    positions = sorted({p for s in stops for p in (s, s + block_rows)})
+    fitting = [s for s in stops if s >= 1 and s + block_rows <= n]
+    positions = sorted({p for s in fitting for p in (s, s + block_rows)})
 
     counts = keyed.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
     first, last = F.col("_start") + 1, F.col("_start") + F.col("_n")
@@ -122,6 +122,8 @@ def row_folds(
     here = F.struct(*key)
     labels = {
         f"{prefix}{i}": _label(here <= cuts[s], here <= cuts[s + block_rows])
+        if s in fitting
+        else F.lit("unused")
         for i, s in enumerate(stops, 1)
     }
     return keyed.withColumns(labels).drop("_digest", "_slice")

@@ -67,11 +67,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         held.unpersist()
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast if it has at most ``max_rows`` rows, counted now.
+def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS, rows: int | None = None) -> DataFrame:
+    """Mark ``df`` for broadcast if it has at most ``max_rows`` rows, counted now if not known.
 
     Above the bound ``df`` comes back unmarked and the join is left to Catalyst: a sort-merge
     join, in which adaptive execution splits skewed partitions.
     """
-    rows = df.select(F.lit(1)).limit(max_rows + 1).count()
+    if rows is None:
+        rows = df.select(F.lit(1)).limit(max_rows + 1).count()
     return F.broadcast(df) if rows <= max_rows else df

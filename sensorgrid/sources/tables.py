@@ -14,7 +14,7 @@ from functools import reduce
 from operator import or_
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -92,7 +92,8 @@ def merge_latest(
 
 
 def _write(df: DataFrame, table: Table, mode: str) -> None:
-    writer = df.select(*table.columns).write.mode(mode)
+    df = df.select(*table.columns)
+    writer = df.write.mode(mode)
     if table.partition_by:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*table.partition_by)
     writer.parquet(table.path)
@@ -100,8 +101,15 @@ def _write(df: DataFrame, table: Table, mode: str) -> None:
 
 def _rewrite(df: DataFrame, table: Table) -> None:
     """Replace the touched partitions, or the whole of an unpartitioned table. The latter is read
-    and written in one job, so its rows are checkpointed first."""
-    _write(df if table.partition_by else cut_lineage(df), table, "overwrite")
+    and written in one job, so its rows are checkpointed first.
+
+    Rebalancing brings the rows of a partition together, so that not every task writes into every
+    partition, and adaptive execution splits a partition that is much larger than the others.
+    """
+    if table.partition_by:
+        _write(df.hint("rebalance", *table.partition_by), table, "overwrite")
+    else:
+        _write(cut_lineage(df), table, "overwrite")
 
 
 def append(df: DataFrame, table: Table, dry_run: bool = False) -> None:
@@ -112,11 +120,15 @@ def append(df: DataFrame, table: Table, dry_run: bool = False) -> None:
 
 
 def upsert_latest(df: DataFrame, table: Table, dry_run: bool = False) -> None:
-    """Insert rows; a row replaces the stored row with the same key."""
+    """Insert rows; a row replaces the stored row with the same key.
+
+    The new rows are computed once and checkpointed, then checked and merged.
+    """
     require_columns(df, table.columns, table.path)
-    require_key(df, table)
     if dry_run:
         return
+    df = cut_lineage(df.select(*table.columns))
+    require_key(df, table)
     old = table.read(df.sparkSession)
     if table.partition_by:
         touched = df.select(*table.partition_by).distinct()
@@ -124,9 +136,14 @@ def upsert_latest(df: DataFrame, table: Table, dry_run: bool = False) -> None:
     _rewrite(merge_latest(old, df, table.key, table.version), table)
 
 
-def compact(spark: SparkSession, table: Table) -> None:
-    """Remove superseded rows left by appends. Partitions without any are not rewritten."""
+def compact(spark: SparkSession, table: Table, within: Column | None = None) -> None:
+    """Remove superseded rows left by appends. Partitions without any are not rewritten.
+
+    ``within`` limits the work to part of the table by a condition on its partition columns.
+    """
     stored = table.read(spark)
+    if within is not None:
+        stored = stored.filter(within)
     require_key(stored, table)
     repeated = stored.groupBy(*table.key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
     if repeated.isEmpty():

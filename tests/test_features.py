@@ -109,7 +109,7 @@ def test_product_equals_a_plain_cross_join(spark, domain):
 
 
 def test_hours_beyond_the_broadcast_bound_are_merge_joined(spark, domain, monkeypatch):
-    monkeypatch.setattr(ft, "small_side", lambda df: df)
+    monkeypatch.setattr(ft, "small_side", lambda df, rows: df)
     hours = domain["calendar"].select("date_time")
     assert ft.locations_by_hours(domain["cells"], hours).count() == 9 * 48
 
