@@ -65,10 +65,16 @@ def cell_features(
         out = out.join(side, list(on), "left")
         names += columns.values()
     if unmatched == "zero":
-        out = out.fillna(0, subset=names)
+        out = zero_for_null(out, names)
     return out.select(*base.columns, *names)
 
 
+def zero_for_null(df: DataFrame, names: Iterable[str]) -> DataFrame:
+    """0 in place of NULL. ``fillna`` would also replace NaN, which is data and not a gap."""
+    types = dict(df.dtypes)
+    return df.withColumns({n: F.coalesce(n, F.lit(0).cast(types[n])) for n in names})
+
+
 def calendar_features(
     calendar: DataFrame, tz: str = LOCAL_TZ, with_time_parts: bool = True
 ) -> DataFrame:
@@ -117,7 +123,7 @@ def training_frame(
         .withColumns(time_part_columns("date_time", tz))
     )
     if unmatched == "zero":
-        out = out.fillna(0, subset=[*cell_names, "is_public_holiday", "day_of_year"])
+        out = zero_for_null(out, [*cell_names, "is_public_holiday", "day_of_year"])
     out = out.select(
         "mq_name",
         "date_time",
@@ -208,7 +214,7 @@ def feature_frame(
         locations = locations.filter(F.col("x").isin(list(x_coords)))
     hours = calendar_features(calendar, tz)
     if unmatched == "zero":
-        hours = hours.fillna(0, subset=["is_public_holiday", "day_of_year"])
+        hours = zero_for_null(hours, ["is_public_holiday", "day_of_year"])
     placed = cell_features(locations, sides, on=("cell_x", "cell_y"), unmatched=unmatched)
     cell_names = [name for _, columns in sides for name in columns.values()]
     out = locations_by_hours(placed.drop("cell_x", "cell_y"), hours, tasks=tasks).select(

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, timedelta
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,8 +17,9 @@ from sensorgrid.functions.expressions import (
     haversine,
     metres,
 )
-from sensorgrid.functions.timeparts import LOCAL_TZ, local_date
+from sensorgrid.functions.timeparts import LOCAL_TZ, TimeRange
 from sensorgrid.operators.calibrate import scaled_union
+from sensorgrid.session import cut_lineage, small_side
 
 # Tiles of 2^22 fixed-point units (about 42 degrees) down to 2^10 (about 0.01 degrees); each tile
 # has at most 16 × 16 children. The whole globe has 5 × 9 tiles of the top size.
@@ -179,9 +182,12 @@ def cells_of_streets(matches: DataFrame, cell_streets: DataFrame) -> DataFrame:
     )
 
 
-def on_local_days(df: DataFrame, days: Sequence[date], ts: str = "date_time", tz: str = LOCAL_TZ):
-    """Rows whose local date is one of ``days``."""
-    return df.filter(local_date(ts, tz).isin(list(days)))
+def on_local_days(
+    df: DataFrame, days: Sequence[date], ts: str = "date_time", tz: str = LOCAL_TZ
+) -> DataFrame:
+    """Rows whose local date is one of ``days``, as ranges of instants that reach the scan."""
+    ranges = [TimeRange.half_open(d, d + timedelta(days=1), tz) for d in days]
+    return df.filter(reduce(or_, [r.predicate(ts) for r in ranges], F.lit(False)))
 
 
 def compare_at_points(
@@ -195,16 +201,18 @@ def compare_at_points(
     """Mean scaled prediction per time, street element and counting point.
 
     The mean is the same for every point that names an element, so it is taken once per time and
-    element, over the cells of matched elements only, and handed to the points afterwards.
+    element, over the cells of matched elements only, and handed to the points afterwards. The
+    matches, a few per point, are checkpointed because they are used twice.
     """
     matches = match_streets(nearest_cell(points, cell_coords), cell_streets, street_names)
     named = matches.filter(F.col("strname_match")).select("element_nr", "bez").distinct()
+    named = cut_lineage(named)
     cells = cell_streets.select(
         "element_nr", F.col("stadt_x").alias("x"), F.col("stadt_y").alias("y")
     ).join(named.select("element_nr").distinct(), "element_nr", "left_semi")
     per_element = (
         scaled_union(vintages, value)
-        .join(cells, ["x", "y"])
+        .join(small_side(cells), ["x", "y"])
         .groupBy("date_time", "element_nr")
         .agg(F.avg("pred").alias("pred"))
     )

@@ -5,6 +5,7 @@ from datetime import date
 import pytest
 
 from sensorgrid.operators import spatial
+from sensorgrid.plans import manual_counts
 
 RADIUS = 6_371_008.8
 
@@ -120,3 +121,27 @@ def test_comparison_at_points(spark, streets):
     day = predictions.select("date_time").distinct()
     assert spatial.on_local_days(day, [date(2023, 5, 4)]).count() == 1
     assert spatial.on_local_days(day, [date(2023, 5, 5)]).count() == 0
+
+
+def test_predictions_at_manual_counts(spark):
+    points = manual_counts.counting_points(spark)
+    assert points.count() == 26 == points.select("bez").distinct().count()
+    cells = [(i, 0, round(lat * 1e5), round(lon * 1e5)) for i, (lat, lon, _) in enumerate(manual_counts.COUNTING_POINTS)]
+    coords = spark.createDataFrame(cells, "x bigint, y bigint, lat_int bigint, lon_int bigint")
+    streets = spark.createDataFrame(
+        [(11, 0, "ring"), (16, 0, "daum"), (99, 0, "ring")], "stadt_x bigint, stadt_y bigint, element_nr string"
+    )
+    names = spark.createDataFrame(
+        [("ring", "Ringstraße"), ("daum", "Daumstraße")], "element_nr string, strassenname string"
+    )
+    hour = "SELECT {} AS model_id, timestamp_ntz'{}' AS date_time, x, 0L AS y, 8D AS value FROM VALUES (11L), (16L), (99L) AS t(x)"
+    # 22:30 UTC is already the next day in summer
+    earlier = spark.sql(hour.format(1, "2022-05-30 22:30:00") + " UNION ALL " + hour.format(1, "2022-05-31 22:30:00"))
+    later = spark.sql(hour.format(21, "2023-05-04 10:00:00") + " UNION ALL " + hour.format(20, "2023-06-28 10:00:00"))
+    factors = spark.createDataFrame([(11, 0, 1.0), (16, 0, 0.5), (99, 0, 3.0)], "x bigint, y bigint, scaling double")
+    out = manual_counts.predictions_at_counts(coords, streets, names, (earlier, factors), (later, factors))
+    got = {(str(r["date_time"]), r["element_nr"]): r["pred"] for r in out.collect()}
+    assert got == {
+        ("2022-05-30 22:30:00", "ring"): 16.0, ("2022-05-30 22:30:00", "daum"): 4.0,
+        ("2023-05-04 10:00:00", "ring"): 16.0, ("2023-05-04 10:00:00", "daum"): 4.0,
+    }
