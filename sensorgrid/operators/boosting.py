@@ -30,8 +30,12 @@ NODE_SCHEMA = (
     "tree int, node int, feature string, threshold double, left int, right int, "
     "weight double, cover double, gain double"
 )
+SPARK_NODE_SCHEMA = (  # the columns used of a saved Spark tree
+    "id int, impurityStats array<double>, leftChild int, rightChild int, "
+    "split struct<featureIndex: int, leftCategoriesOrThreshold: array<double>>"
+)
 MAX_BINS = 256
-CHECKPOINT_EVERY = 10
+STAGE_EVERY = 10
 EARLY_STOPPING_ROUNDS = 5
 
 
@@ -142,7 +146,7 @@ def _stored_nodes(spark: SparkSession, model, name: str) -> list[Row]:
     """Nodes of a fitted tree, at most 2^(depth + 1), through its saved form."""
     path = work_path(spark, name)
     model.write().save(path)
-    return spark.read.parquet(f"{path}/data").collect()
+    return spark.read.schema(SPARK_NODE_SCHEMA).parquet(f"{path}/data").collect()
 
 
 def _add_tree(df: DataFrame, model, leaf_weights: Sequence[float]) -> DataFrame:
@@ -177,7 +181,7 @@ def fit_boosted(
     seed: int = 0,
     row_key: Sequence[str] | None = None,
     max_bins: int = MAX_BINS,
-    checkpoint_every: int = CHECKPOINT_EVERY,
+    stage_every: int = STAGE_EVERY,
 ) -> BoostedModel:
     """Fit trees one after the other to what is left of the target.
 
@@ -185,7 +189,7 @@ def fit_boosted(
     without a lower validation RMSE, and later trees are dropped. ``base_score`` is the start value,
     by default the mean of the target. Row samples are drawn by a hash of ``row_key`` (by default
     of all features and the target), so a recomputed partition draws the same rows. The running
-    prediction is checkpointed every ``checkpoint_every`` rounds.
+    prediction is staged every ``stage_every`` rounds.
     """
     require_columns(train, [spec.target, *spec.features], "fit_boosted")
     spark, target = train.sparkSession, spec.target
@@ -234,7 +238,7 @@ def fit_boosted(
         names = [spec.features[i] for i in picked]
         tree_nodes, leaf_weights = _penalised_tree(stored, round_no, names, params)
         nodes += tree_nodes
-        cut = round_no % checkpoint_every == 0 and round_no < params.nrounds
+        cut = round_no % stage_every == 0 and round_no < params.nrounds
         for name, frame in frames.items():
             moved = _add_tree(slicer.transform(frame), tree, leaf_weights)
             frames[name] = cut_lineage(moved) if cut else moved

@@ -96,7 +96,7 @@ def sensor_correlation(summary: DataFrame, a: str = "pred", b: str = "obs") -> D
     """Pearson and Spearman correlation, the latter on average ranks.
 
     The ranks are joined back on the values, so the values must not change in the last digit
-    between two runs of a mean. The summary, one row per sensor, is checkpointed for that.
+    between two runs of a mean. The summary, one row per sensor, is staged for that.
     """
     known = summary.select(a, b).filter(F.col(a).isNotNull() & F.col(b).isNotNull())
     known = cut_lineage(known)

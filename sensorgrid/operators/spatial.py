@@ -7,7 +7,7 @@ from datetime import date, timedelta
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorgrid.functions.expressions import (
@@ -24,75 +24,53 @@ from sensorgrid.session import cut_lineage, small_side
 # Tiles of 2^22 fixed-point units (about 42 degrees) down to 2^10 (about 0.01 degrees); each tile
 # has at most 16 × 16 children. The whole globe has 5 × 9 tiles of the top size.
 _LEVELS = (22, 18, 14, 10)
+_FINEST = _LEVELS[-1]
 _TOP_ROWS = (180 * DEGREE_SCALE >> _LEVELS[0]) + 1
 _TOP_COLS = (360 * DEGREE_SCALE >> _LEVELS[0]) + 1
 _SLACK_M = 0.01  # keeps every cell that could win after rounding to millimetres
 
-
-def _tile(level: int) -> tuple[Column, Column]:
-    """Tile row and column of a cell with fixed-point coordinates."""
-    return (
-        F.shiftright(F.col("lat_int") + 90 * DEGREE_SCALE, level),
-        F.shiftright(F.col("lon_int") + 180 * DEGREE_SCALE, level),
+# Least and greatest possible haversine from (lat, lon) to a cell of a box. Each factor is bounded
+# by itself: the latitude gap, the longitude gap around the globe, the cosine of the cell's latitude.
+_NEAR = """
+    pow(sin(radians(greatest(lat_lo - lat, lat - lat_hi, 0D)) / 2), 2)
+    + cos(radians(lat)) * least(cos(radians(lat_lo)), cos(radians(lat_hi)))
+    * pow(sin(radians(CASE WHEN lon BETWEEN lon_lo AND lon_hi THEN 0D
+        ELSE least(abs(lon - lon_lo), 360 - abs(lon - lon_lo),
+                   abs(lon - lon_hi), 360 - abs(lon - lon_hi)) END) / 2), 2)"""
+_FAR = """
+    pow(sin(radians(greatest(abs(lat - lat_lo), abs(lat - lat_hi))) / 2), 2)
+    + cos(radians(lat))
+    * CASE WHEN lat_lo <= 0 AND lat_hi >= 0 THEN 1D
+           ELSE greatest(cos(radians(lat_lo)), cos(radians(lat_hi))) END
+    * pow(sin(radians(least(greatest(abs(lon - lon_lo), abs(lon - lon_hi)), 180D)) / 2), 2)"""
+
+
+def _with_tiles(cells: DataFrame) -> DataFrame:
+    """Finest tile of each cell with fixed-point coordinates."""
+    return cells.withColumns(
+        {
+            "row": F.shiftright(F.col("lat_int") + 90 * DEGREE_SCALE, _FINEST),
+            "col": F.shiftright(F.col("lon_int") + 180 * DEGREE_SCALE, _FINEST),
+        }
     )
 
 
-def _boxes(cells: DataFrame) -> dict[int, DataFrame]:
-    """Occupied tiles per level with the extent of their cells; each level sums up the finer one."""
-    row, col = _tile(_LEVELS[-1])
-    boxes = {
-        _LEVELS[-1]: cells.groupBy(row.alias("row"), col.alias("col")).agg(
-            F.min("lat_int").alias("lat_lo"),
-            F.max("lat_int").alias("lat_hi"),
-            F.min("lon_int").alias("lon_lo"),
-            F.max("lon_int").alias("lon_hi"),
-        )
-    }
-    for finer, level in zip(_LEVELS[:0:-1], _LEVELS[-2::-1], strict=True):
-        shift = level - finer
-        boxes[level] = (
-            boxes[finer]
-            .groupBy(F.shiftright("row", shift).alias("row"), F.shiftright("col", shift).alias("col"))
-            .agg(
-                F.min("lat_lo").alias("lat_lo"),
-                F.max("lat_hi").alias("lat_hi"),
-                F.min("lon_lo").alias("lon_lo"),
-                F.max("lon_hi").alias("lon_hi"),
-            )
-        )
-    return boxes
-
+def _boxes(tiled: DataFrame) -> DataFrame:
+    """Occupied tiles of all levels with the extent of their cells, in degrees."""
 
-def _box_bounds() -> tuple[Column, Column]:
-    """Least and greatest possible distance from (lat, lon) to any cell of a box, in metres.
+    def extent(df: DataFrame, *keys: str) -> DataFrame:
+        return df.groupBy(*keys).agg(
+            *[F.min(f"{c}_lo").alias(f"{c}_lo") for c in ("lat", "lon")],
+            *[F.max(f"{c}_hi").alias(f"{c}_hi") for c in ("lat", "lon")],
+        )
 
-    Each factor of the haversine is bounded by itself: the latitude gap, the longitude gap around
-    the globe, and the cosine of the cell's latitude.
-    """
-    lat, lon = F.col("lat"), F.col("lon")
-    lat_lo, lat_hi = degrees("lat_lo"), degrees("lat_hi")
-    lon_lo, lon_hi = degrees("lon_lo"), degrees("lon_hi")
-    zero = F.lit(0.0)
-
-    def sine2(gap: Column) -> Column:
-        return F.pow(F.sin(F.radians(gap) / 2), F.lit(2.0))
-
-    def around(gap: Column) -> Column:
-        return F.least(F.abs(gap), 360 - F.abs(gap))
-
-    lat_near = F.greatest(lat_lo - lat, lat - lat_hi, zero)
-    lat_far = F.greatest(F.abs(lat - lat_lo), F.abs(lat - lat_hi))
-    lon_inside = (lon >= lon_lo) & (lon <= lon_hi)
-    lon_near = F.when(lon_inside, zero).otherwise(F.least(around(lon - lon_lo), around(lon - lon_hi)))
-    lon_far = F.least(F.greatest(F.abs(lon - lon_lo), F.abs(lon - lon_hi)), F.lit(180.0))
-    cos_lo, cos_hi = F.cos(F.radians(lat_lo)), F.cos(F.radians(lat_hi))
-    cos_min = F.least(cos_lo, cos_hi)
-    cos_max = F.when((lat_lo <= 0) & (lat_hi >= 0), F.lit(1.0)).otherwise(F.greatest(cos_lo, cos_hi))
-    cos_here = F.cos(F.radians(lat))
-    return (
-        metres(sine2(lat_near) + cos_here * cos_min * sine2(lon_near)),
-        metres(sine2(lat_far) + cos_here * cos_max * sine2(lon_far)),
+    ends = {f"{c}_{e}": degrees(f"{c}_int") for c in ("lat", "lon") for e in ("lo", "hi")}
+    finest = extent(tiled.withColumns(ends), "row", "col")
+    levels = F.explode(F.array(*[F.lit(level) for level in _LEVELS]))
+    every = finest.withColumn("level", levels).withColumns(
+        {c: F.expr(f"shiftright({c}, level - {_FINEST})") for c in ("row", "col")}
     )
+    return extent(every, "level", "row", "col")
 
 
 def nearest_cell(points: DataFrame, cells: DataFrame) -> DataFrame:
@@ -104,44 +82,50 @@ def nearest_cell(points: DataFrame, cells: DataFrame) -> DataFrame:
     Exact search from coarse to fine tiles: at each level a tile stays in the running for a point
     only if its nearest possible cell is not beyond the farthest possible cell of the best tile.
     All steps are equi-joins on tiles. A point meets the cells of a few of the finest tiles
-    instead of the whole grid, and points at one position are searched once.
+    instead of the whole grid, and points at one position are searched once. The table of tiles is
+    made in one pass over the cells and staged, as each level reads it.
     """
-    boxes = _boxes(cells)
-    places = points.select("lat", "lon").distinct()
-    at_point = Window.partitionBy("lat", "lon")
+    tiled = _with_tiles(cells.select("x", "y", "lat_int", "lon_int"))
+    boxes = cut_lineage(_boxes(tiled))
+    sizes = dict(boxes.groupBy("level").count().collect())
 
-    tile = F.col("_tile")
+    at_place = Window.partitionBy("lat", "lon")
     kept = (
-        places.withColumn("_tile", F.explode(F.sequence(F.lit(0), F.lit(_TOP_ROWS * _TOP_COLS - 1))))
-        .withColumn("_row", F.floor(tile / _TOP_COLS).cast("bigint"))
-        .withColumn("_col", (tile % _TOP_COLS).cast("bigint"))
-        .drop("_tile")
+        points.select("lat", "lon")
+        .distinct()
+        .withColumn("tile", F.explode(F.sequence(F.lit(0), F.lit(_TOP_ROWS * _TOP_COLS - 1))))
+        .selectExpr(
+            "lat", "lon", f"tile DIV {_TOP_COLS} AS up_row", f"bigint(tile % {_TOP_COLS}) AS up_col"
+        )
     )
-    for i, level in enumerate(_LEVELS):
-        shift = _LEVELS[i - 1] - level if i else 0
+    above = _LEVELS[0]
+    for level in _LEVELS:
         children = (
-            boxes[level]
-            .withColumn("_row", F.shiftright("row", shift))
-            .withColumn("_col", F.shiftright("col", shift))
+            boxes.filter(F.col("level") == level)
+            .withColumn("up_row", F.shiftright("row", above - level))
+            .withColumn("up_col", F.shiftright("col", above - level))
         )
-        near, far = _box_bounds()
         kept = (
-            kept.join(children, ["_row", "_col"])
-            .select("lat", "lon", "row", "col", near.alias("_near"), far.alias("_far"))
-            .withColumn("_best", F.min("_far").over(at_point))
-            .filter(F.col("_near") <= F.col("_best") + _SLACK_M)
-            .select("lat", "lon", F.col("row").alias("_row"), F.col("col").alias("_col"))
-        )
+            kept.join(small_side(children, rows=sizes.get(level, 0)), ["up_row", "up_col"])
+            .select(
+                "lat", "lon", "row", "col",
+                metres(F.expr(_NEAR)).alias("near"), metres(F.expr(_FAR)).alias("far"),
+            )
+            .withColumn("best", F.min("far").over(at_place))
+            .filter(F.col("near") <= F.col("best") + _SLACK_M)
+            .selectExpr("lat", "lon", "row AS up_row", "col AS up_col")
+        )
+        above = level
 
-    row, col = _tile(_LEVELS[-1])
     distance = metres(
         haversine(F.col("lat"), F.col("lon"), degrees("lat_int"), degrees("lon_int"))
     )
     found = (
-        kept.join(cells.withColumn("_row", row).withColumn("_col", col), ["_row", "_col"])
+        kept.selectExpr("lat", "lon", "up_row AS row", "up_col AS col")
+        .join(tiled, ["row", "col"])
         .groupBy("lat", "lon")
-        .agg(F.min(F.struct(F.round(distance, 3).alias("dist_m"), "x", "y")).alias("_near"))
-        .select("lat", "lon", "_near.x", "_near.y", "_near.dist_m")
+        .agg(F.min(F.struct(F.round(distance, 3).alias("dist_m"), "x", "y")).alias("near"))
+        .select("lat", "lon", "near.x", "near.y", "near.dist_m")
     )
     return points.join(found, ["lat", "lon"]).select(*points.columns, "x", "y", "dist_m")
 
@@ -202,7 +186,7 @@ def compare_at_points(
 
     The mean is the same for every point that names an element, so it is taken once per time and
     element, over the cells of matched elements only, and handed to the points afterwards. The
-    matches, a few per point, are checkpointed because they are used twice.
+    matches, a few per point, are staged because they are used twice.
     """
     matches = match_streets(nearest_cell(points, cell_coords), cell_streets, street_names)
     named = matches.filter(F.col("strname_match")).select("element_nr", "bez").distinct()

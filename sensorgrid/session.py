@@ -24,7 +24,6 @@ def build_session(master: str | None = None, app: str = "sensorgrid", **conf: st
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     settings.update({k.replace("__", "."): v for k, v in conf.items()})
     for key, value in settings.items():
@@ -33,7 +32,7 @@ def build_session(master: str | None = None, app: str = "sensorgrid", **conf: st
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints and staged files.
+    """The shared folder for staged tables.
 
     The cluster names it in ``spark.checkpoint.dir``. A folder of our own is set only where none
     is configured and the session is local; a cluster without one is an error, because a folder
@@ -58,13 +57,14 @@ def work_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint. Persisting first keeps the plan from running twice."""
-    checkpoint_dir(df.sparkSession)
-    held = df.persist()
-    try:
-        return held.checkpoint(eager=True)
-    finally:
-        held.unpersist()
+    """Write ``df`` once as a table in the shared folder and go on from there.
+
+    Compared with ``checkpoint()`` this takes one job instead of two, stays columnar and
+    compressed, and gives Catalyst the size of the result. The folder's owner clears it.
+    """
+    path = work_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS, rows: int | None = None) -> DataFrame:

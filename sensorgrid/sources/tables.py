@@ -101,7 +101,7 @@ def _write(df: DataFrame, table: Table, mode: str) -> None:
 
 def _rewrite(df: DataFrame, table: Table) -> None:
     """Replace the touched partitions, or the whole of an unpartitioned table. The latter is read
-    and written in one job, so its rows are checkpointed first.
+    and written in one job, so its rows are staged first.
 
     Rebalancing brings the rows of a partition together, so that not every task writes into every
     partition, and adaptive execution splits a partition that is much larger than the others.
@@ -122,7 +122,7 @@ def append(df: DataFrame, table: Table, dry_run: bool = False) -> None:
 def upsert_latest(df: DataFrame, table: Table, dry_run: bool = False) -> None:
     """Insert rows; a row replaces the stored row with the same key.
 
-    The new rows are computed once and checkpointed, then checked and merged.
+    The new rows are computed once and staged, then checked and merged.
     """
     require_columns(df, table.columns, table.path)
     if dry_run:

@@ -30,7 +30,7 @@ def data(spark):
 def fitted(data):
     return bo.fit_boosted(
         data.filter("id < 2400"), SPEC, BoostParams(4, 3, eta=0.5, reg_lambda=1.0),
-        data.filter("id >= 2400"), checkpoint_every=2,
+        data.filter("id >= 2400"), stage_every=2,
     )
 
 
