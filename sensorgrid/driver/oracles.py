@@ -157,9 +157,9 @@ SQL: dict[str, str] = {
     "apply_factors": """SELECT p.model_id, p.date_time, p.x, p.y, p.value,
         round(p.value * f.scaling / 2, 6) AS pred
         FROM preds_year p JOIN factors f ON p.x = f.x AND p.y = f.y""",
-    "scaled_union": """SELECT p.date_time, p.x, p.y, round(p.value * f.scaling, 6) AS pred
+    "scaled_union": """SELECT p.date_time, p.x, p.y, round(p.value * f.scaling, 9) AS pred
         FROM preds_year p JOIN factors f ON p.x = f.x AND p.y = f.y WHERE p.model_id = 1
-        UNION ALL SELECT p.date_time, p.x, p.y, round(p.value * f.kfz_per_24h, 6) AS pred
+        UNION ALL SELECT p.date_time, p.x, p.y, round(p.value * f.kfz_per_24h, 9) AS pred
         FROM preds_year p JOIN factors f ON p.x = f.x AND p.y = f.y WHERE p.model_id = 2""",
     "factors_at_sensors": """SELECT DISTINCT m.det_x AS x, m.det_y AS y, round(f.scaling, 6) AS scaling
         FROM (SELECT DISTINCT x, y FROM obs) o
@@ -308,6 +308,8 @@ VIEWS["explained"] = f"""SELECT {ROW}, l_quantity, l_discount, l_tax,
 VIEWS["nodes"] = """SELECT CASE l_linenumber WHEN 1 THEN 'land_water' WHEN 2 THEN 'str_class_I'
     WHEN 3 THEN 'building_height' WHEN 4 THEN 'summer_holidays' WHEN 5 THEN 'x' WHEN 6 THEN 'hour'
     END AS feature, l_quantity AS gain FROM lineitem"""
+VIEWS["sums"] = """SELECT date_time, x, y, sum(value) AS value FROM preds_year
+    GROUP BY date_time, x, y"""
 VIEWS["daily"] = """SELECT model_id, date_time, x, y, max(value) AS value FROM preds_year
     GROUP BY model_id, date_time, x, y"""
 
@@ -350,6 +352,11 @@ SQL |= {
             FROM r1, best1 b), {stump(2, "r2")}
         {stump_rows(1)} UNION ALL {stump_rows(2)}""",
     "predict": f"SELECT {ROW}, {fixed_model(*PRICE_TESTS)} AS pred FROM lineitem",
+    "load_model": f"SELECT {ROW}, {fixed_model(*PRICE_TESTS)} AS pred FROM lineitem",
+    "append": "SELECT * FROM sums UNION ALL SELECT date_time, x, y, value + 1 FROM sums",
+    "compact": "SELECT date_time, x, y, value + 1 AS value FROM sums",
+    "truncate": "SELECT * FROM sums",
+    "snapshot": "SELECT * FROM obs",
     "score": GRID_SCORE,
     "score_backfill": GRID_SCORE,
     "refresh_calibration": f"""WITH p AS (SELECT x, y, avg(value) * 24 AS pred FROM ({GRID_SCORE}) s

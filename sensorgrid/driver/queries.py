@@ -18,10 +18,13 @@ from sensorgrid.plans.calibration import Inputs
 from sensorgrid.schemas import SCHEMAS
 from sensorgrid.session import cut_lineage, work_path
 from sensorgrid.sources import registry
-from sensorgrid.sources.tables import Table, append, transfer_registry
+from sensorgrid.sources.tables import Table, transfer_registry
+from sensorgrid.sources.tables import append as add
+from sensorgrid.sources.tables import compact as remove_superseded
 from sensorgrid.sources.tables import completeness_check as completeness
 from sensorgrid.sources.tables import dedupe_latest as dedupe
 from sensorgrid.sources.tables import transfer_tables as transfer
+from sensorgrid.sources.tables import truncate as empty
 from sensorgrid.sources.tables import upsert_latest as store
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,7 +74,9 @@ def scaled_union(v):
     first = factors(v)
     second = first.select("x", "y", F.col("kfz_per_24h").alias("scaling"))
     return rounded(
-        calibrate.scaled_union([(of_model(v, 1), first), (of_model(v, 2), second)]), "pred"
+        calibrate.scaled_union([(of_model(v, 1), first), (of_model(v, 2), second)]),
+        "pred",
+        digits=9,
     )
 
 
@@ -315,6 +320,15 @@ def predict(v):
     return out.select(*ROW, F.round("pred", 6).alias("pred"))
 
 
+@query
+def load_model(v):
+    """Predictions of the model after saving and loading it."""
+    path = work_path(v.spark, "model")
+    boosting.save_model(v.spark, PRICE_MODEL, path)
+    out = boosting.predict(v.table("lineitem"), boosting.load_model(v.spark, path))
+    return out.select(*ROW, F.round("pred", 6).alias("pred"))
+
+
 def _grid(v: Views) -> DataFrame:
     return features.feature_frame(features.grid_locations(v.cells), v.calendar, v.sides)
 
@@ -384,15 +398,56 @@ def upsert_latest(v):
     return table.read(v.spark)
 
 
+def _sums(v: Views) -> tuple[DataFrame, Table]:
+    """Quantity per ship date and supplier cell, and a table for it."""
+    sums = v.preds_year.groupBy("date_time", "x", "y").agg(F.sum("value").alias("value"))
+    schema = "date_time timestamp_ntz, x bigint, y bigint, value double"
+    return sums, Table(work_path(v.spark, "sums"), schema, ("date_time", "x", "y"), ("x",), "value")
+
+
+@query
+def append(v):
+    """Two appends leave both rows of a key."""
+    sums, table = _sums(v)
+    add(sums, table)
+    add(sums.withColumn("value", F.col("value") + 1), table)
+    return table.read(v.spark)
+
+
+@query
+def compact(v):
+    """The later of two appended rows of a key stays."""
+    sums, table = _sums(v)
+    add(sums, table)
+    add(sums.withColumn("value", F.col("value") + 1), table)
+    remove_superseded(v.spark, table)
+    return table.read(v.spark)
+
+
+@query
+def truncate(v):
+    """Rows written before the truncation are gone."""
+    sums, table = _sums(v)
+    add(sums.withColumn("value", F.col("value") + 1), table)
+    empty(v.spark, table)
+    add(sums, table)
+    return table.read(v.spark)
+
+
+@query
+def snapshot(v):
+    return features.snapshot(v.obs, work_path(v.spark, "snapshot"), ["x"])
+
+
 @query
 def transfer_tables(v):
     """Factors and predictions copied between two schemas; a missing table is reported."""
     root = work_path(v.spark, "transfer")
     specs = transfer_registry()
     scaling, stations = specs["traffic_model_scaling"], specs["traffic_model_predictions_stations"]
-    append(factors(v), scaling.at(root, scaling.source_schema))
+    add(factors(v), scaling.at(root, scaling.source_schema))
     daily = v.preds_year.groupBy("model_id", "date_time", "x", "y").agg(F.max("value").alias("value"))
-    append(daily, stations.at(root, stations.source_schema))
+    add(daily, stations.at(root, stations.source_schema))
     missing = specs["traffic_models_final"]
     report, _ = transfer(v.spark, root, [scaling, missing, stations])
     return report.select("table", "ok", "rows")

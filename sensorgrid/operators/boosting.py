@@ -24,7 +24,7 @@ from sensorgrid.functions.expressions import non_negative
 from sensorgrid.operators.evaluate import metric_columns
 from sensorgrid.operators.model import LAMBDAS, BoostParams, FeatureSpec
 from sensorgrid.schemas import require_columns
-from sensorgrid.session import cut_lineage, work_path
+from sensorgrid.session import Stage, work_path
 
 NODE_SCHEMA = (
     "tree int, node int, feature string, threshold double, left int, right int, "
@@ -160,10 +160,33 @@ def _add_tree(df: DataFrame, model, leaf_weights: Sequence[float]) -> DataFrame:
     )
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Use all cores for data that came in fewer pieces: it is read in every round."""
+def _staged(df: DataFrame, stage: Stage) -> DataFrame:
+    """Stage the rows that every round reads, in enough pieces for all cores."""
+    staged = stage.put(df)
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return cut_lineage(df.repartition(cores)) if df.rdd.getNumPartitions() < cores else df
+    return stage.put(staged.repartition(cores)) if staged.rdd.getNumPartitions() < cores else staged
+
+
+def _sampled(df: DataFrame, share: float, seed: int, round_no: int) -> DataFrame:
+    """The rows of one round, by a hash of the row."""
+    if share >= 1:
+        return df
+    unit = F.pmod(F.xxhash64("_row", F.lit(seed), F.lit(round_no)), F.lit(2**31)) / float(2**31)
+    return df.filter(unit < share)
+
+
+def _grow(df: DataFrame, target: str, params: BoostParams, seed: int, max_bins: int):
+    """One Spark tree on what is left of the target."""
+    return DecisionTreeRegressor(
+        featuresCol="_some_features",
+        labelCol="_residual",
+        predictionCol="_tree_prediction",
+        leafCol="_leaf",
+        maxDepth=params.max_depth,
+        maxBins=max_bins,
+        minInstancesPerNode=max(1, int(params.min_child_weight)),
+        seed=seed,
+    ).fit(df.select("_some_features", (F.col(target) - F.col("_pred")).alias("_residual")))
 
 
 def _rmse(df: DataFrame, target: str) -> float:
@@ -205,52 +228,43 @@ def fit_boosted(
             F.lit(float(base_score)).alias("_pred"),
         )
 
-    frames = {"train": _spread(cut_lineage(prepared(train)))}
+    stages = {"train": Stage(spark, "train")}
+    frames = {"train": _staged(prepared(train), stages["train"])}
     if validation is not None:
-        frames["validation"] = _spread(cut_lineage(prepared(validation)))
+        stages["validation"] = Stage(spark, "validation")
+        frames["validation"] = _staged(prepared(validation), stages["validation"])
     draw = random.Random(seed)
     n_features = len(spec.features)
     n_drawn = max(1, round(params.colsample_bytree * n_features))
     nodes: list[Node] = []
     history: list[tuple] = []
     best_round, best_error = 0, math.inf
-    for round_no in range(1, params.nrounds + 1):
-        picked = sorted(draw.sample(range(n_features), n_drawn))
-        slicer = VectorSlicer(inputCol="_features", outputCol="_some_features", indices=picked)
-        rows = frames["train"]
-        if params.subsample < 1:
-            unit = F.pmod(F.xxhash64("_row", F.lit(seed), F.lit(round_no)), F.lit(2**31)) / float(2**31)
-            rows = rows.filter(unit < params.subsample)
-        residuals = slicer.transform(rows).select(
-            "_some_features", (F.col(target) - F.col("_pred")).alias("_residual")
-        )
-        tree = DecisionTreeRegressor(
-            featuresCol="_some_features",
-            labelCol="_residual",
-            predictionCol="_tree_prediction",
-            leafCol="_leaf",
-            maxDepth=params.max_depth,
-            maxBins=max_bins,
-            minInstancesPerNode=max(1, int(params.min_child_weight)),
-            seed=seed + round_no,
-        ).fit(residuals)
-        stored = _stored_nodes(spark, tree, f"tree-{round_no}")
-        names = [spec.features[i] for i in picked]
-        tree_nodes, leaf_weights = _penalised_tree(stored, round_no, names, params)
-        nodes += tree_nodes
-        cut = round_no % stage_every == 0 and round_no < params.nrounds
-        for name, frame in frames.items():
-            moved = _add_tree(slicer.transform(frame), tree, leaf_weights)
-            frames[name] = cut_lineage(moved) if cut else moved
-        if validation is None:
-            best_round = round_no
-            continue
-        error = _rmse(frames["validation"], target)
-        history.append((round_no, error))
-        if error < best_error:
-            best_round, best_error = round_no, error
-        elif round_no - best_round >= early_stopping_rounds:
-            break
+    try:
+        for round_no in range(1, params.nrounds + 1):
+            picked = sorted(draw.sample(range(n_features), n_drawn))
+            slicer = VectorSlicer(inputCol="_features", outputCol="_some_features", indices=picked)
+            rows = _sampled(frames["train"], params.subsample, seed, round_no)
+            tree = _grow(slicer.transform(rows), target, params, seed + round_no, max_bins)
+            stored = _stored_nodes(spark, tree, f"tree-{round_no}")
+            names = [spec.features[i] for i in picked]
+            tree_nodes, leaf_weights = _penalised_tree(stored, round_no, names, params)
+            nodes += tree_nodes
+            cut = round_no % stage_every == 0 and round_no < params.nrounds
+            for name, frame in frames.items():
+                moved = _add_tree(slicer.transform(frame), tree, leaf_weights)
+                frames[name] = stages[name].put(moved) if cut else moved
+            if validation is None:
+                best_round = round_no
+                continue
+            error = _rmse(frames["validation"], target)
+            history.append((round_no, error))
+            if error < best_error:
+                best_round, best_error = round_no, error
+            elif round_no - best_round >= early_stopping_rounds:
+                break
+    finally:
+        for stage in stages.values():
+            stage.clear()
     nodes = [n for n in nodes if n.tree <= best_round]
     return BoostedModel(spec, params, float(base_score), nodes, best_round, history)
 

@@ -110,5 +110,5 @@ def score_backfill(
         frame = feature_frame(locations, hours, sides, x_coords=x_coords, **frame_options)
         append(score_frame(frame, model, model_id), table, dry_run)
     if not dry_run:
-        compact(spark, table, F.col("model_id") == model_id)
+        compact(spark, table, {"model_id": model_id})
     return len(jobs)

@@ -110,12 +110,13 @@ def spatial_validation(
     """Predict each sensor with a model that has not seen it. Counts are scaled with the factor of
     the sensor's cell and halved, because the factors belong to both directions of a road."""
     spec, params = spec or feature_spec(target), params or best_params(target)
-    folded = splits.group_folds(df, sensor, n_folds, seed)
+    folded = cut_lineage(splits.group_folds(df, sensor, n_folds, seed))
     predicted = spatial_cv(folded, spec, params, range(1, n_folds + 1), seed=seed)
     if target == CALIBRATED_TARGET:
         predicted = apply_factors(predicted, factors, value="pred", out="pred", how="left", divisor=2)
     else:
         predicted = predicted.join(factors.select("x", "y", "scaling"), ["x", "y"], "left")
+    predicted = cut_lineage(predicted)
     per_fold = evaluate.metrics_by_group(predicted, "fold", spec.target, "pred")
     per_sensor = evaluate.sensor_summary(
         predicted, spec.target, "pred", sensor=sensor, scaling="scaling"

@@ -56,15 +56,35 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` once as a table in the shared folder and go on from there.
+class Stage:
+    """A place in the shared folder that holds one table at a time.
 
-    Compared with ``checkpoint()`` this takes one job instead of two, stays columnar and
-    compressed, and gives Catalyst the size of the result. The folder's owner clears it.
+    Compared with ``checkpoint()`` a staged table takes one job instead of two, is columnar and
+    compressed, and tells Catalyst its size.
     """
-    path = work_path(df.sparkSession, "stage")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.name, self.path, self.schema = spark, name, None, None
+
+    def put(self, df: DataFrame) -> DataFrame:
+        """Write ``df``, which may read the table held so far, and go on from the copy."""
+        path = work_path(self.spark, self.name)
+        df.write.parquet(path)
+        self.clear()
+        self.path, self.schema = path, df.schema
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear(self) -> None:
+        """Give the space back: an empty table takes the place of the held one."""
+        if self.path:
+            empty = self.spark.createDataFrame([], self.schema)
+            empty.coalesce(1).write.mode("overwrite").parquet(self.path)
+            self.path = None
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Stage a table of moderate size that lazy results go on reading; it is left in the folder."""
+    return Stage(df.sparkSession, "stage").put(df)
 
 
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS, rows: int | None = None) -> DataFrame:
@@ -74,5 +94,5 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS, rows: int | None =
     join, in which adaptive execution splits skewed partitions.
     """
     if rows is None:
-        rows = df.select(F.lit(1)).limit(max_rows + 1).count()
+        rows = df.count()
     return F.broadcast(df) if rows <= max_rows else df

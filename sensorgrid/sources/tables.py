@@ -8,21 +8,23 @@ lost executor or a failed job leaves the old partitions in place. One writer per
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sensorgrid.schemas import SCHEMAS, require_columns
-from sensorgrid.session import cut_lineage
+from sensorgrid.session import Stage
 
 log = logging.getLogger(__name__)
 
+PRUNED_PARTITIONS = 5_000  # partition values named in a filter
+
 
 @dataclass(frozen=True)
 class Table:
@@ -109,7 +111,23 @@ def _rewrite(df: DataFrame, table: Table) -> None:
     if table.partition_by:
         _write(df.hint("rebalance", *table.partition_by), table, "overwrite")
     else:
-        _write(cut_lineage(df), table, "overwrite")
+        stage = Stage(df.sparkSession, "rewrite")
+        _write(stage.put(df), table, "overwrite")
+        stage.clear()  # not after an error: then the staged rows are the only copy
+
+
+def _partitions_of(stored: DataFrame, rows: DataFrame, table: Table) -> DataFrame:
+    """Stored rows in the partitions that ``rows`` fall into.
+
+    The partition values, unless they are very many, also go into a filter, so that the other
+    partitions are not even listed for the scan.
+    """
+    touched = rows.select(*table.partition_by).distinct()
+    values = touched.limit(PRUNED_PARTITIONS + 1).collect()
+    if len(values) <= PRUNED_PARTITIONS:
+        for name in table.partition_by:
+            stored = stored.filter(F.col(name).isin(sorted({v[name] for v in values})))
+    return stored.join(touched, list(table.partition_by), "left_semi").select(*table.columns)
 
 
 def append(df: DataFrame, table: Table, dry_run: bool = False) -> None:
@@ -127,32 +145,38 @@ def upsert_latest(df: DataFrame, table: Table, dry_run: bool = False) -> None:
     require_columns(df, table.columns, table.path)
     if dry_run:
         return
-    df = cut_lineage(df.select(*table.columns))
-    require_key(df, table)
-    old = table.read(df.sparkSession)
-    if table.partition_by:
-        touched = df.select(*table.partition_by).distinct()
-        old = old.join(touched, list(table.partition_by), "left_semi").select(*table.columns)
-    _rewrite(merge_latest(old, df, table.key, table.version), table)
-
-
-def compact(spark: SparkSession, table: Table, within: Column | None = None) -> None:
+    stage = Stage(df.sparkSession, "upsert")
+    try:
+        new = stage.put(df.select(*table.columns))
+        require_key(new, table)
+        old = table.read(df.sparkSession)
+        if table.partition_by:
+            old = _partitions_of(old, new, table)
+        _rewrite(merge_latest(old, new, table.key, table.version), table)
+    finally:
+        stage.clear()
+
+
+def compact(
+    spark: SparkSession, table: Table, within: Mapping[str, object] | None = None
+) -> None:
     """Remove superseded rows left by appends. Partitions without any are not rewritten.
 
-    ``within`` limits the work to part of the table by a condition on its partition columns.
+    ``within`` limits the work to given values of partition columns.
     """
     stored = table.read(spark)
-    if within is not None:
-        stored = stored.filter(within)
+    for name, value in (within or {}).items():
+        if name not in table.partition_by:
+            raise ValueError(f"{table.path}: {name!r} is not a partition column")
+        stored = stored.filter(F.col(name) == value)
     require_key(stored, table)
     repeated = stored.groupBy(*table.key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
     if repeated.isEmpty():
         return
     if table.partition_by:
-        touched = repeated.select(*table.partition_by).distinct()
-        stored = stored.join(touched, list(table.partition_by), "left_semi")
+        stored = _partitions_of(stored, repeated, table)
     version = [table.version] if table.version else []
-    _rewrite(dedupe_latest(stored.select(*table.columns), table.key, version), table)
+    _rewrite(dedupe_latest(stored, table.key, version), table)
 
 
 def truncate(spark: SparkSession, table: Table) -> None:

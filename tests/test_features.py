@@ -167,6 +167,6 @@ def test_training_data_from_a_snapshot(spark, domain, sides, tmp_path):
     frame = ft.training_frame(domain["observations"], domain["calendar"], domain["sensor_map"], sides)
     stored = ft.snapshot(frame, str(tmp_path / "frame"))
     assert stored.dtypes == frame.dtypes
-    out = ft.training_data(spark, str(tmp_path / "frame"), "q_kfz")
+    out = ft.training_data(spark, str(tmp_path / "frame"), "q_kfz", sort=True)
     assert [r["mq_name"] for r in out.collect()] == ["a", "b", "d"]
     assert ft.training_data(spark, stored, "q_kfz", dev=True, fraction=0.7).count() == 2

@@ -74,7 +74,7 @@ def tables(root):
 
 def test_full_run(spark, inputs, frame, tmp_path):
     out = tables(str(tmp_path))
-    spec, params = FeatureSpec("q_kfz", FEATURES), BoostParams(3, 3, eta=0.5)
+    spec, params = FeatureSpec("q_kfz", FEATURES), BoostParams(2, 3, eta=0.8)
     train = ft.training_data(spark, frame, "q_kfz")
 
     def run(**options):
@@ -87,7 +87,7 @@ def test_full_run(spark, inputs, frame, tmp_path):
     assert out.on_grid.read(spark).count() == 0
 
     first = run()
-    assert first.model_id == 1 and first.in_sample["r2"] > 0.8
+    assert first.model_id == 1 and first.in_sample["r2"] > 0.6
     hours = 60 * 24
     ahead = inputs.calendar.filter(TimeRange.around_today(NOW).predicate()).count()
     assert out.at_sensors.read(spark).count() == 6 * hours
@@ -137,7 +137,7 @@ def test_backfill_goes_on_where_it_stopped(spark, inputs, tmp_path, chunk_size):
 
 def test_temporal_validation(spark, frame):
     spec = FeatureSpec("q_kfz", FEATURES)
-    grid = random_grid(spark, 2).withColumns({"nrounds": F.lit(2), "max_depth": F.lit(2)})
+    grid = random_grid(spark, 2).withColumns({"nrounds": F.lit(1), "max_depth": F.lit(2)})
     result = validation.temporal_validation(
         frame.drop("v_kfz"), "q_kfz", spec, grid, lambdas=(5.0, 5e5), weeks=1, n_folds=2
     )

@@ -1,11 +1,13 @@
 import json
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from sensorgrid.operators.model import FeatureSpec, best_params
 from sensorgrid.schemas import SCHEMAS
+from sensorgrid.session import Stage
 from sensorgrid.sources import registry
 from sensorgrid.sources import tables as tb
 
@@ -66,6 +68,33 @@ def test_append_then_compact(spark, table, tmp_path):
     assert {p.name for p in (tmp_path / "t" / "x=2").glob("*.parquet")} == before
 
 
+def test_compact_within_a_partition(spark, table):
+    for _ in range(2):
+        tb.append(frame(spark, (1, 1, 1.0), (2, 1, 3.0)), table)
+    tb.compact(spark, table, {"x": 1})
+    assert contents(spark, table) == [(1, 1, 1.0), (2, 1, 3.0), (2, 1, 3.0)]
+    with pytest.raises(ValueError, match="not a partition column"):
+        tb.compact(spark, table, {"y": 1})
+
+
+def test_many_partitions_are_found_by_the_join_alone(spark, table, monkeypatch):
+    monkeypatch.setattr(tb, "PRUNED_PARTITIONS", 1)
+    tb.upsert_latest(frame(spark, (1, 1, 1.0), (2, 1, 3.0), (3, 1, 4.0)), table)
+    tb.upsert_latest(frame(spark, (1, 1, 2.0), (2, 2, 5.0)), table)
+    assert contents(spark, table) == [(1, 1, 2.0), (2, 1, 3.0), (2, 2, 5.0), (3, 1, 4.0)]
+
+
+def test_a_stage_gives_its_space_back(spark, tmp_path):
+    stage = Stage(spark, "test")
+    first = stage.put(spark.range(1000))
+    path = Path(stage.path.removeprefix("file:"))
+    second = stage.put(first.filter("id < 10"))
+    assert second.count() == 10
+    assert spark.read.parquet(str(path)).count() == 0
+    stage.clear()
+    stage.clear()
+
+
 @pytest.mark.parametrize("partition_by", [("x",), ()])
 def test_truncate_keeps_the_table_usable(spark, tmp_path, partition_by):
     table = tb.Table(str(tmp_path / "t"), SCHEMA, ("x", "y"), partition_by)
