@@ -49,71 +49,79 @@ def expected_value(tree: list[Node]) -> float:
     return sum(n.weight * n.cover for n in leaves) / tree[0].cover
 
 
-def _leaf_values(
-    patterns: np.ndarray | None, z: np.ndarray, weight: float, t: np.ndarray, omega: np.ndarray
-) -> np.ndarray:
-    """Values of a leaf's path features, for rows that follow the tests given by bit patterns;
-    without ``patterns`` for all patterns in order.
-
-    With z_j the share of training rows that follow the path's tests of feature j, o_j = 1 if a row
-    follows them (bit j) and w the leaf's weight, feature i is worth
-    w (o_i − z_i) ∫₀¹ Π_{j≠i} (z_j (1 − t) + o_j t) dt. The integrand is a polynomial in t, and a
-    Gauss–Legendre rule (``t``, ``omega``) with enough points gives the integral exactly.
-    """
-    off = np.outer(z, 1 - t)
-    on = off + t
-    if patterns is None:
-        follows = _bits(len(z))
-        product = np.full((1, len(t)), weight)
-        for j in range(len(z)):
-            product = np.concatenate((product * off[j], product * on[j]))
-    else:
-        follows = (patterns[:, None] >> np.arange(len(z))) & 1 == 1
-        product = np.full((len(patterns), len(t)), weight)
-        for j in range(len(z)):
-            product *= np.where(follows[:, j, None], on[j], off[j])
-    return np.where(
-        follows, product @ ((omega / on).T * (1 - z)), product @ ((omega / off).T * -z)
-    )
-
-
-@cache
-def _bits(m: int) -> np.ndarray:
-    return (np.arange(2**m)[:, None] >> np.arange(m)) & 1 == 1
-
-
 def _tree_contributions(
     tree: list[Node], position: dict[str, int], x: np.ndarray, out: np.ndarray
 ) -> None:
     """Add one tree's exact path-dependent Shapley values of the rows ``x`` (features × rows) to
-    ``out``. On the way down each row carries a bit per tested feature: does it follow the path?"""
+    ``out``.
+
+    With z_j the share of training rows that follow a leaf's path in its tests of feature j,
+    o_j = 1 if a row follows them and w the leaf's weight, feature i is worth
+    w (o_i − z_i) ∫₀¹ Π_{j≠i} (z_j (1 − t) + o_j t) dt. The integrand is a polynomial in t, and a
+    Gauss–Legendre rule with enough points gives the integral exactly.
+
+    On the way down each row carries a bit o_j per tested feature, and the products of the formula
+    are kept per bit pattern, not per row; a leaf looks its rows' patterns up.
+    """
     depths = [0] * len(tree)
     for n in tree:
         if n.feature is not None:
             depths[n.left] = depths[n.right] = depths[n.node] + 1
     points, weights = np.polynomial.legendre.leggauss(max(1, (max(depths) + 1) // 2))
     t, omega = (points + 1) / 2, weights / 2
+    rest = 1 - t
+
+    def extended(product: np.ndarray | None, z: float) -> np.ndarray | None:
+        """Products with one more feature as the highest bit; given up beyond one per row."""
+        if product is None or 2 * len(product) > x.shape[1]:
+            return None
+        return np.concatenate((product * (z * rest), product * (z * rest + t)))
+
+    def replaced(product: np.ndarray | None, bit: int, old: float, new: float) -> np.ndarray | None:
+        """Products after a further test of a feature has changed its share."""
+        if product is None:
+            return None
+        ratio = np.stack((np.full(len(t), new / old), (new * rest + t) / (old * rest + t)))
+        return (product.reshape(-1, 2, bit, len(t)) * ratio[:, None, :]).reshape(-1, len(t))
+
+    def leaf(weight: float, follows: np.ndarray, shares: dict[int, float], product) -> None:
+        z = np.array([*shares.values()])
+        off = np.outer(z, rest)
+        on = off + t
+        index = follows & (2 ** len(z) - 1)
+        if product is None:  # more patterns than rows: only those that occur
+            patterns, index = np.unique(index, return_inverse=True)
+            bits = (patterns[:, None] >> np.arange(len(z))) & 1 == 1
+            product = np.prod(np.where(bits[:, :, None], on, off), axis=1)
+        else:
+            bits = _bits(len(z))
+        values = np.where(
+            bits.T, ((1 - z) * (omega / on).T).T @ product.T, (-z * (omega / off).T).T @ product.T
+        )
+        for f, column in zip(shares, values * weight, strict=True):
+            out[f] += column[index]
 
-    def visit(n: Node, follows: np.ndarray, shares: dict[int, float]) -> None:
+    def visit(n: Node, follows: np.ndarray, shares: dict[int, float], product) -> None:
         if n.feature is None:
-            if not shares:
-                return
-            if 2 ** len(shares) <= len(follows):
-                patterns, index = None, follows & (2 ** len(shares) - 1)
-            else:
-                patterns, index = np.unique(follows & (2 ** len(shares) - 1), return_inverse=True)
-            values = _leaf_values(patterns, np.array([*shares.values()]), n.weight, t, omega).T
-            for f, column in zip(shares, np.ascontiguousarray(values), strict=True):
-                out[f] += column[index]
+            if shares:
+                leaf(n.weight, follows, shares, product)
             return
         f = position[n.feature]
-        bit = 1 << (list(shares).index(f) if f in shares else len(shares))
-        left = x[f] <= n.threshold
-        for child, misses in ((tree[n.left], ~left), (tree[n.right], left)):
-            share = shares.get(f, 1.0) * child.cover / n.cover
-            visit(child, follows & ~(misses * bit), {**shares, f: share})
+        seen = f in shares
+        bit = 1 << (list(shares).index(f) if seen else len(shares))
+        left = (x[f] <= n.threshold) * bit
+        for child, misses in ((tree[n.left], bit - left), (tree[n.right], left)):
+            old = shares.get(f, 1.0)
+            z = old * child.cover / n.cover
+            below = replaced(product, bit, old, z) if seen else extended(product, z)
+            visit(child, follows & ~misses, {**shares, f: z}, below)
 
-    visit(tree[0], np.full(x.shape[1], -1, dtype=np.intp), {})
+    visit(tree[0], np.full(x.shape[1], -1, dtype=np.intp), {}, np.ones((1, len(t))))
+
+
+@cache
+def _bits(m: int) -> np.ndarray:
+    return (np.arange(2**m)[:, None] >> np.arange(m)) & 1 == 1
 
 
 def contribution_column(model: BoostedModel, spark):
