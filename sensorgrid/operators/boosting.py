@@ -24,7 +24,7 @@ from sensorgrid.functions.expressions import non_negative
 from sensorgrid.operators.evaluate import metric_columns
 from sensorgrid.operators.model import LAMBDAS, BoostParams, FeatureSpec
 from sensorgrid.schemas import require_columns
-from sensorgrid.session import Stage, work_path
+from sensorgrid.session import Stage, ship_package, work_path
 
 NODE_SCHEMA = (
     "tree int, node int, feature string, threshold double, left int, right int, "
@@ -317,6 +317,7 @@ def _score_batch(trees, base_score: float, x: np.ndarray) -> np.ndarray:
 def prediction_column(model: BoostedModel, spark: SparkSession, bounded: bool = True) -> Column:
     """Prediction as a column. Only the predictors travel to Python, in Arrow batches; the node
     arrays are broadcast once, and their size is bounded by rounds and depth."""
+    ship_package(spark)
     shared = spark.sparkContext.broadcast(_complete_trees(model))
     base = model.base_score
 

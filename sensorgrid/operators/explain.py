@@ -14,6 +14,7 @@ from sensorgrid.functions.expressions import feature_group
 from sensorgrid.operators.boosting import BoostedModel, Node
 from sensorgrid.operators.evaluate import bin_index
 from sensorgrid.schemas import require_columns
+from sensorgrid.session import ship_package
 
 # --- Fixed values -----------------------------------------------------------------------------
 TOP_FEATURES = 10
@@ -126,6 +127,7 @@ def _bits(m: int) -> np.ndarray:
 
 def contribution_column(model: BoostedModel, spark):
     """Struct with one value per feature and ``bias``; they add up to the unbounded prediction."""
+    ship_package(spark)
     shared = spark.sparkContext.broadcast(model.trees())
     names = list(model.spec.features)
     bias = model.base_score + sum(expected_value(t) for t in model.trees())

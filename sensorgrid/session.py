@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,6 +89,22 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return Stage(df.sparkSession, "stage").put(df)
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    The functions that run there are found by name, wherever the driver was started from.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        package = Path(__file__).resolve().parent
+        archive = Path(tempfile.mkdtemp(prefix="sensorgrid-")) / "sensorgrid"
+        sc.addPyFile(shutil.make_archive(str(archive), "zip", package.parent, package.name))
+        _shipped.add(sc.applicationId)
+
+
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS, rows: int | None = None) -> DataFrame:
     """Mark ``df`` for broadcast if it has at most ``max_rows`` rows, counted now if not known.
 
