@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sensorgrid.llm import decontaminate, simhash, substring, tokens
+from sensorgrid.llm import decontaminate, language, simhash, substring, tokens
 from sensorgrid.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,3 +40,8 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return tokens.token_counts(table(spark, sf_dir, "documents"), str(path))
+
+
+@query
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_report(table(spark, sf_dir, "documents"))
