@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sensorgrid.llm import decontaminate, language, simhash, substring, tokens
+from sensorgrid.llm import decontaminate, language, mixing, simhash, substring, tokens
 from sensorgrid.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+SQL["op3_source_mixing"] = mixing.SQL
