@@ -101,8 +101,6 @@ class Counter:
         bounds = np.cumsum([0] + [len(t) + 1 for t in texts])
         _, starts = self.encode(" ".join(texts))
         counts = np.bincount(np.searchsorted(bounds, starts, "right") - 1, minlength=len(texts))
-        if len(self.known) > _REMEMBERED:
-            self.known.clear()
         self.known.update(zip(words, counts.tolist(), strict=True))
 
     def count(self, text: bytes) -> int:
@@ -111,6 +109,8 @@ class Counter:
             if len(whole) > CHUNK_CHARS:
                 return spliced_count(whole, self.encode)
         words = text.split()
+        if len(self.known) > _REMEMBERED:
+            self.known.clear()
         new = list(set(words).difference(self.known))
         if new:
             self.learn(new)
