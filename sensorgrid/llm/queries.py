@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sensorgrid.llm import decontaminate, language, mixing, secrets, simhash, substring, tokens
+from sensorgrid.llm import decontaminate, language, mixing, secrets, simhash, substring, tokens, warc
 from sensorgrid.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +58,8 @@ SQL["op3_source_mixing"] = mixing.SQL
 @query
 def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
