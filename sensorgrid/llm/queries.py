@@ -7,7 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sensorgrid.llm import decontaminate, language, mixing, secrets, simhash, substring, tokens, warc
+from sensorgrid.llm import (
+    decontaminate,
+    language,
+    mixing,
+    quality,
+    secrets,
+    simhash,
+    substring,
+    tokens,
+    warc,
+)
 from sensorgrid.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +73,8 @@ def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+@query
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
