@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sensorgrid.llm import (
     decontaminate,
+    extraction,
     language,
     mixing,
     quality,
@@ -78,3 +79,8 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.main_texts(table(spark, sf_dir, "pages"))
