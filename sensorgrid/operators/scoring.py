@@ -13,7 +13,7 @@ from sensorgrid.functions.expressions import round_half_even
 from sensorgrid.functions.timeparts import TimeRange
 from sensorgrid.operators.boosting import BoostedModel, predict
 from sensorgrid.operators.features import feature_frame
-from sensorgrid.sources.tables import Table, append, compact, upsert_latest
+from sensorgrid.sources.tables import MONTH, Table, append, replace_partitions, upsert_latest
 
 log = logging.getLogger(__name__)
 
@@ -64,18 +64,34 @@ def score(
     upsert_latest(score_frame(features, model, model_id), table, dry_run)
 
 
-def pending_coordinates(
-    locations: DataFrame, calendar: DataFrame, stored: DataFrame
-) -> DataFrame:
-    """x coordinates whose stored rows are fewer than locations × hours."""
-    hours = calendar.agg(F.count(F.lit(1)).alias("n")).scalar()
-    wanted = locations.groupBy("x").agg((F.count(F.lit(1)) * hours).alias("_wanted"))
-    done = stored.groupBy("x").agg(F.count(F.lit(1)).alias("_done"))
-    return (
-        wanted.join(done, "x", "left")
-        .filter(F.coalesce("_done", F.lit(0)) < F.col("_wanted"))
-        .select("x")
-    )
+def _replace(
+    new: DataFrame, locations: DataFrame, hours: DataFrame, model_id: int, table: Table
+) -> None:
+    """Write a model's rows for all ``locations`` and ``hours`` in place of the stored ones.
+
+    Only partitions that the new rows touch are replaced. Rows of them that this run doesn't
+    score, such as hours of a month that the range begins or ends in, are carried over. They are
+    found by the hours and the places, not by matching keys of the whole product.
+    """
+    spark = new.sparkSession
+    stored = table.scan(spark).filter(F.col("model_id") == model_id)
+    if MONTH in table.partition_by:
+        when = F.col("date_time")
+        months = hours.select((F.year(when) * 100 + F.month(when)).cast("int").alias(MONTH)).distinct()
+        stored = stored.join(months, MONTH, "left_semi")
+    if "x" in table.partition_by:
+        stored = stored.join(locations.select("x").distinct(), "x", "left_semi")
+    if not stored.isEmpty():
+        hours, places = hours.select("date_time"), locations.select("x", "y")
+        other_hours = stored.join(hours, "date_time", "left_anti")
+        other_places = stored.join(hours, "date_time", "left_semi").join(places, ["x", "y"], "left_anti")
+        new = new.unionByName(other_hours.select(*new.columns)).unionByName(
+            other_places.select(*new.columns)
+        )
+    replace_partitions(new, table)
+
+
+RUN_SCHEMA = "run_id string, model_id bigint, chunk int, keys string"
 
 
 def score_backfill(
@@ -88,27 +104,41 @@ def score_backfill(
     time_range: TimeRange | None = None,
     chunk_size: float = math.inf,
     dry_run: bool = False,
+    run_id: str | None = None,
     **frame_options,
 ) -> int:
-    """Score all locations and hours, append, and remove duplicates once at the end.
-
-    By default this is one job, spread by location. ``chunk_size`` limits how many x coordinates
-    one job takes; then a run that broke off goes on where it stopped, because coordinates that
-    are complete in the table are skipped. ``model_id`` must be a partition column of the table.
-    Returns the number of jobs.
+    """Score all locations and hours and put them in place of what is stored. Returns the jobs run.
+
+    Every call scores everything anew, so a run after a change of the inputs replaces the values of
+    the one before. By default this is one job, spread by location, without a list of coordinates.
+    ``chunk_size`` limits how many x coordinates one job takes. With a ``run_id`` each chunk is
+    recorded after its commit, beside the table, and a later call of the same run skips the
+    recorded ones; nothing else is taken as proof that rows are there. ``model_id`` must be a
+    partition column of the table, and ``x`` too if the run is cut into chunks.
     """
     spark = locations.sparkSession
+    needed = {"model_id"} if math.isinf(chunk_size) else {"model_id", "x"}
+    if not needed <= set(table.partition_by):
+        raise ValueError(f"{table.path}: a backfill replaces partitions by {sorted(needed)}")
     hours = calendar.filter(time_range.predicate("date_time")) if time_range else calendar
-    stored = table.read(spark).filter(F.col("model_id") == model_id)
-    if time_range:
-        stored = stored.filter(time_range.predicate("date_time"))
-    chunks = chunk_keys(pending_coordinates(locations, hours, stored), "x", chunk_size)
-    jobs = chunks.orderBy("chunk").collect()
-    for job in jobs:
-        log.info("chunk %s of %s: x in (%s)", job["chunk"], len(jobs), job["keys"])
-        x_coords = [int(x) for x in job["keys"].split(", ")]
-        frame = feature_frame(locations, hours, sides, x_coords=x_coords, **frame_options)
-        append(score_frame(frame, model, model_id), table, dry_run)
-    if not dry_run:
-        compact(spark, table, {"model_id": model_id})
+    runs = Table(f"{table.path.rstrip('/')}_runs", RUN_SCHEMA, ("run_id", "model_id", "chunk"))
+    done = set()
+    if run_id is not None:
+        recorded = runs.read(spark).filter((F.col("run_id") == run_id) & (F.col("model_id") == model_id))
+        done = {(r["chunk"], r["keys"]) for r in recorded.collect()}
+    jobs: list[tuple[int, str | None]] = [(0, None)]
+    if not math.isinf(chunk_size):
+        chunks = chunk_keys(locations.select("x").distinct(), "x", chunk_size)
+        jobs = [(r["chunk"], r["keys"]) for r in chunks.orderBy("chunk").collect()]
+    jobs = [job for job in jobs if job not in done]
+    for chunk, keys in jobs:
+        places = locations
+        if keys is not None:
+            log.info("chunk %s: x in (%s)", chunk, keys)
+            places = locations.filter(F.col("x").isin([int(x) for x in keys.split(", ")]))
+        frame = feature_frame(places, hours, sides, **frame_options)
+        if not dry_run:
+            _replace(score_frame(frame, model, model_id), places, hours, model_id, table)
+            if run_id is not None:
+                append(spark.createDataFrame([(run_id, model_id, chunk, keys)], RUN_SCHEMA), runs)
     return len(jobs)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sensorgrid.functions.timeparts import format_timestamp
@@ -45,17 +45,22 @@ def describe_model(
 
 
 def resolve_model_id(described: DataFrame, registry: DataFrame) -> DataFrame:
-    """Give a description row its id: that of an equal registered row, else the highest id plus 1.
+    """Give description rows their ids: that of an equal registered row, else the next free one.
 
-    Rows are equal in time, name and description. An empty registry starts at 1.
+    Rows are equal in time, name and description. New descriptions, which are few, are numbered
+    in this order from the highest id on; equal ones share an id. An empty registry starts at 1.
     """
     same = ["date_time", "model_name", "description"]
     known = registry.groupBy(*same).agg(F.min("model_id").alias("_known"))
-    following = registry.agg((F.coalesce(F.max("model_id"), F.lit(0)) + 1).alias("n")).scalar()
+    highest = registry.agg(F.coalesce(F.max("model_id"), F.lit(0)).alias("n")).scalar()
+    wanted = described.drop("model_id").join(known, same, "left")
+    fresh = wanted.filter("_known IS NULL").select(*same).distinct()
+    number = highest + F.row_number().over(Window.orderBy(*same))
+    fresh = fresh.select(*[F.col(c).alias(f"_{c}") for c in same], number.alias("_new"))
+    equal = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in same]
     return (
-        described.drop("model_id")
-        .join(known, same, "left")
-        .withColumn("model_id", F.coalesce("_known", following))
+        wanted.join(fresh, equal, "left")
+        .withColumn("model_id", F.coalesce("_known", "_new").cast("bigint"))
         .select(*described.columns)
     )
 

@@ -1,8 +1,9 @@
 """Stored tables: append, keep-latest upsert, truncate, copy, and checks on them.
 
-Tables are parquet folders with a fixed schema. A rewrite of a partitioned table replaces only the
-partitions that the new rows touch, and Spark swaps them in after all tasks have succeeded, so a
-lost executor or a failed job leaves the old partitions in place. One writer per table at a time.
+Tables are parquet folders with a fixed schema. A rewrite replaces only the partitions that the new
+rows touch, and Spark swaps them in after all tasks have succeeded, so a lost executor or a failed
+job leaves the old partitions in place. A table without partition columns is one partition. One
+writer per table at a time.
 """
 
 from __future__ import annotations
@@ -26,18 +27,29 @@ log = logging.getLogger(__name__)
 PRUNED_PARTITIONS = 5_000  # partition values named in a filter
 
 
+MONTH = "month"
+_WHOLE = "part"  # the only partition of a table without partition columns
+
+
 @dataclass(frozen=True)
 class Table:
-    """A stored table. ``partition_by`` must be part of ``key`` so that a key stays in its place."""
+    """A stored table. ``partition_by`` must be part of ``key`` so that a key stays in its place.
+
+    With ``month_of``, a time of the key, ``partition_by`` may also name ``month``: a number like
+    202403 that is stored as a folder only.
+    """
 
     path: str
     schema: str
     key: tuple[str, ...]
     partition_by: tuple[str, ...] = ()
     version: str | None = None
+    month_of: str | None = None
 
     def __post_init__(self):
-        outside = set(self.partition_by) - set(self.key)
+        if self.month_of is not None and self.month_of not in self.key:
+            raise ValueError(f"{self.month_of!r} is not part of the key")
+        outside = set(self.partition_by) - set(self.key) - ({MONTH} if self.month_of else set())
         if outside:
             raise ValueError(f"partition columns {sorted(outside)} are not part of the key")
 
@@ -49,14 +61,38 @@ class Table:
     def columns(self) -> list[str]:
         return self.struct.fieldNames()
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        """The table, or an empty frame of its schema if it was never written."""
+    @property
+    def placed(self) -> list[str]:
+        """All stored columns: those of the schema and of the folders."""
+        return [*self.columns, *[c for c in self.folders if c not in self.columns]]
+
+    @property
+    def folders(self) -> tuple[str, ...]:
+        return self.partition_by or (_WHOLE,)
+
+    def place(self, df: DataFrame) -> DataFrame:
+        """The columns as stored."""
+        if MONTH in self.partition_by:
+            when = F.col(self.month_of)
+            df = df.withColumn(MONTH, (F.year(when) * 100 + F.month(when)).cast("int"))
+        if not self.partition_by:
+            df = df.withColumn(_WHOLE, F.lit(0))
+        return df.select(*self.placed)
+
+    def scan(self, spark: SparkSession) -> DataFrame:
+        """The table as stored, or an empty frame of its schema if it was never written."""
+        struct = self.struct
+        for name in self.placed[len(self.columns) :]:
+            struct = struct.add(name, "integer")
         try:
-            return spark.read.schema(self.struct).parquet(self.path).select(*self.columns)
+            return spark.read.schema(struct).parquet(self.path).select(*self.placed)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return spark.createDataFrame([], self.struct)
+            return spark.createDataFrame([], struct)
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return self.scan(spark).select(*self.columns)
 
 
 def require_key(df: DataFrame, table: Table) -> None:
@@ -94,26 +130,17 @@ def merge_latest(
 
 
 def _write(df: DataFrame, table: Table, mode: str) -> None:
-    df = df.select(*table.columns)
-    writer = df.write.mode(mode)
-    if table.partition_by:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*table.partition_by)
-    writer.parquet(table.path)
+    writer = table.place(df).write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*table.folders).parquet(table.path)
 
 
 def _rewrite(df: DataFrame, table: Table) -> None:
-    """Replace the touched partitions, or the whole of an unpartitioned table. The latter is read
-    and written in one job, so its rows are staged first.
+    """Replace the touched partitions.
 
     Rebalancing brings the rows of a partition together, so that not every task writes into every
     partition, and adaptive execution splits a partition that is much larger than the others.
     """
-    if table.partition_by:
-        _write(df.hint("rebalance", *table.partition_by), table, "overwrite")
-    else:
-        stage = Stage(df.sparkSession, "rewrite")
-        _write(stage.put(df), table, "overwrite")
-        stage.clear()  # not after an error: then the staged rows are the only copy
+    _write(table.place(df).hint("rebalance", *table.folders), table, "overwrite")
 
 
 def _partitions_of(stored: DataFrame, rows: DataFrame, table: Table) -> DataFrame:
@@ -122,7 +149,7 @@ def _partitions_of(stored: DataFrame, rows: DataFrame, table: Table) -> DataFram
     The partition values, unless they are very many, also go into a filter, so that the other
     partitions are not even listed for the scan.
     """
-    touched = rows.select(*table.partition_by).distinct()
+    touched = table.place(rows).select(*table.partition_by).distinct()
     values = touched.limit(PRUNED_PARTITIONS + 1).collect()
     if len(values) <= PRUNED_PARTITIONS:
         for name in table.partition_by:
@@ -149,14 +176,20 @@ def upsert_latest(df: DataFrame, table: Table, dry_run: bool = False) -> None:
     try:
         new = stage.put(df.select(*table.columns))
         require_key(new, table)
-        old = table.read(df.sparkSession)
+        old = table.scan(df.sparkSession)
         if table.partition_by:
             old = _partitions_of(old, new, table)
+        old = old.select(*table.columns)
         _rewrite(merge_latest(old, new, table.key, table.version), table)
     finally:
         stage.clear()
 
 
+def replace_partitions(df: DataFrame, table: Table) -> None:
+    """Write rows in place of all rows of the partitions that they fall into."""
+    _write(df, table, "overwrite")
+
+
 def compact(
     spark: SparkSession, table: Table, within: Mapping[str, object] | None = None
 ) -> None:
@@ -164,7 +197,7 @@ def compact(
 
     ``within`` limits the work to given values of partition columns.
     """
-    stored = table.read(spark)
+    stored = table.scan(spark)
     for name, value in (within or {}).items():
         if name not in table.partition_by:
             raise ValueError(f"{table.path}: {name!r} is not a partition column")
@@ -174,15 +207,20 @@ def compact(
     if repeated.isEmpty():
         return
     if table.partition_by:
-        stored = _partitions_of(stored, repeated, table)
+        stored = _partitions_of(stored, repeated.withColumns(_nulls(table)), table)
     version = [table.version] if table.version else []
     _rewrite(dedupe_latest(stored, table.key, version), table)
 
 
+def _nulls(table: Table) -> dict:
+    """The columns outside the key, empty."""
+    return {f.name: F.lit(None).cast(f.dataType) for f in table.struct if f.name not in table.key}
+
+
 def truncate(spark: SparkSession, table: Table) -> None:
     """Remove all rows; readers keep the schema from the table's definition."""
-    writer = spark.createDataFrame([], table.struct).write.mode("overwrite")
-    writer.option("partitionOverwriteMode", "static").partitionBy(*table.partition_by).parquet(
+    writer = table.place(spark.createDataFrame([], table.struct)).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "static").partitionBy(*table.folders).parquet(
         table.path
     )
 
@@ -196,34 +234,35 @@ class TransferSpec:
     key: tuple[str, ...]
     partition_by: tuple[str, ...] = ()
     version: str | None = None
+    month_of: str | None = None
     source_schema: str = "features"
     target_schema: str = "prod_features"
 
     def at(self, root: str, schema_name: str) -> Table:
         path = f"{root.rstrip('/')}/{schema_name}/{self.table}"
-        return Table(path, self.schema, self.key, self.partition_by, self.version)
+        return Table(path, self.schema, self.key, self.partition_by, self.version, self.month_of)
 
 
 def transfer_registry() -> dict[str, TransferSpec]:
     """The five tables that go from development to production, by name."""
-    prediction_key = ("model_id", "date_time", "x", "y")
+    predictions = dict(
+        schema=SCHEMAS["predictions"],
+        key=("model_id", "date_time", "x", "y"),
+        partition_by=("model_id", MONTH),
+        month_of="date_time",
+    )
+    output = dict(source_schema="output", target_schema="prod_output")
+    # --- Fixed values: names of the tables and their schemas
     specs = [
-        TransferSpec(
-            "traffic_model_predictions_stations", SCHEMAS["predictions"], prediction_key, ("model_id",)
-        ),
-        TransferSpec(
-            "traffic_model_predictions_grid", SCHEMAS["predictions"], prediction_key, ("model_id",)
-        ),
+        TransferSpec("traffic_model_predictions_stations", **predictions),
+        TransferSpec("traffic_model_predictions_grid", **predictions),
         TransferSpec("traffic_models_final", SCHEMAS["final_models"], ("depvar",)),
         TransferSpec("traffic_model_scaling", SCHEMAS["scaling"], ("x", "y")),
         TransferSpec(
-            "traffic_model_description",
-            SCHEMAS["model_description"],
-            ("model_id",),
-            source_schema="output",
-            target_schema="prod_output",
+            "traffic_model_description", SCHEMAS["model_description"], ("model_id",), **output
         ),
     ]
+    # ---
     return {s.table: s for s in specs}
 
 

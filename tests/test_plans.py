@@ -2,6 +2,7 @@
 
 import math
 import random
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 import pytest
@@ -59,13 +60,13 @@ def tables(root):
     key = ("model_id", "date_time", "x", "y")
 
     def predictions(name, by):
-        return Table(f"{root}/{name}", SCHEMAS["predictions"], key, by)
+        return Table(f"{root}/{name}", SCHEMAS["predictions"], key, by, month_of="date_time")
 
     return calibration.Outputs(
         at_sensors=predictions("sensors", ("model_id",)),
         at_stations=predictions("stations", ("model_id",)),
-        on_grid=predictions("grid", ("model_id", "x")),
-        on_grid_year=predictions("year", ("model_id", "x")),
+        on_grid=predictions("grid", ("model_id", "month", "x")),
+        on_grid_year=predictions("year", ("model_id", "month", "x")),
         descriptions=Table(f"{root}/descriptions", SCHEMAS["model_description"], ("model_id",)),
         final_models=Table(f"{root}/final", SCHEMAS["final_models"], ("depvar",)),
         scaling=Table(f"{root}/scaling", SCHEMAS["scaling"], ("x", "y")),
@@ -112,27 +113,66 @@ def test_incomplete_predictions_stop_the_run(inputs):
 
 
 def test_one_off_predictions(spark, inputs, tmp_path):
+    """A calendar of every sixth hour from 2021 to 2023, in UTC."""
     model = fixed_model(("hour", 12.0), ("x", 0.0), ("traffic_volume", 150.0))
-    out = tables(str(tmp_path))
-    calibration.hotspot_predictions(inputs, model, 3, out.on_grid)
-    calibration.passive_sampler_predictions(inputs, inputs.stations, model, 3, out.at_stations)
-    assert out.on_grid.read(spark).count() == out.at_stations.read(spark).count() == 0
+    out, start = tables(str(tmp_path)), datetime(2021, 1, 1)
+    hours = [start + timedelta(hours=6 * h) for h in range(3 * 365 * 4)]
+    calendar = spark.createDataFrame([(h, None, 0, 0.5) for h in hours], SCHEMAS["calendar"])
+    covered = replace(inputs, calendar=calendar)
+    calibration.hotspot_predictions(covered, model, 3, out.on_grid)
+    calibration.passive_sampler_predictions(covered, inputs.stations, model, 3, out.at_stations)
+    study = [h for h in hours if datetime(2021, 10, 31, 23) <= h <= datetime(2022, 10, 31, 22, 59, 59)]
+    year = [h for h in hours if datetime(2021, 12, 31, 23) <= h < datetime(2022, 12, 31, 23)]
+    grid = out.on_grid.read(spark)
+    assert grid.count() == 6 * len(study)
+    assert grid.agg(F.min("date_time"), F.max("date_time")).first()[:] == (study[0], study[-1])
+    assert sorted(r["date_time"] for r in out.at_stations.read(spark).collect()) == year
+    frame = ft.feature_frame(ft.grid_locations(inputs.cells), calendar.filter(F.col("date_time").isin(study)), inputs.sides)
+    assert grid.exceptAll(scoring.score_frame(frame, model, 3)).isEmpty()
 
 
 @pytest.mark.parametrize("chunk_size", [1, math.inf])
-def test_backfill_goes_on_where_it_stopped(spark, inputs, tmp_path, chunk_size):
+def test_backfill_replaces_what_is_stored(spark, inputs, tmp_path, chunk_size):
     model = fixed_model(("hour", 12.0), ("x", 0.0), ("traffic_volume", 150.0))
     table = tables(str(tmp_path)).on_grid
     span = TimeRange.half_open("2019-01-05", "2019-01-07")
     args = (ft.grid_locations(inputs.cells), inputs.calendar, inputs.sides, model, 4, table, span)
     whole = scoring.score_frame(ft.feature_frame(args[0], args[1], args[2], span), model, 4)
-    # a run that stopped after one coordinate and within another
-    scoring.append(whole.filter("x = 0 OR (x = 1 AND y = 0)"), table)
-    assert scoring.score_backfill(*args, chunk_size=chunk_size) == (2 if chunk_size == 1 else 1)
-    stored = table.read(spark)
-    assert stored.count() == whole.count() == 6 * 48
-    assert stored.exceptAll(whole).isEmpty()
-    assert scoring.score_backfill(*args, chunk_size=chunk_size) == 0
+    # repeated and outdated rows, others missing; rows of another hour, place and model stay
+    some = whole.filter("x = 0 OR (x = 1 AND y = 0)").withColumn("value", F.col("value") + 1)
+    others = [(4, datetime(2019, 1, 20), 0, 0, 1.0), (4, datetime(2019, 1, 5, 12), 0, 77, 2.0), (5, datetime(2019, 1, 5, 12), 0, 0, 3.0)]
+    others = spark.createDataFrame(others, table.struct)
+    for rows in (some, some, others):
+        scoring.append(rows, table)
+    for _ in range(2):
+        assert scoring.score_backfill(*args, chunk_size=chunk_size) == (3 if chunk_size == 1 else 1)
+        stored = table.read(spark)
+        assert stored.count() == whole.count() + 3 == 6 * 48 + 3
+        assert stored.exceptAll(whole.unionByName(others)).isEmpty()
+
+
+def test_backfill_goes_on_by_recorded_chunks(spark, inputs, tmp_path, monkeypatch):
+    model = fixed_model(("hour", 12.0), ("x", 0.0), ("traffic_volume", 150.0))
+    table = tables(str(tmp_path)).on_grid
+    span = TimeRange.half_open("2019-01-05", "2019-01-06")
+    args = (ft.grid_locations(inputs.cells), inputs.calendar, inputs.sides, model, 4, table, span)
+    real, calls = scoring._replace, []
+
+    def breaks_off(*replaced):
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        real(*replaced)
+
+    monkeypatch.setattr(scoring, "_replace", breaks_off)
+    with pytest.raises(RuntimeError, match="lost"):
+        scoring.score_backfill(*args, chunk_size=1, run_id="a")
+    assert table.read(spark).count() == 2 * 24
+    assert scoring.score_backfill(*args, chunk_size=1, run_id="a") == 2
+    assert table.read(spark).count() == 6 * 24
+    assert scoring.score_backfill(*args, chunk_size=1, run_id="a") == 0
+    assert scoring.score_backfill(*args, chunk_size=1, run_id="b") == 3
+    assert scoring.score_backfill(*args, chunk_size=1, dry_run=True) == 3
 
 
 def test_temporal_validation(spark, frame):

@@ -181,6 +181,35 @@ def test_model_ids(spark, tmp_path):
     assert registry.resolve_model_id(described, table.read(spark)).first()["model_id"] == 1
     other = registry.describe_model(train, spec, best_params("v_kfz"), "m")
     assert registry.resolve_model_id(other, table.read(spark)).first()["model_id"] == 8
+    several = described.unionByName(other).unionByName(other.withColumn("model_name", F.lit("z")))
+    several = several.unionByName(other)
+    ids = registry.resolve_model_id(several, table.read(spark)).collect()
+    assert sorted(r["model_id"] for r in ids) == [1, 8, 8, 9]
+
+
+@pytest.mark.parametrize("by", [(), ("x",)])
+def test_a_rewrite_that_breaks_off_leaves_the_table(spark, tmp_path, by):
+    table = tb.Table(str(tmp_path / "t"), SCHEMA, ("x", "y"), by)
+    struct = table.struct
+    good = spark.range(20).select(*[(F.col("id") + k).cast(f.dataType).alias(f.name) for k, f in enumerate(struct)])
+    tb.upsert_latest(good, table)
+    before = contents(spark, table)
+    broken = good.withColumn("x", F.when(F.col("x") > 15, F.raise_error(F.lit("lost"))).otherwise(F.col("x")))
+    with pytest.raises(Exception, match="lost"):
+        tb._rewrite(broken, table)
+    assert contents(spark, table) == before
+
+
+def test_months_are_folders(spark, tmp_path):
+    key = ("model_id", "date_time", "x", "y")
+    table = tb.Table(str(tmp_path / "p"), SCHEMAS["predictions"], key, ("model_id", "month"), month_of="date_time")
+    rows = [(1, datetime(2024, m, 1), 0, 0, float(m)) for m in (1, 2, 3)]
+    tb.upsert_latest(spark.createDataFrame(rows, table.struct), table)
+    tb.upsert_latest(spark.createDataFrame([(1, datetime(2024, 2, 1), 0, 0, 9.0)], table.struct), table)
+    assert sorted(r["value"] for r in table.read(spark).collect()) == [1.0, 3.0, 9.0]
+    assert sorted(p.name for p in (tmp_path / "p" / "model_id=1").iterdir()) == ["month=202401", "month=202402", "month=202403"]
+    with pytest.raises(ValueError):
+        tb.Table("p", SCHEMAS["predictions"], key, ("month",))
 
 
 def test_final_model_pointer(spark, tmp_path):
