@@ -412,9 +412,11 @@ def search(
 
 
 def search_results(best: DataFrame, results: DataFrame) -> DataFrame:
-    """Metrics of a parameter row: left join on all columns that both sides have."""
+    """Metrics of a parameter row, best first: left join on all columns that both sides have."""
     common = [c for c in best.columns if c in results.columns]
-    return best.join(results, common, "left")
+    found = best.join(results, common, "left")
+    order = [F.col(c).asc_nulls_last() for c in ("rmse", "trial") if c in found.columns]
+    return found.orderBy(*order) if order else found
 
 
 def best_trial(results: DataFrame, by: str = "rmse", tie: str = "trial") -> DataFrame:

@@ -65,24 +65,33 @@ def scaled_union(
 
 
 def factors_at_sensors(
-    cross_sections: DataFrame, reprojection: DataFrame, sensor_map: DataFrame, factors: DataFrame
+    cross_sections: DataFrame,
+    reprojection: DataFrame,
+    sensor_map: DataFrame,
+    factors: DataFrame,
+    unmatched: str = "null",
 ) -> DataFrame:
     """Factor of the cell each sensor lies in; NULL where the cell has none.
 
-    Cross sections that lead to no known sensor are left out.
+    Cross sections that lead to no known sensor give a row of NULLs, or with ``unmatched="drop"``
+    none.
     """
+    if unmatched not in ("null", "drop"):
+        raise ValueError(f"unmatched must be 'null' or 'drop', not {unmatched!r}")
     sensors = sensor_map.select(
         F.col("det_x").alias("x"), F.col("det_y").alias("y"), "stadt_x", "stadt_y"
     )
     by_cell = factors.select(
         F.col("x").alias("stadt_x"), F.col("y").alias("stadt_y"), "scaling"
     )
-    return (
+    placed = reprojection.select("lat_int", "lon_int", F.col("x").alias("at_x"), F.col("y").alias("at_y"))
+    found = (
         cross_sections.select("lat_int", "lon_int")
         .distinct()
-        .join(reprojection.select("lat_int", "lon_int", "x", "y"), ["lat_int", "lon_int"])
-        .join(sensors, ["x", "y"])
+        .join(placed, ["lat_int", "lon_int"], "left")
+        .join(sensors, (F.col("at_x") == F.col("x")) & (F.col("at_y") == F.col("y")), "left")
         .join(by_cell, ["stadt_x", "stadt_y"], "left")
         .select("x", "y", "scaling")
         .distinct()
     )
+    return found.filter("x IS NOT NULL") if unmatched == "drop" else found

@@ -77,7 +77,8 @@ def nearest_cell(points: DataFrame, cells: DataFrame) -> DataFrame:
     """Nearest cell of every point by great-circle distance; ties go to the smallest (x, y).
 
     ``points`` has ``lat``, ``lon`` in degrees, ``cells`` has ``x, y, lat_int, lon_int``. Adds
-    ``x``, ``y`` and ``dist_m`` (rounded to millimetres) to the points.
+    ``x``, ``y`` and ``dist_m`` (rounded to millimetres) to the points. A point without a position
+    stays, with NULLs, and so do all points if there are no cells.
 
     Exact search from coarse to fine tiles: at each level a tile stays in the running for a point
     only if its nearest possible cell is not beyond the farthest possible cell of the best tile.
@@ -127,7 +128,7 @@ def nearest_cell(points: DataFrame, cells: DataFrame) -> DataFrame:
         .agg(F.min(F.struct(F.round(distance, 3).alias("dist_m"), "x", "y")).alias("near"))
         .select("lat", "lon", "near.x", "near.y", "near.dist_m")
     )
-    return points.join(found, ["lat", "lon"]).select(*points.columns, "x", "y", "dist_m")
+    return points.join(found, ["lat", "lon"], "left").select(*points.columns, "x", "y", "dist_m")
 
 
 def match_streets(

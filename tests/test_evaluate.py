@@ -106,4 +106,6 @@ def test_factors_at_sensors(spark):
     )
     factors = spark.createDataFrame([(0, 0, 2.5)], "x bigint, y bigint, scaling double")
     got = calibrate.factors_at_sensors(sections, reprojection, sensors, factors).collect()
-    assert {tuple(r) for r in got} == {(10, 10, 2.5), (20, 20, None)}
+    assert {tuple(r) for r in got} == {(10, 10, 2.5), (20, 20, None), (None, None, None)}
+    known = calibrate.factors_at_sensors(sections, reprojection, sensors, factors, unmatched="drop")
+    assert {tuple(r) for r in known.collect()} == {(10, 10, 2.5), (20, 20, None)}

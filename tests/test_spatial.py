@@ -66,6 +66,16 @@ def test_nearest_cell_matches_brute_force(spark, layout):
         assert r["dist_m"] == pytest.approx(dist, abs=0.002)
 
 
+def test_points_without_a_nearest_cell_stay(spark):
+    cells = spark.createDataFrame([(1, 2, 5_250_000, 1_340_000)], "x bigint, y bigint, lat_int bigint, lon_int bigint")
+    points = [("a", None, 13.4), ("b", 52.5, None), ("c", 52.5, 13.4), ("c", 52.5, 13.4)]
+    points = spark.createDataFrame(points, "bez string, lat double, lon double")
+    got = sorted((r["bez"], r["x"], r["dist_m"]) for r in spatial.nearest_cell(points, cells).collect())
+    assert got == [("a", None, None), ("b", None, None), ("c", 1, 0.0), ("c", 1, 0.0)]
+    none = spatial.nearest_cell(points, cells.limit(0))
+    assert none.count() == 4 and none.filter("x IS NOT NULL").isEmpty()
+
+
 @pytest.fixture(scope="module")
 def streets(spark):
     cell_streets = spark.createDataFrame(
