@@ -4,6 +4,15 @@ from __future__ import annotations
 
 import re
 
+# Names of the cell features in the order of the tables that have them.
+STREET = [f"str_class_{k}" for k in ("0", "I", "II", "III", "IV", "V")]
+LAND = [f"land_{k}" for k in ("water", "grey", "green", "infra", "mixed", "forest", "living")]
+_STREET_SQL = ", ".join(f"CAST(s_suppkey % {k} AS BIGINT) AS {n}" for k, n in enumerate(STREET, 2))
+_LAND_SQL = ", ".join(f"CAST(s_suppkey % {k} AS DOUBLE) / {k} AS {n}" for k, n in enumerate(LAND, 4))
+_CELL_SQL = ", ".join(
+    f"coalesce({t}.{n}, 0) AS {n}" for t, names in (("s", STREET), ("l", LAND)) for n in names
+)
+
 # The input tables as SQL, in order of dependence. See ``views.py``.
 VIEWS: dict[str, str] = {
     "obs": """SELECT event_id, concat('det_', CAST(user_id AS VARCHAR)) AS mq_name,
@@ -20,12 +29,10 @@ VIEWS: dict[str, str] = {
         CAST(y % 10 AS BIGINT) AS stadt_y FROM obs""",
     "stations": """SELECT DISTINCT CAST(p_size % 12 AS BIGINT) AS stadt_x,
         CAST(length(p_name) AS BIGINT) AS stadt_y FROM part""",
-    "streets": """SELECT x, y, CAST(s_suppkey % 2 AS BIGINT) AS str_class_0,
-        CAST(s_suppkey % 3 AS BIGINT) AS str_class_I FROM cells WHERE s_acctbal >= 1000""",
-    "land": """SELECT x, y, CAST(s_suppkey % 4 AS DOUBLE) / 4 AS land_water,
-        1 - CAST(s_suppkey % 4 AS DOUBLE) / 4 AS land_living FROM cells""",
-    "houses": """SELECT x, y, CAST(s_suppkey % 5 AS DOUBLE) / 5 AS building_density,
-        CAST(3 + s_suppkey % 20 AS DOUBLE) AS building_height FROM cells WHERE s_acctbal < 8000""",
+    "streets": f"SELECT x + 1 AS x, y, {_STREET_SQL} FROM cells",
+    "land": f"SELECT x, y, {_LAND_SQL} FROM cells",
+    "houses": """SELECT x, y + 1 AS y, CAST(s_suppkey % 5 AS DOUBLE) / 5 AS building_density,
+        CAST(3 + s_suppkey % 20 AS DOUBLE) AS building_height FROM cells""",
     "volume": """SELECT x, y, CASE WHEN s_nationkey < 3 THEN CAST(0 AS DOUBLE)
         WHEN s_nationkey < 6 THEN CAST(20000 AS DOUBLE)
         ELSE abs(s_acctbal) / 5 END AS kfz_per_24h FROM cells""",
@@ -40,14 +47,14 @@ VIEWS: dict[str, str] = {
         CASE WHEN l_suppkey % 11 = 0 THEN CAST(0 AS DOUBLE) ELSE l_quantity END AS value
         FROM lineitem""",
     "points": """SELECT concat_ws(' ', c_name, n_name) AS bez,
-        CAST(52.3 AS DOUBLE) + CAST(c_custkey * 37 % 1009 AS DOUBLE) / 2500 AS lat,
+        CASE WHEN c_custkey * 37 % 1009 <> 5
+             THEN CAST(52.3 AS DOUBLE) + CAST(c_custkey * 37 % 1009 AS DOUBLE) / 2500 END AS lat,
         CAST(13.1 AS DOUBLE) + CAST(c_custkey * 53 % 997 AS DOUBLE) / 2000 AS lon
         FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     "cell_coords": """SELECT x, y, CAST(5230000 + y * 4000 AS BIGINT) AS lat_int,
         CAST(1310000 + x * 5000 AS BIGINT) AS lon_int FROM cells""",
-    "cell_streets": """SELECT x AS stadt_x, y AS stadt_y,
-        concat('el_', CAST(s_suppkey % 28 AS VARCHAR)) AS element_nr
-        FROM cells WHERE s_acctbal >= 0""",
+    "cell_streets": """SELECT x + 1 AS stadt_x, y AS stadt_y,
+        concat('el_', CAST(s_suppkey % 28 AS VARCHAR)) AS element_nr FROM cells""",
     "street_names": """SELECT concat('el_', CAST(n_nationkey AS VARCHAR)) AS element_nr,
         n_name AS strassenname FROM nation""",
     "factors": """SELECT v.x, v.y, v.kfz_per_24h, p.kfz_per_24h_pred,
@@ -58,9 +65,7 @@ VIEWS: dict[str, str] = {
              ELSE v.kfz_per_24h / nullif(p.kfz_per_24h_pred, 0) END AS scaling
         FROM volume v JOIN (SELECT x, y, avg(value) * 24 AS kfz_per_24h_pred
                             FROM preds_year GROUP BY x, y) p ON v.x = p.x AND v.y = p.y""",
-    "cell_table": """SELECT c.x, c.y, coalesce(s.str_class_0, 0) AS str_class_0,
-        coalesce(s.str_class_I, 0) AS str_class_I, coalesce(l.land_water, 0) AS land_water,
-        coalesce(l.land_living, 0) AS land_living, coalesce(v.kfz_per_24h, 0) AS traffic_volume,
+    "cell_table": f"""SELECT c.x, c.y, {_CELL_SQL}, coalesce(v.kfz_per_24h, 0) AS traffic_volume,
         coalesce(b.building_density, 0) AS building_density,
         coalesce(b.building_height, 0) AS building_height
         FROM (SELECT x, y FROM cells UNION SELECT stadt_x, stadt_y FROM sensor_map
@@ -71,11 +76,11 @@ VIEWS: dict[str, str] = {
         LEFT JOIN houses b ON c.x = b.x AND c.y = b.y""",
     "located": """SELECT bez, lat, lon, x, y, dist_m FROM (
         SELECT *, row_number() OVER (PARTITION BY bez, lat, lon ORDER BY dist_m, x, y) AS rn FROM (
-        SELECT p.bez, p.lat, p.lon, c.x, c.y, round(2 * 6371008.8 * asin(sqrt(least(1.0,
+        SELECT p.bez, p.lat, p.lon, c.x, c.y, CASE WHEN p.lat IS NOT NULL THEN round(2 * 6371008.8 * asin(sqrt(least(1.0,
             power(sin(radians(c.lat_int / 100000.0 - p.lat) / 2), 2)
             + cos(radians(p.lat)) * cos(radians(c.lat_int / 100000.0))
-            * power(sin(radians(c.lon_int / 100000.0 - p.lon) / 2), 2)))), 3) AS dist_m
-        FROM points p CROSS JOIN cell_coords c) d) r WHERE rn = 1""",
+            * power(sin(radians(c.lon_int / 100000.0 - p.lon) / 2), 2)))), 3) END AS dist_m
+        FROM points p LEFT JOIN cell_coords c ON p.lat IS NOT NULL) d) r WHERE rn = 1""",
     "matches": """SELECT l.bez, s.element_nr, n.strassenname,
         contains(l.bez, n.strassenname) AND n.strassenname <> '' AS strname_match
         FROM located l LEFT JOIN cell_streets s ON l.x = s.stadt_x AND l.y = s.stadt_y
@@ -133,11 +138,10 @@ def parts(ts: str) -> str:
 CALENDAR_PART = """coalesce(k.type_school_holiday = 'Sommerferien', false) AS summer_holidays,
     coalesce(k.type_school_holiday <> 'Sommerferien', false) AS other_school_holidays,
     coalesce(k.is_public_holiday, 0) AS is_public_holiday, coalesce(k.doy_scaled, 0) AS day_of_year"""
-CELL_PART = """coalesce(f.str_class_0, 0) AS str_class_0, coalesce(f.str_class_I, 0) AS str_class_I,
-    coalesce(f.land_water, 0) AS land_water, coalesce(f.land_living, 0) AS land_living,
-    coalesce(f.traffic_volume, 0) AS traffic_volume,
-    coalesce(f.building_density, 0) AS building_density,
-    coalesce(f.building_height, 0) AS building_height"""
+CELL_PART = ", ".join(
+    f"coalesce(f.{n}, 0) AS {n}"
+    for n in [*STREET, *LAND, "traffic_volume", "building_density", "building_height"]
+)
 
 METRICS = """count(*) AS n, CAST(0 AS BIGINT) AS n_missing,
     round(sqrt(avg((obs - pred) * (obs - pred))), 6) AS rmse,
@@ -162,8 +166,9 @@ SQL: dict[str, str] = {
         UNION ALL SELECT p.date_time, p.x, p.y, round(p.value * f.kfz_per_24h, 9) AS pred
         FROM preds_year p JOIN factors f ON p.x = f.x AND p.y = f.y WHERE p.model_id = 2""",
     "factors_at_sensors": """SELECT DISTINCT m.det_x AS x, m.det_y AS y, round(f.scaling, 6) AS scaling
-        FROM (SELECT DISTINCT x, y FROM obs) o
-        JOIN sensor_map m ON o.x = m.det_x AND o.y = m.det_y
+        FROM (SELECT x, y FROM obs UNION SELECT stadt_x + 1000, stadt_y FROM stations) o
+        LEFT JOIN (SELECT DISTINCT x, y FROM obs) r ON o.x = r.x AND o.y = r.y
+        LEFT JOIN sensor_map m ON r.x = m.det_x AND r.y = m.det_y
         LEFT JOIN factors f ON m.stadt_x = f.x AND m.stadt_y = f.y""",
     "time_parts": f"""SELECT o_orderkey, CAST(o_orderdate AS TIMESTAMP) AS date_time,
         {parts("o_orderdate")}, CAST({local("o_orderdate")} AS DATE) AS local_date,
@@ -359,6 +364,7 @@ SQL |= {
     "snapshot": "SELECT * FROM obs",
     "score": GRID_SCORE,
     "score_backfill": GRID_SCORE,
+    "score_backfill_repair": GRID_SCORE,
     "refresh_calibration": f"""WITH p AS (SELECT x, y, avg(value) * 24 AS pred FROM ({GRID_SCORE}) s
         WHERE date_time >= {utc("2024-01-08 00:00:00")} AND date_time < {utc("2024-01-22 00:00:00")}
         GROUP BY x, y)
@@ -380,19 +386,32 @@ SQL |= {
         FROM (SELECT * FROM daily WHERE model_id = 1) a
         FULL JOIN (SELECT * FROM daily WHERE model_id = 2) b
         ON a.date_time = b.date_time AND a.x = b.x AND a.y = b.y""",
-    "transfer_tables": """SELECT 'traffic_model_scaling' AS "table", true AS ok, count(*) AS rows
+    "transfer_report": """SELECT 'traffic_model_scaling' AS "table", true AS ok, count(*) AS rows
         FROM factors UNION ALL SELECT 'traffic_models_final', false, NULL
-        UNION ALL SELECT 'traffic_model_predictions_stations', true, count(*) FROM daily""",
-    "completeness_check": """SELECT n, cells, hours, abs(n - cells * hours) IN (0, cells)
-        AS all_preds_arrived FROM (SELECT (SELECT count(*) FROM cells) AS cells,
-        (SELECT count(*) FROM calendar) AS hours,
-        (SELECT count(*) FROM cells CROSS JOIN calendar) AS n) q""",
+        UNION ALL SELECT 'traffic_model_predictions_stations', true, count(*) FROM daily
+        WHERE model_id = 1""",
+    "transfer_tables": """SELECT model_id, date_time, x, y, value FROM daily WHERE model_id = 1
+        UNION ALL SELECT 1, date_time, x, y, value + 1 FROM daily b WHERE model_id = 2 AND NOT EXISTS
+        (SELECT 1 FROM daily a WHERE a.model_id = 1 AND a.date_time = b.date_time AND a.x = b.x
+         AND a.y = b.y)""",
+    "completeness_check": f"""WITH g AS ({GRID_SCORE}),
+        parts AS (SELECT 'all' AS part, 0 AS slack, count(*) AS n FROM g
+            UNION ALL SELECT 'a column less', 0, count(*) FROM g WHERE x <> 3
+            UNION ALL SELECT 'an hour less', 0, count(*) FROM g
+                WHERE date_time <> (SELECT min(date_time) FROM calendar)
+            UNION ALL SELECT 'an hour less', 1, count(*) FROM g
+                WHERE date_time <> (SELECT min(date_time) FROM calendar))
+        SELECT part, CAST(slack AS INTEGER) AS slack, n, cells, hours,
+            n = cells * hours OR (slack = 1 AND abs(n - cells * hours) = cells) AS all_preds_arrived
+        FROM parts, (SELECT (SELECT count(*) FROM cells) AS cells,
+            (SELECT count(*) FROM calendar) AS hours) q""",
     "resolve_model_id": """WITH m AS (SELECT o_orderkey + 1 AS model_id,
         CAST(o_orderdate AS TIMESTAMP) AS date_time, o_orderpriority AS model_name,
         concat_ws('/', o_orderstatus, CAST(o_custkey AS VARCHAR)) AS description FROM orders)
         SELECT min(model_id) OVER (PARTITION BY date_time, model_name, description) AS model_id,
         date_time, model_name, description FROM m
-        UNION ALL SELECT max(model_id) + 1, max(date_time), min(model_name), 'new' FROM m""",
+        UNION ALL SELECT max(model_id) + k, max(date_time), min(model_name), 'new ' || k
+        FROM m, (VALUES (1), (2), (3)) v(k) GROUP BY k""",
     "describe_model": """SELECT CAST(NULL AS BIGINT) AS model_id, max(date_time) AS date_time,
         'trial' AS model_name, 'q_kfz' AS depvar, concat('{"hyperparams":{"nrounds":303,"max_depth":9,',
         '"eta":0.3048174,"gamma":1.588561,"colsample_bytree":0.8311579,"min_child_weight":1,',

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -82,8 +83,10 @@ def scaled_union(v):
 
 @query
 def factors_at_sensors(v):
+    """Also of cross sections far off, which lead to no sensor."""
     places = v.obs.select("x", "y").distinct()
-    sections = places.select(F.col("y").alias("lat_int"), F.col("x").alias("lon_int"))
+    far = v.stations.select((F.col("stadt_x") + 1000).alias("x"), F.col("stadt_y").alias("y"))
+    sections = places.union(far).select(F.col("y").alias("lat_int"), F.col("x").alias("lon_int"))
     reprojection = places.select(F.col("y").alias("lat_int"), F.col("x").alias("lon_int"), "x", "y")
     return rounded(
         calibrate.factors_at_sensors(sections, reprojection, v.sensor_map, factors(v)), "scaling"
@@ -333,27 +336,52 @@ def _grid(v: Views) -> DataFrame:
     return features.feature_frame(features.grid_locations(v.cells), v.calendar, v.sides)
 
 
+def _predictions(v: Views, name: str, *by: str) -> Table:
+    key = ("model_id", "date_time", "x", "y")
+    return Table(work_path(v.spark, name), SCHEMAS["predictions"], key, by, month_of="date_time")
+
+
 @query
 def score(v):
-    return scoring.score_frame(_grid(v), GRID_MODEL, 7)
+    """Stored twice, the second time with other values for the same keys."""
+    table = _predictions(v, "scored", "model_id", "month")
+    scoring.score(_grid(v).withColumn("traffic_volume", F.lit(0.0)), GRID_MODEL, 7, table)
+    scoring.score(_grid(v), GRID_MODEL, 7, table)
+    return table.read(v.spark)
 
 
-@query
-def score_backfill(v):
-    table = Table(
-        work_path(v.spark, "grid"), SCHEMAS["predictions"], ("model_id", "date_time", "x", "y"),
-        ("model_id", "x"),
-    )
+def _backfill(v: Views, table: Table, sides, **options) -> None:
     scoring.score_backfill(
-        features.grid_locations(v.cells), v.calendar, v.sides, GRID_MODEL, 7, table, chunk_size=5
+        features.grid_locations(v.cells), v.calendar, sides, GRID_MODEL, 7, table, **options
     )
+
+
+@query
+def score_backfill(v):
+    """Run, and run again after the volumes changed."""
+    table = _predictions(v, "grid", "model_id", "month", "x")
+    before = v.volume.withColumn("kfz_per_24h", F.lit(0.0))
+    streets, land, (_, names), houses = v.sides
+    _backfill(v, table, [streets, land, (before, names), houses])
+    _backfill(v, table, v.sides)
+    return table.read(v.spark)
+
+
+@query
+def score_backfill_repair(v):
+    """A table with repeated, missing and outdated rows, scored anew in recorded chunks."""
+    table = _predictions(v, "grid", "model_id", "month", "x")
+    some = scoring.score_frame(_grid(v), GRID_MODEL, 7).filter("y % 2 = 0 AND x < 7")
+    add(some.withColumn("value", F.col("value") + 1), table)
+    add(some, table)
+    _backfill(v, table, v.sides, chunk_size=4, run_id="repair")
+    _backfill(v, table, v.sides, chunk_size=4, run_id="repair")
     return table.read(v.spark)
 
 
 @query
 def refresh_calibration(v):
-    key = ("model_id", "date_time", "x", "y")
-    year = Table(work_path(v.spark, "year"), SCHEMAS["predictions"], key, ("model_id", "x"))
+    year = _predictions(v, "year", "model_id", "month", "x")
     scaling = Table(work_path(v.spark, "scaling"), SCHEMAS["scaling"], ("x", "y"))
     inputs = Inputs(v.calendar, v.cells, v.sensor_map, v.stations, v.sides, v.volume)
     calibration.refresh_calibration(
@@ -439,28 +467,61 @@ def snapshot(v):
     return features.snapshot(v.obs, work_path(v.spark, "snapshot"), ["x"])
 
 
-@query
-def transfer_tables(v):
-    """Factors and predictions copied between two schemas; a missing table is reported."""
+def _transferred(v: Views) -> tuple[DataFrame, DataFrame]:
+    """Factors and predictions copied between two schemas; a missing table is reported.
+
+    The target holds model 2's predictions plus one, as if they were model 1's.
+    """
     root = work_path(v.spark, "transfer")
     specs = transfer_registry()
     scaling, stations = specs["traffic_model_scaling"], specs["traffic_model_predictions_stations"]
     add(factors(v), scaling.at(root, scaling.source_schema))
     daily = v.preds_year.groupBy("model_id", "date_time", "x", "y").agg(F.max("value").alias("value"))
-    add(daily, stations.at(root, stations.source_schema))
+    add(daily.filter("model_id = 1"), stations.at(root, stations.source_schema))
+    target = stations.at(root, stations.target_schema)
+    older = daily.filter("model_id = 2").withColumn("value", F.col("value") + 1)
+    add(older.withColumn("model_id", F.lit(1).cast("bigint")), target)
     missing = specs["traffic_models_final"]
     report, _ = transfer(v.spark, root, [scaling, missing, stations])
-    return report.select("table", "ok", "rows")
+    return report, target.read(v.spark)
+
+
+@query
+def transfer_tables(v):
+    return _transferred(v)[1]
+
+
+@query
+def transfer_report(v):
+    return _transferred(v)[0].select("table", "ok", "rows")
 
 
 @query
 def completeness_check(v):
-    return completeness(_grid(v), v.cells, v.calendar, (-1, 0, 1))
+    """Stored predictions: all, without a column of cells, and without an hour."""
+    table = _predictions(v, "arrived", "model_id", "x")
+    add(scoring.score_frame(_grid(v), GRID_MODEL, 7), table)
+    stored = table.read(v.spark)
+    first_hour = v.calendar.agg(F.min("date_time").alias("h")).scalar()
+    without_hour = stored.filter(F.col("date_time") != first_hour)
+    parts = [
+        ("all", 0, stored),
+        ("a column less", 0, stored.filter("x <> 3")),
+        ("an hour less", 0, without_hour),
+        ("an hour less", 1, without_hour),
+    ]
+    checked = [
+        completeness(rows, v.cells, v.calendar, (-1, 0, 1) if slack else (0,)).select(
+            F.lit(name).alias("part"), F.lit(slack).alias("slack"), "*"
+        )
+        for name, slack, rows in parts
+    ]
+    return reduce(DataFrame.unionByName, checked)
 
 
 @query
 def resolve_model_id(v):
-    """Orders as registered models; one described model is known, one is new."""
+    """Orders as registered models; the described models are these and three new ones."""
     registered = v.table("orders").select(
         (F.col("o_orderkey") + 1).alias("model_id"),
         F.col("o_orderdate").alias("date_time"),
@@ -471,7 +532,7 @@ def resolve_model_id(v):
     changed = described.agg(
         F.max("date_time").alias("date_time"),
         F.min("model_name").alias("model_name"),
-        F.lit("new").alias("description"),
+        F.explode(F.array(*[F.lit(f"new {k}") for k in (1, 2, 3)])).alias("description"),
     ).select(F.lit(None).cast("bigint").alias("model_id"), "*")
     return registry.resolve_model_id(described.unionByName(changed), registered)
 
@@ -489,8 +550,10 @@ def set_final_model(v):
     models = v.table("orders").groupBy(F.col("o_orderstatus").alias("depvar")).agg(
         F.max("o_orderkey").alias("model_id")
     )
-    store(models.withColumn("model_id", F.lit(0).cast("bigint")), table)
-    store(models, table)
+    targets = models.collect()  # one row per status
+    for model_id in (lambda r: 0, lambda r: r["model_id"]):
+        for row in targets:
+            registry.set_final_model(v.spark, table, row["depvar"], model_id(row))
     return table.read(v.spark)
 
 

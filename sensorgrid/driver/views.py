@@ -1,6 +1,7 @@
 """The library's input tables, derived from the given star-schema tables.
 
-Every view reads its source tables whole. The same definitions stand as SQL in ``oracles.py``.
+Every view reads its source tables whole. Streets, buildings and street elements lie one cell off
+the grid's own, so that some cells lack a row and some rows lack a cell. The same definitions stand as SQL in ``oracles.py``.
 """
 
 from __future__ import annotations
@@ -10,11 +11,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Feature names of the two-column street and land-use tables derived here.
-STREETS = {"street_0": "str_class_0", "street_1": "str_class_I"}
-LAND = {"water": "land_water", "living": "land_living"}
-BUILDINGS = {"density": "building_density", "height": "building_height"}
-VOLUME = {"kfz_per_24h": "traffic_volume"}
+from sensorgrid.schemas import BUILDING_COLUMNS, LAND_USE_COLUMNS, STREET_COLUMNS, VOLUME_COLUMNS
+
 
 
 class Views:
@@ -76,24 +74,27 @@ class Views:
 
     @cached_property
     def streets(self) -> DataFrame:
-        """Only suppliers with a fair balance have streets, so some cells lack a row."""
-        return self.cells.filter("s_acctbal >= 1000").select(
-            "x",
-            "y",
-            (F.col("s_suppkey") % 2).cast("bigint").alias("street_0"),
-            (F.col("s_suppkey") % 3).cast("bigint").alias("street_1"),
-        )
+        """One column to the right of the cells."""
+        lengths = [
+            (F.col("s_suppkey") % (k + 2)).cast("bigint").alias(name)
+            for k, name in enumerate(STREET_COLUMNS)
+        ]
+        return self.cells.select((F.col("x") + 1).alias("x"), "y", *lengths)
 
     @cached_property
     def land_use(self) -> DataFrame:
-        share = (F.col("s_suppkey") % 4).cast("double") / 4
-        return self.cells.select("x", "y", share.alias("water"), (1 - share).alias("living"))
+        shares = [
+            ((F.col("s_suppkey") % (k + 4)).cast("double") / (k + 4)).alias(name)
+            for k, name in enumerate(LAND_USE_COLUMNS)
+        ]
+        return self.cells.select("x", "y", *shares)
 
     @cached_property
     def buildings(self) -> DataFrame:
-        return self.cells.filter("s_acctbal < 8000").select(
+        """One row above the cells."""
+        return self.cells.select(
             "x",
-            "y",
+            (F.col("y") + 1).alias("y"),
             ((F.col("s_suppkey") % 5).cast("double") / 5).alias("density"),
             (3 + F.col("s_suppkey") % 20).cast("double").alias("height"),
         )
@@ -112,10 +113,10 @@ class Views:
     @property
     def sides(self):
         return [
-            (self.streets, STREETS),
-            (self.land_use, LAND),
-            (self.volume, VOLUME),
-            (self.buildings, BUILDINGS),
+            (self.streets, STREET_COLUMNS),
+            (self.land_use, LAND_USE_COLUMNS),
+            (self.volume, VOLUME_COLUMNS),
+            (self.buildings, BUILDING_COLUMNS),
         ]
 
     @cached_property
@@ -144,12 +145,13 @@ class Views:
 
     @cached_property
     def points(self) -> DataFrame:
-        """Customers as counting points; their text names a nation."""
+        """Customers as counting points; their text names a nation. A few have no latitude."""
         c, n = self.table("customer"), self.table("nation")
         key = F.col("c_custkey")
+        row = (key * 37 % 1009).cast("double")
         return c.join(n, c.c_nationkey == n.n_nationkey).select(
             F.concat_ws(" ", "c_name", "n_name").alias("bez"),
-            (52.3 + (key * 37 % 1009).cast("double") / 2500.0).alias("lat"),
+            F.when(row != 5, 52.3 + row / 2500.0).alias("lat"),
             (13.1 + (key * 53 % 997).cast("double") / 2000.0).alias("lon"),
         )
 
@@ -164,9 +166,9 @@ class Views:
 
     @cached_property
     def cell_streets(self) -> DataFrame:
-        """Cells in debt lie on no street."""
-        return self.cells.filter("s_acctbal >= 0").select(
-            F.col("x").alias("stadt_x"),
+        """One column to the right of the cells."""
+        return self.cells.select(
+            (F.col("x") + 1).alias("stadt_x"),
             F.col("y").alias("stadt_y"),
             F.concat(F.lit("el_"), (F.col("s_suppkey") % 28).cast("string")).alias("element_nr"),
         )
