@@ -446,3 +446,70 @@ SQL |= {
         count(*) AS n, round(avg(value), 6) AS mean_value, round(avg(c), 6) AS mean_contribution
         FROM long JOIN lim USING (feature) GROUP BY 1, 2""",
 }
+
+
+# --- Search and validation ---------------------------------------------------------------------
+SPLIT_VALUE = """CASE b.feature WHEN 'l_quantity' THEN l_quantity WHEN 'l_discount' THEN l_discount
+    WHEN 'l_tax' THEN l_tax ELSE l_linenumber END"""
+
+
+def residuals_of(n: int, where: str) -> str:
+    """CTE of the rows that fit n is made on, with what the mean leaves of the price."""
+    return f"""r{n} AS (SELECT l.*, avg(l_extendedprice) OVER () AS base,
+        l_extendedprice - avg(l_extendedprice) OVER () AS r FROM lineitem l, latest WHERE {where})"""
+
+
+def predicted(n: int, eta: str, penalty: str) -> str:
+    """Prediction of fit n for a row beside ``best{n} b`` and its base."""
+    return f"""greatest(base + CASE WHEN {SPLIT_VALUE} <= b.threshold THEN {eta} * sl / (nl + {penalty})
+        ELSE {eta} * sr / (nr + {penalty}) END, 0)"""
+
+
+LATEST = "latest AS (SELECT max(l_shipdate) AS m FROM lineitem)"
+UNTIL_2, UNTIL_1 = "l_shipdate <= m - INTERVAL 728 DAY", "l_shipdate <= m - INTERVAL 364 DAY"
+BASES = ", ".join(f"base{n} AS (SELECT any_value(base) AS base FROM r{n})" for n in (1, 2))
+FOLD_ROWS = " UNION ALL ".join(
+    f"""SELECT trial, {n} AS fold, l_extendedprice AS obs, {predicted(n, "eta", "1")} AS pred
+        FROM lineitem, latest, grid, base{n}, best{n} b WHERE {test}"""
+    for n, test in ((1, f"{UNTIL_1} AND NOT {UNTIL_2}"), (2, f"NOT {UNTIL_1}"))
+)
+SWEEP_METRICS = ", ".join(
+    f"""round(max({expression}) FILTER (WHERE part = '{part}'), 6) AS {name}_{part}"""
+    for name, expression in (("rmse", "rmse"), ("r2", "r2"), ("mae", "mae"))
+    for part in ("is", "oos")
+)
+FOLD = number("CAST(l_suppkey AS VARCHAR)", 1) + " % 2 + 1"
+
+SQL |= {
+    "search": f"""WITH {LATEST}, {residuals_of(1, UNTIL_2)}, {stump(1, "r1")},
+        {residuals_of(2, UNTIL_1)}, {stump(2, "r2")}, {BASES},
+        grid AS (SELECT trial, 0.001 + {fraction("CAST(trial AS VARCHAR), 'eta'", 3)} * (0.6 - 0.001) AS eta,
+            {fraction("CAST(trial AS VARCHAR), 'gamma'", 3)} * 10 AS gamma FROM range(1, 3) t(trial)),
+        tested AS ({FOLD_ROWS}),
+        folds AS (SELECT trial, fold, sqrt(avg(power(obs - pred, 2))) AS rmse,
+            power(corr(obs, pred), 2) AS r2_corr, avg(abs(obs - pred)) AS mae
+            FROM tested GROUP BY trial, fold)
+        SELECT trial, CAST(1 AS INTEGER) AS nrounds, CAST(1 AS INTEGER) AS max_depth,
+        round(any_value(eta), 6) AS eta, round(any_value(gamma), 6) AS gamma,
+        CAST(1 AS DOUBLE) AS colsample_bytree, CAST(1 AS INTEGER) AS min_child_weight,
+        CAST(1 AS DOUBLE) AS subsample, round(avg(rmse), 6) AS rmse, round(avg(r2_corr), 6) AS r2_corr,
+        round(avg(mae), 6) AS mae FROM folds JOIN grid USING (trial) GROUP BY trial""",
+    "lambda_sweep": f"""WITH {LATEST}, {residuals_of(1, UNTIL_1)}, {stump(1, "r1")},
+        base1 AS (SELECT any_value(base) AS base FROM r1),
+        p AS (SELECT penalty, CASE WHEN {UNTIL_1} THEN 'is' ELSE 'oos' END AS part,
+            l_extendedprice AS obs, {predicted(1, "0.5", "penalty")} AS pred
+            FROM lineitem, latest, base1, best1 b, (VALUES (5.0::DOUBLE), (5000.0)) q(penalty)),
+        g AS (SELECT penalty, part, sqrt(avg(power(obs - pred, 2))) AS rmse, avg(abs(obs - pred)) AS mae,
+            1 - sum(power(obs - pred, 2)) / (var_pop(obs) * count(*)) AS r2 FROM p GROUP BY penalty, part)
+        SELECT penalty AS "lambda", {SWEEP_METRICS}
+        FROM g GROUP BY penalty""",
+    "spatial_cv": f"""WITH {LATEST}, {residuals_of(1, f"{FOLD} <> 1")}, {stump(1, "r1")},
+        {residuals_of(2, f"{FOLD} <> 2")}, {stump(2, "r2")}, {BASES}
+        """
+    + " UNION ALL ".join(
+        f"""SELECT {ROW}, CAST({n} AS INTEGER) AS fold, l_extendedprice,
+        round({predicted(n, "0.5", "5")}, 6) AS pred
+        FROM lineitem, base{n}, best{n} b WHERE {FOLD} = {n}"""
+        for n in (1, 2)
+    ),
+}

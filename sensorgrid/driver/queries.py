@@ -611,28 +611,30 @@ def shap_effects(v):
     return rounded(out, "mean_value", "mean_contribution")
 
 
-# --- Fits without SQL: many rounds of tree growing --------------------------------------------
-SMALL = BoostParams(2, 2, eta=0.5, reg_lambda=5.0)
+# --- Search and validation: one round of depth 1 for each fit, which SQL can state -------------
+STUMP = BoostParams(1, 1, eta=0.5, reg_lambda=5.0)
 
 
 @query
 def search(v):
     folded = splits.time_folds(v.table("lineitem"), "l_shipdate", weeks=52, n_folds=2)
-    grid = random_grid(v.spark, 2, seed=3).withColumns(
-        {"nrounds": F.lit(1), "max_depth": F.lit(2)}
-    )
-    return boosting.search(folded, PRICE, grid, ["fold_1", "fold_2"])
+    whole = {"nrounds": F.lit(1), "max_depth": F.lit(1), "min_child_weight": F.lit(1)}
+    shares = {"colsample_bytree": F.lit(1.0), "subsample": F.lit(1.0)}
+    grid = random_grid(v.spark, 2, seed=3).withColumns(whole | shares)
+    found = boosting.search(folded, PRICE, grid, ["fold_1", "fold_2"])
+    return rounded(found, "eta", "gamma", "rmse", "r2_corr", "mae")
 
 
 @query
 def lambda_sweep(v):
     split = splits.temporal_split(v.table("lineitem"), "l_shipdate", weeks=52)
     train, test = (split.filter(F.col("split") == s) for s in ("train", "test"))
-    return boosting.lambda_sweep(train, test, PRICE, SMALL, lambdas=(5.0, 5000.0))
+    found = boosting.lambda_sweep(train, test, PRICE, STUMP, lambdas=(5.0, 5000.0))
+    return rounded(found, *[c for c in found.columns if c != "lambda"])
 
 
 @query
 def spatial_cv(v):
     folded = splits.group_folds(v.table("lineitem"), "l_suppkey", n_folds=2, seed=1)
-    out = boosting.spatial_cv(folded, PRICE, SMALL, folds=(1, 2))
-    return out.select(*ROW, "fold", "l_extendedprice", "pred")
+    out = boosting.spatial_cv(folded, PRICE, STUMP, folds=(1, 2))
+    return out.select(*ROW, "fold", "l_extendedprice", F.round("pred", 6).alias("pred"))
