@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorgrid.llm.common import digest_of_spans, packed, staged
-from sensorgrid.llm.windows import WordRuns, WordValues, text_groups
+from sensorgrid.llm.windows import WordRuns, text_groups
 from sensorgrid.session import ship_package
 
 WINDOW = 13
@@ -23,7 +23,6 @@ ONE_WORD_IN = 20
 #: Benchmark text is broadcast in slices of at most so many bytes.
 SLICE_BYTES = 16 << 20
 
-_SEED = 5
 _WORD = re.compile(rb"[^ ]+")
 
 # A-Z become a-z; digits, a-z and everything beyond ASCII make words, the rest parts them.
@@ -51,9 +50,8 @@ class Windows:
                 for k in range(len(words) - size + 1):
                     self.by_words[size][tuple(words[k : k + size])].add(item)
         self.filters = {}
-        values = WordValues(_SEED)
         for size, windows in self.by_words.items():
-            runs = WordRuns([list(w) for w in windows], values)
+            runs = WordRuns([b" ".join(w) for w in windows])
             hashes = runs.hashes(size)[runs.starts[:-1]]
             bits = max(12, int(np.ceil(np.log2(len(hashes) * 16))))
             seen = np.zeros(1 << bits, bool)
@@ -81,20 +79,18 @@ def _scan(shared: Broadcast, width: int, last: bool):
         if key not in _built:
             _built.clear()
             _built[key] = Windows(shared.value, width)
-        windows, values = _built[key], WordValues(_SEED)
+        windows = _built[key]
         for batch in batches:
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             for start, end in text_groups(texts):
                 part = batch.slice(start, end - start)
-                words = [words_of(t) for t in texts[start:end]]
-                runs = WordRuns(words, values)
+                runs = WordRuns(texts[start:end], _TABLE)
                 edges = np.zeros(len(runs.values) + 1, np.int64)
                 items = [set(x or ()) for x in part.column("items").to_pylist()]
                 for size, known in windows.by_words.items():
                     for at in windows.hits(size, runs).tolist():
                         text = int(runs.of[at])
-                        first = at - int(runs.starts[text])
-                        owners = known.get(tuple(words[text][first : first + size]))
+                        owners = known.get(runs.words(at, size))
                         if owners:  # the words are the same, not only the hash
                             items[text] |= owners
                             edges[at] += 1
@@ -110,7 +106,7 @@ def _scan(shared: Broadcast, width: int, last: bool):
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("row"),
-                        pa.nulls(len(words), pa.string()) if last else part.column("text"),
+                        pa.nulls(end - start, pa.string()) if last else part.column("text"),
                         pa.array(np.diff(runs.starts)),
                         pa.array(marks, pa.binary()),
                         pa.array([sorted(x) for x in items], pa.list_(pa.string())),

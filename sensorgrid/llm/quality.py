@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorgrid.llm.common import packed
-from sensorgrid.llm.windows import WordRuns, WordValues, text_groups, words_of
+from sensorgrid.llm.windows import WordRuns, text_groups
 from sensorgrid.session import ship_package
 
 #: Labelled rows that the regression is fitted on at most; about so many are drawn by a hash.
@@ -38,11 +38,9 @@ class Group:
     """Some texts at once: their bytes and words in one row, and the n-grams of both."""
 
     texts: list[bytes]
-    values: WordValues
 
     def __post_init__(self):
-        self.words = [words_of(t) for t in self.texts]
-        self.runs = WordRuns(self.words, self.values)
+        self.runs = WordRuns(self.texts)
         self.bytes = np.frombuffer(b"".join(self.texts), np.uint8)
         sizes = np.fromiter(map(len, self.texts), np.int64, len(self.texts))
         self.ends = np.cumsum(sizes)
@@ -118,10 +116,9 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 def _feature_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sparse features: buckets and their shares of the text's n-grams of their kind."""
-    values = WordValues(_SEED)
     for batch in batches:
         for k, text in enumerate(batch.column("text").cast(pa.binary())):
-            group, places, shares = Group([text.as_py() or b""], values), [], []
+            group, places, shares = Group([text.as_py() or b""]), [], []
             for kind, (code, begins, ends) in enumerate(group.grams()):
                 found, n = np.unique(code[begins[0] : ends[0]], return_counts=True)
                 places.append(found.astype(np.int32) + (kind << _BITS))
@@ -214,11 +211,11 @@ _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"
 
 def _scored(shared):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        values, model = WordValues(_SEED), shared.value
+        model = shared.value
         for batch in batches:
             texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
             for start, end in text_groups(texts):
-                group = Group(texts[start:end], values)
+                group = Group(texts[start:end])
                 counts = group.counts()
                 yield pa.RecordBatch.from_arrays(
                     [

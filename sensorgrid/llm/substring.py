@@ -8,13 +8,14 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorgrid.llm.common import staged
-from sensorgrid.llm.windows import MULTIPLIERS, WordRuns, WordValues, text_groups, words_of
+from sensorgrid.llm.windows import MULTIPLIERS, WordRuns, size_groups, words_of
 from sensorgrid.session import ship_package
 
 WINDOW = 13
@@ -22,9 +23,11 @@ WINDOW = 13
 #: what is broadcast stays under 128 MiB. A fuller sketch passes more windows to the exact grouping.
 SKETCH_ROWS = 2
 MAX_SLOTS = 1 << 29
+#: Counters for each byte of text: about five for each window of the corpus.
+_SLOTS_PER_BYTE = 0.7
 _BLOCK = 1 << 20
-#: Windows that a task holds before it looks for those of one document and puts them out.
-_HELD = 1 << 20
+#: Windows that a task sketches at once, and flagged ones among which it looks for the same window.
+_SKETCHED, _COMPARED = 1 << 21, 1 << 17
 #: Lists of removed words are broadcast up to so many bytes, and shuffled beyond.
 BROADCAST_BYTES = 32 << 20
 
@@ -32,87 +35,101 @@ _FLAGGED = "hi bigint, lo int, doc_id bigint, mark bigint, pos int, gone binary"
 _SEED = 42
 
 
-class Sketch:
-    """Saturating counters, as two bits: reached once, and reached more than once."""
-
-    def __init__(self, slots: int):
-        self.slots = slots
-        self.once = np.zeros((SKETCH_ROWS, slots >> 3), np.uint8)
-        self.more = np.zeros((SKETCH_ROWS, slots >> 3), np.uint8)
-
-    def add(self, row: int, slots: np.ndarray) -> None:
-        slots = np.sort(slots)
-        bits = np.left_shift(1, slots & 7).astype(np.uint8)
-        again = np.zeros(len(slots), np.uint8)
-        again[1:] = np.where(slots[1:] == slots[:-1], bits[1:], 0)
-        at = slots >> 3
-        firsts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-        at = at[firsts]
-        bits = np.bitwise_or.reduceat(bits, firsts)
-        again = np.bitwise_or.reduceat(again, firsts)
-        self.more[row, at] |= again | (self.once[row, at] & bits)
-        self.once[row, at] |= bits
-
-
 def _slots(hashes: np.ndarray, row: int, slots: int) -> np.ndarray:
     mixed = hashes if row == 0 else hashes * np.uint64(MULTIPLIERS[1])
-    return (mixed >> np.uint64(64 - int(math.log2(slots)))).astype(np.int64)
+    return ((mixed >> np.uint64(32)) * np.uint64(slots) >> np.uint64(32)).astype(np.int64)
+
+
+def _text_groups(column: pa.Array) -> Iterator[tuple[int, int, list[bytes | None]]]:
+    """Texts in groups, each made only when it is its turn."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    for start, end in size_groups(sizes):
+        yield start, end, column.slice(start, end - start).to_pylist()
 
 
 def _sketches(slots: int):
-    """Counts each document once for a slot; puts out the blocks of the partition's sketch."""
+    """Sketches of parts of a partition, as (block, counters reached, counters passed one).
+
+    A document counts once for a counter, however many of its windows reach it.
+    """
+    blocks = slots // _BLOCK
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch, values = Sketch(slots), WordValues(_SEED)
         held: list[list[np.ndarray]] = [[] for _ in range(SKETCH_ROWS)]
-        size = 0
+        size = seen = 0
 
-        def flush() -> None:
+        def flush() -> Iterator[pa.RecordBatch]:
             for row, parts in enumerate(held):
-                if parts:
-                    sketch.add(row, np.concatenate(parts))
+                each = np.sort(np.concatenate(parts))
                 parts.clear()
+                slot = each[np.r_[True, each[1:] != each[:-1]]] >> 32
+                first = np.r_[True, slot[1:] != slot[:-1]]
+                more = np.unique(slot[~first])
+                once = slot[first]
+                cuts = [np.searchsorted(x, np.arange(blocks + 1) * _BLOCK) for x in (once, more)]
+                some = np.flatnonzero(np.diff(cuts[0]))
+                columns = [
+                    [_coded(x[cut[k] : cut[k + 1]] - k * _BLOCK) for k in some.tolist()]
+                    for x, cut in zip((once, more), cuts, strict=True)
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array((some + row * blocks).astype(np.int32)), *(pa.array(c, pa.binary()) for c in columns)],
+                    ["block", "once", "more"],
+                )
 
         for batch in batches:
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
-            for start, end in text_groups(texts):
-                runs = WordRuns([words_of(t) for t in texts[start:end]], values)
+            for start, end, texts in _text_groups(batch.column("text").cast(pa.binary())):
+                runs = WordRuns(texts)
                 begins = runs.windows(WINDOW)
-                hashes, of = runs.hashes(WINDOW)[begins], runs.of[begins]
+                hashes, text = runs.hashes(WINDOW)[begins], runs.of[begins] + seen
+                seen += end - start
                 for row in range(SKETCH_ROWS):
-                    slot = _slots(hashes, row, slots)
-                    each = np.sort((of << np.int64(32)) | slot)
-                    each = each[np.r_[True, each[1:] != each[:-1]]] if len(each) else each
-                    held[row].append(each & np.int64(0xFFFFFFFF))
+                    held[row].append((_slots(hashes, row, slots) << 32) | (text & 0xFFFFFFFF))
                 size += len(begins)
-                if size > _HELD:
-                    flush()
+                if size > _SKETCHED:
+                    yield from flush()
                     size = 0
-        flush()
-        step, blocks = min(_BLOCK, slots) >> 3, max(1, slots // _BLOCK)
-        for row in range(SKETCH_ROWS):
-            for block in range(blocks):
-                once = sketch.once[row, block * step : (block + 1) * step]
-                if once.any():
-                    more = sketch.more[row, block * step : (block + 1) * step]
-                    parts = [[row * blocks + block], *([zlib.compress(x.tobytes(), 1)] for x in (once, more))]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(parts[0], pa.int32()), *(pa.array(x, pa.binary()) for x in parts[1:])],
-                        ["block", "once", "more"],
-                    )
+        if size:
+            yield from flush()
 
     return run
 
 
+def _coded(places: np.ndarray) -> bytes:
+    """Places of bits in a block, as compressed gaps, or as the bits if that is shorter."""
+    if len(places) > _BLOCK >> 3:
+        flags = np.zeros(_BLOCK, np.uint8)
+        flags[places] = 1
+        return b"b" + zlib.compress(np.packbits(flags, bitorder="little").tobytes(), 1)
+    gaps = np.diff(places, prepend=0).astype("<u4").view(np.uint8).reshape(-1, 4)
+    coder = zlib.compressobj(1, strategy=zlib.Z_HUFFMAN_ONLY)
+    high = zlib.compress(np.ascontiguousarray(gaps[:, 1:].T).tobytes(), 1)
+    low = coder.compress(np.ascontiguousarray(gaps[:, 0]).tobytes()) + coder.flush()
+    return b"g" + len(high).to_bytes(4, "little") + high + low
+
+
+def _restored(data: bytes) -> np.ndarray:
+    if data[:1] == b"b":
+        return np.frombuffer(zlib.decompress(data[1:]), np.uint8)
+    cut = 5 + int.from_bytes(data[1:5], "little")
+    low = np.frombuffer(zlib.decompress(data[cut:]), np.uint8)
+    gaps = np.zeros((len(low), 4), np.uint8)
+    gaps[:, 0] = low
+    gaps[:, 1:] = np.frombuffer(zlib.decompress(data[5:cut]), np.uint8).reshape(3, -1).T
+    flags = np.zeros(_BLOCK, np.uint8)
+    flags[np.cumsum(gaps.view("<u4").ravel())] = 1
+    return np.packbits(flags, bitorder="little")
+
+
 def _merged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Adds the sketches of a block and keeps which counters passed one.
 
-    A task holds its own blocks only, 256 KiB each, however many partitions sent one.
+    A task holds its own blocks only, 256 KiB each, however many parts sent one.
     """
     blocks: dict[int, list[np.ndarray]] = {}
     for batch in batches:
         for block, *parts in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-            once, more = (np.frombuffer(zlib.decompress(x), np.uint8) for x in parts)
+            once, more = map(_restored, parts)
             if block in blocks:
                 had = blocks[block]
                 blocks[block] = [had[0] | once, had[1] | more | (had[0] & once)]
@@ -120,42 +137,36 @@ def _merged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 blocks[block] = [once, more]
     for block, (_, more) in blocks.items():
         if more.any():
+            places = np.flatnonzero(np.unpackbits(more, bitorder="little"))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([block], pa.int32()), pa.array([zlib.compress(more.tobytes(), 1)], pa.binary())],
-                ["block", "more"],
+                [pa.array([block], pa.int32()), pa.array([_coded(places)], pa.binary())], ["block", "more"]
             )
 
 
 def repeated_slots(docs: DataFrame, max_slots: int = MAX_SLOTS) -> tuple[int, list[tuple[int, bytes]]]:
     """The merged sketch: its width, and by block which counters more than one document reached."""
     size = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
-    slots = 1 << max(10, math.ceil(math.log2(max(2, size // 2))))
-    slots = min(slots, max_slots)
+    slots = math.ceil(min(size * _SLOTS_PER_BYTE, max_slots) / _BLOCK) * _BLOCK
+    slots = max(_BLOCK, slots)
     spark = docs.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     merged = (
         docs.select("text")
         .mapInArrow(_sketches(slots), "block int, once binary, more binary")
-        .repartition(min(tasks, SKETCH_ROWS * max(1, slots // _BLOCK)), "block")
+        .repartition(min(tasks, SKETCH_ROWS * (slots // _BLOCK)), "block")
         .mapInArrow(_merged, "block int, more binary")
     )
     return slots, [(r["block"], bytes(r["more"])) for r in merged.collect()]
 
 
-_unpacked: dict[int, np.ndarray] = {}
-
-
-def _bitmaps(key: int, slots: int, shared: Broadcast) -> np.ndarray:
-    """The merged sketch as bits, unpacked once for each Python worker."""
-    if key not in _unpacked:
-        _unpacked.clear()
-        bits = np.zeros((SKETCH_ROWS, slots >> 3), np.uint8)
-        step, blocks = min(_BLOCK, slots) >> 3, max(1, slots // _BLOCK)
-        for block, more in shared.value:
-            row, k = divmod(block, blocks)
-            bits[row, k * step : (k + 1) * step] = np.frombuffer(zlib.decompress(more), np.uint8)
-        _unpacked[key] = bits
-    return _unpacked[key]
+def _bitmaps(slots: int, merged: list[tuple[int, bytes]]) -> np.ndarray:
+    """The merged sketch as bits."""
+    bits = np.zeros((SKETCH_ROWS, slots >> 3), np.uint8)
+    step = _BLOCK >> 3
+    for block, more in merged:
+        row, k = divmod(block, slots // _BLOCK)
+        bits[row, k * step : (k + 1) * step] = _restored(more)
+    return bits
 
 
 def _pack(positions: np.ndarray) -> bytes:
@@ -165,15 +176,13 @@ def _pack(positions: np.ndarray) -> bytes:
 def _flagged(slots: int, shared: Broadcast):
     """Windows whose counters all passed one.
 
-    Of the windows that a task holds, one document for each goes on: the one with the smallest id.
+    Of the windows that a task compares, one document for each goes on: the one with the smallest id.
     In documents with larger ids the window is known to be repeated already; these positions are
     put out as ``gone``.
     """
-    key = shared._jbroadcast.id() if hasattr(shared, "_jbroadcast") else id(shared)
-
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        values, held, size = WordValues(_SEED), [], 0
-        passed = _bitmaps(key, slots, shared)
+        held, size = [], 0
+        passed = _bitmaps(slots, shared.value)
 
         def flush() -> Iterator[pa.RecordBatch]:
             hi, lo, ids, marks, pos = (np.concatenate(x) for x in zip(*held, strict=True))
@@ -221,11 +230,9 @@ def _flagged(slots: int, shared: Broadcast):
 
         names = [part.split()[0] for part in _FLAGGED.split(", ")]
         for batch in batches:
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
             ids = batch.column("doc_id").to_numpy()
-            for start, end in text_groups(texts):
-                group = texts[start:end]
-                runs = WordRuns([words_of(t) for t in group], values)
+            for start, end, group in _text_groups(batch.column("text").cast(pa.binary())):
+                runs = WordRuns(group)
                 begins = runs.windows(WINDOW)
                 hashes = runs.hashes(WINDOW)[begins]
                 keep = np.ones(len(begins), bool)
@@ -249,7 +256,7 @@ def _flagged(slots: int, shared: Broadcast):
                     )
                 )
                 size += len(begins)
-                if size > _HELD:
+                if size > _COMPARED:
                     yield from flush()
                     size = 0
         if held:
@@ -259,7 +266,7 @@ def _flagged(slots: int, shared: Broadcast):
 
 
 def repeated_windows(docs: DataFrame, max_slots: int = MAX_SLOTS) -> DataFrame:
-    """Windows to remove: (doc_id, mark, places), where places is an array of packed positions.
+    """Windows to remove: (doc_id, mark, spans), with spans of words packed in order.
 
     ``docs`` has doc_id and text. ``mark`` is the text's XXH64 and tells rows apart that repeat
     an id with another text.
@@ -271,29 +278,43 @@ def repeated_windows(docs: DataFrame, max_slots: int = MAX_SLOTS) -> DataFrame:
     flagged = docs.mapInArrow(_flagged(slots, shared), _FLAGGED)
     first = F.min("doc_id").over(Window.partitionBy("hi", "lo"))
     late = flagged.withColumn("first", first).filter("gone IS NOT NULL OR first < doc_id")
-    return late.groupBy("doc_id", "mark").agg(
+    places = late.groupBy("doc_id", "mark").agg(
         F.collect_list("pos").alias("single"), F.collect_list("gone").alias("many")
     )
+    return places.mapInArrow(_spans, "doc_id bigint, mark bigint, spans binary")
+
+
+def _spans(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Window places of a document as spans of words, [start, end) in turn."""
+    for batch in batches:
+        spans = []
+        columns = (batch.column(k).to_pylist() for k in ("single", "many"))
+        for single, many in zip(*columns, strict=True):
+            at = np.unique(np.concatenate([np.asarray(single, "<i4"), *(np.frombuffer(x, "<i4") for x in many)]))
+            cut = np.flatnonzero(np.diff(at) > WINDOW)
+            both = np.stack([at[np.r_[0, cut + 1]], at[np.r_[cut, len(at) - 1]] + WINDOW], axis=1)
+            spans.append(both.astype("<i4").tobytes())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("mark"), pa.array(spans, pa.binary())],
+            ["doc_id", "mark", "spans"],
+        )
 
 
 def _without(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words kept of each text: their count before, the count removed, and the text that stays."""
     for batch in batches:
         n_words, n_removed, kept = [], [], []
-        columns = (batch.column(k).to_pylist() for k in ("single", "many"))
-        for text, single, many in zip(batch.column("text").cast(pa.binary()), *columns, strict=True):
-            words = words_of(text.as_py())
-            places = [np.asarray(single or [], np.int64)]
-            places += [np.frombuffer(x, "<i4").astype(np.int64) for x in many or []]
-            at = np.concatenate(places)
-            edges = np.zeros(len(words) + 1, np.int64)
-            np.add.at(edges, at, 1)
-            np.add.at(edges, at + WINDOW, -1)
-            stays = np.cumsum(edges)[:-1] == 0
+        texts = batch.column("text").cast(pa.binary()).to_pylist()
+        for text, packed_spans in zip(texts, batch.column("spans").to_pylist(), strict=True):
+            words = words_of(text)
             n_words.append(len(words))
-            n_removed.append(int(len(words) - stays.sum()))
-            if len(at):
-                words = [words[i] for i in np.flatnonzero(stays)]
+            if packed_spans:
+                parts, at = [], 0
+                for start, end in np.frombuffer(packed_spans, "<i4").reshape(-1, 2).tolist():
+                    parts += words[at:start]
+                    at = end
+                words = parts + words[at:]
+            n_removed.append(n_words[-1] - len(words))
             kept.append(b" ".join(words))
         yield pa.RecordBatch.from_arrays(
             [
@@ -323,14 +344,14 @@ def remove_repeats(docs: DataFrame, max_slots: int = MAX_SLOTS) -> DataFrame:
     ship_package(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     late = staged(repeated_windows(docs, max_slots), "repeats")
-    size = late.agg(F.sum(24 + 4 * F.size("single") + F.aggregate("many", F.lit(0), lambda n, x: n + F.octet_length(x)))).head()[0]
+    size = late.agg(F.sum(24 + F.octet_length("spans"))).head()[0]
     late = late.withColumnRenamed("doc_id", "late_id")
     if (size or 0) <= BROADCAST_BYTES:
         late = F.broadcast(late)
     found = docs.join(
         late, (F.col("doc_id") == F.col("late_id")) & (F.xxhash64("text") == F.col("mark")), "left"
     )
-    return found.select("doc_id", "text", "single", "many").mapInArrow(
+    return found.select("doc_id", "text", "spans").mapInArrow(
         _without, "doc_id bigint, n_words bigint, n_removed bigint, kept string"
     )
 
