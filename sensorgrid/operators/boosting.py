@@ -12,9 +12,11 @@ import math
 import random
 from collections.abc import Iterator, Sequence
 from dataclasses import asdict, dataclass, field
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -24,7 +26,7 @@ from sensorgrid.functions.expressions import non_negative
 from sensorgrid.operators.evaluate import metric_columns
 from sensorgrid.operators.model import LAMBDAS, BoostParams, FeatureSpec
 from sensorgrid.schemas import require_columns
-from sensorgrid.session import Stage, ship_package, work_path
+from sensorgrid.session import Stage, remove_path, ship_package, work_path
 
 NODE_SCHEMA = (
     "tree int, node int, feature string, threshold double, left int, right int, "
@@ -146,7 +148,9 @@ def _stored_nodes(spark: SparkSession, model, name: str) -> list[Row]:
     """Nodes of a fitted tree, at most 2^(depth + 1), through its saved form."""
     path = work_path(spark, name)
     model.write().save(path)
-    return spark.read.schema(SPARK_NODE_SCHEMA).parquet(f"{path}/data").collect()
+    nodes = spark.read.schema(SPARK_NODE_SCHEMA).parquet(f"{path}/data").collect()
+    remove_path(spark, path)
+    return nodes
 
 
 def _add_tree(df: DataFrame, model, leaf_weights: Sequence[float]) -> DataFrame:
@@ -194,6 +198,19 @@ def _rmse(df: DataFrame, target: str) -> float:
     return df.agg(F.sqrt(F.avg(error * error)).alias("rmse")).first()["rmse"]
 
 
+def assembled(
+    df: DataFrame, spec: FeatureSpec, keep: Sequence[str] = (), row_key: Sequence[str] | None = None
+) -> DataFrame:
+    """What fits read of ``df``: a hash of the row, the predictors as a vector, the target, ``keep``.
+
+    Staged once, it serves any number of fits on parts of it.
+    """
+    require_columns(df, [spec.target, *spec.features, *keep], "assembled")
+    keyed = df.withColumn("_row", F.xxhash64(*(row_key or [spec.target, *spec.features])))
+    target = F.col(spec.target).cast("double").alias(spec.target)
+    return assemble(keyed, spec.features, "_features").select("_row", "_features", target, *keep)
+
+
 def fit_boosted(
     train: DataFrame,
     spec: FeatureSpec,
@@ -212,27 +229,23 @@ def fit_boosted(
     without a lower validation RMSE, and later trees are dropped. ``base_score`` is the start value,
     by default the mean of the target. Row samples are drawn by a hash of ``row_key`` (by default
     of all features and the target), so a recomputed partition draws the same rows. The running
-    prediction is staged every ``stage_every`` rounds.
+    prediction is staged every ``stage_every`` rounds. Predictors with more than ``max_bins`` values
+    are cut at quantiles, which Spark takes from a bounded sample. ``train`` and ``validation`` may be
+    parts of a staged ``assembled`` table, and then they are not staged again before the first round.
     """
-    require_columns(train, [spec.target, *spec.features], "fit_boosted")
     spark, target = train.sparkSession, spec.target
     if base_score is None:
         base_score = train.agg(F.avg(target).alias("m")).first()["m"]
 
-    def prepared(df: DataFrame) -> DataFrame:
-        keyed = df.withColumn("_row", F.xxhash64(*(row_key or [target, *spec.features])))
-        return assemble(keyed, spec.features, "_features").select(
-            "_row",
-            "_features",
-            F.col(target).cast("double").alias(target),
-            F.lit(float(base_score)).alias("_pred"),
-        )
-
-    stages = {"train": Stage(spark, "train")}
-    frames = {"train": _staged(prepared(train), stages["train"])}
-    if validation is not None:
-        stages["validation"] = Stage(spark, "validation")
-        frames["validation"] = _staged(prepared(validation), stages["validation"])
+    stages, frames = {}, {}
+    for name, df in (("train", train), ("validation", validation)):
+        if df is not None:
+            stages[name] = Stage(spark, name)
+            if "_features" in df.columns:
+                frames[name] = df.select("_row", "_features", target)
+            else:
+                frames[name] = _staged(assembled(df, spec, row_key=row_key), stages[name])
+            frames[name] = frames[name].withColumn("_pred", F.lit(float(base_score)))
     draw = random.Random(seed)
     n_features = len(spec.features)
     n_drawn = max(1, round(params.colsample_bytree * n_features))
@@ -314,11 +327,13 @@ def _score_batch(trees, base_score: float, x: np.ndarray) -> np.ndarray:
     return total
 
 
-def prediction_column(model: BoostedModel, spark: SparkSession, bounded: bool = True) -> Column:
+def prediction_column(
+    model: BoostedModel, spark: SparkSession, bounded: bool = True, shared: Broadcast | None = None
+) -> Column:
     """Prediction as a column. Only the predictors travel to Python, in Arrow batches; the node
     arrays are broadcast once, and their size is bounded by rounds and depth."""
     ship_package(spark)
-    shared = spark.sparkContext.broadcast(_complete_trees(model))
+    shared = shared or spark.sparkContext.broadcast(_complete_trees(model))
     base = model.base_score
 
     @F.pandas_udf("double")
@@ -379,8 +394,13 @@ TRIAL_SCHEMA = (
 
 
 def _metrics(df: DataFrame, model: BoostedModel) -> Row:
-    scored = predict(df, model).select(model.spec.target, "pred")
-    return scored.agg(*metric_columns(model.spec.target, "pred")).first()
+    """Errors on ``df``; the model is taken off the cluster afterwards."""
+    spark = df.sparkSession
+    shared = spark.sparkContext.broadcast(_complete_trees(model))
+    pred = prediction_column(model, spark, shared=shared).alias("pred")
+    found = df.select(model.spec.target, pred).agg(*metric_columns(model.spec.target, "pred")).first()
+    shared.destroy()
+    return found
 
 
 def search(
@@ -394,20 +414,28 @@ def search(
     """Fit every parameter row of ``grid`` on every fold column of ``df``; means over the folds.
 
     A fold column holds "train", "test" or "unused". The fits run one after the other, each spread
-    over the cluster. ``validation`` is the watch data for early stopping.
+    over the cluster. ``validation`` is the watch data for early stopping. Both are assembled and
+    staged once for all fits.
     """
     results = []
+    rows, watch = Stage(df.sparkSession, "search"), Stage(df.sparkSession, "watch")
+    prepared = _staged(assembled(df, spec, keep=folds), rows)
+    if validation is not None:
+        validation = _staged(assembled(validation, spec), watch)
     for row in grid.orderBy("trial").collect():
         params = BoostParams.from_row(row)
         measured = []
         for fold in folds:
-            model = fit_boosted(df.filter(F.col(fold) == "train"), spec, params, validation, seed=seed)
+            part = prepared.filter(F.col(fold) == "train")
+            model = fit_boosted(part, spec, params, validation, seed=seed)
             measured.append(_metrics(df.filter(F.col(fold) == "test"), model))
         means = [
             float(np.mean([m[k] if m[k] is not None else math.nan for m in measured]))
             for k in ("rmse", "r2_corr", "mae")
         ]
         results.append((row["trial"], *params.grid_values().values(), *means))
+    rows.clear()
+    watch.clear()
     return df.sparkSession.createDataFrame(results, TRIAL_SCHEMA)
 
 
@@ -445,12 +473,15 @@ def lambda_sweep(
     measured on data that also chose the number of rounds; pass a third split to avoid that.
     """
     rows = []
+    stages = [Stage(train.sparkSession, name) for name in ("sweep", "watch")]
+    watch = test if watch is None else watch
+    prepared = [_staged(assembled(df, spec), s) for df, s in zip((train, watch), stages, strict=True)]
     for value in lambdas:
-        model = fit_boosted(
-            train, spec, params.with_(reg_lambda=float(value)), test if watch is None else watch, seed=seed
-        )
+        model = fit_boosted(prepared[0], spec, params.with_(reg_lambda=float(value)), prepared[1], seed=seed)
         inside, outside = _metrics(train, model), _metrics(test, model)
         rows.append((float(value), *[m[k] for k in ("rmse", "r2", "mae") for m in (inside, outside)]))
+    for stage in stages:
+        stage.clear()
     return train.sparkSession.createDataFrame(rows, SWEEP_SCHEMA)
 
 
@@ -464,10 +495,10 @@ def spatial_cv(
 ) -> DataFrame:
     """Predict every row with a model that has not seen its fold; one table of all folds."""
     parts = []
+    stage = Stage(df.sparkSession, "spatial")
+    prepared = _staged(assembled(df, spec, keep=[fold]), stage)
     for i in folds:
-        model = fit_boosted(df.filter(F.col(fold) != i), spec, params, seed=seed)
+        model = fit_boosted(prepared.filter(F.col(fold) != i), spec, params, seed=seed)
         parts.append(predict(df.filter(F.col(fold) == i), model))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    stage.clear()
+    return reduce(DataFrame.unionByName, parts)

@@ -84,8 +84,9 @@ def row_folds(
     gives k − 1 folds for k blocks; one that does not fit has no rows. ``tie`` must make a row unique; ties in time and place are
     ordered by its md5.
 
-    The rows are neither sorted nor numbered. Counts per time, place and hash slice locate the few
-    rows at which a cut falls; their keys, two per fold, are fetched, and the labels are plain
+    The rows are neither sorted nor numbered. Counts per day, then per time inside the days that a
+    cut falls into, then per place and hash slice inside the times that it falls into, locate the
+    few rows at the cuts; their keys, two per fold, are fetched, and the labels are plain
     comparisons with them.
     """
     order = [ts, *place]
@@ -101,10 +102,7 @@ def row_folds(
     fitting = [s for s in stops if s >= 1 and s + block_rows <= n]
     positions = sorted({p for s in fitting for p in (s, s + block_rows)})
 
-    counts = keyed.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-    first, last = F.col("_start") + 1, F.col("_start") + F.col("_n")
-    holds_cut = reduce(or_, [(first <= p) & (last >= p) for p in positions], F.lit(False))
-    cut_groups = _group_starts(counts, ts, group).filter(holds_cut).select(*group, "_start")
+    cut_groups = _cut_groups(keyed, ts, group, positions)
 
     key = [*order, "_digest", *tie]
     rank = F.row_number().over(Window.partitionBy(*group).orderBy("_digest", *tie))
@@ -129,31 +127,34 @@ def row_folds(
     return keyed.withColumns(labels).drop("_digest", "_slice")
 
 
-def _group_starts(counts: DataFrame, ts: str, group: Sequence[str]) -> DataFrame:
-    """Rows before each group, summed up day by day, then time by time, then inside one time.
+def _cut_groups(keyed: DataFrame, ts: str, group: Sequence[str], positions: Sequence[int]) -> DataFrame:
+    """The groups (time, place, slice) that hold one of the positions, with the rows before them.
 
-    Only the table of days is summed in one task, and a calendar bounds its length.
+    Narrowed in three steps, each over the part that the one before left: all days, of which a
+    calendar bounds the number, the times of at most a day for each position, and the groups of
+    at most a time for each position.
     """
-    counts = counts.withColumn("_day", F.to_date(ts))
-    times = counts.groupBy("_day", ts).agg(F.sum("_n").alias("_n"))
-    days = times.groupBy("_day").agg(F.sum("_n").alias("_n"))
 
-    def before(window):
-        return F.coalesce(
+    def holding(counts: DataFrame, window, start: str, base: str | None = None) -> DataFrame:
+        before = F.coalesce(
             F.sum("_n").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
         )
-
-    day_start = days.select("_day", before(Window.orderBy("_day")).alias("_day_start"))
-    time_start = times.withColumn(
-        "_time_start", before(Window.partitionBy("_day").orderBy(ts))
-    ).drop("_n")
-    inside = before(Window.partitionBy(ts).orderBy(*group[1:]))
-    return (
-        counts.withColumn("_inside", inside)
-        .join(time_start.join(day_start, "_day").drop("_day"), ts)
-        .withColumn("_start", F.col("_day_start") + F.col("_time_start") + F.col("_inside"))
-        .select(*group, "_n", "_start")
-    )
+        counts = counts.withColumn(start, before if base is None else F.col(base) + before)
+        held = [(F.col(start) < p) & (F.col(start) + F.col("_n") >= p) for p in positions]
+        return counts.filter(reduce(or_, held, F.lit(False)))
+
+    def counted(df: DataFrame, *names: str) -> DataFrame:
+        return df.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
+
+    dated = keyed.withColumn("_day", F.to_date(ts))
+    days = holding(counted(dated, "_day"), Window.orderBy("_day"), "_day_start")
+    inside = dated.join(F.broadcast(days.drop("_n")), "_day")  # a row per position
+    of_day = Window.partitionBy("_day").orderBy(ts)
+    times = holding(counted(inside, "_day", "_day_start", ts), of_day, "_time_start", "_day_start")
+    inside = keyed.join(F.broadcast(times.select(ts, "_time_start")), ts)  # a row per position
+    of_time = Window.partitionBy(ts).orderBy(*group[1:])
+    found = holding(counted(inside, *group, "_time_start"), of_time, "_start", "_time_start")
+    return found.select(*group, "_start")
 
 
 def expanding_folds(df: DataFrame, mode: str = "time", **options) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from sensorgrid.functions.timeparts import LOCAL_TZ, TimeRange
 from sensorgrid.operators import features as ft
-from sensorgrid.operators.boosting import BoostedModel, fit_boosted, predict
+from sensorgrid.operators.boosting import BoostedModel, fit_boosted, predict, save_model
 from sensorgrid.operators.calibrate import calibration_factors
 from sensorgrid.operators.evaluate import regression_metrics
 from sensorgrid.operators.model import BoostParams, FeatureSpec, best_params, feature_spec
@@ -58,6 +58,7 @@ class Outputs:
     descriptions: Table
     final_models: Table
     scaling: Table
+    models: str | None = None  # folder of the models by id
 
 
 @dataclass
@@ -116,7 +117,8 @@ def calibrate_and_predict(
 
     Scores the sensors from the model's last stored hour on, the stations from the start of the
     records, and the grid from yesterday to sixteen weeks ahead; for the count target it also
-    renews the calibration factors. ``dry_run`` writes nothing at all, the description included.
+    renews the calibration factors. The model is kept under its id before anything is scored.
+    ``dry_run`` writes nothing at all, the description included.
     """
     spark = train.sparkSession
     spec, params = spec or feature_spec(target), params or best_params(target)
@@ -130,6 +132,8 @@ def calibrate_and_predict(
     model_id = described.first()["model_id"]
     described = described.withColumn("model_id", F.lit(model_id).cast("bigint"))
     upsert_latest(described, outputs.descriptions, dry_run)
+    if outputs.models and not dry_run:
+        save_model(spark, model, f"{outputs.models}/{model_id}")
 
     ahead = ft.incremental_scan(
         inputs.calendar,

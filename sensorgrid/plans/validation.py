@@ -29,7 +29,7 @@ from sensorgrid.operators.model import (
     random_grid,
 )
 from sensorgrid.plans.calibration import CALIBRATED_TARGET
-from sensorgrid.session import cut_lineage
+from sensorgrid.session import Stage, cut_lineage
 
 # --- Fixed values -----------------------------------------------------------------------------
 TUNE_LENGTH = 25
@@ -68,7 +68,8 @@ def temporal_validation(
     """
     spec = spec or feature_spec(target)
     grid = grid if grid is not None else random_grid(df.sparkSession, tune_length, seed)
-    labelled = cut_lineage(splits.temporal_split(df, ts, weeks))
+    stage = Stage(df.sparkSession, "temporal")
+    labelled = stage.put(splits.temporal_split(df, ts, weeks))
     train = labelled.filter(F.col("split") == "train")
     test = labelled.filter(F.col("split") == "test")
     folded = splits.time_folds(train, ts, weeks, n_folds)
@@ -85,6 +86,7 @@ def temporal_validation(
     best_lambda = best_trial(sweep, "rmse_oos", "lambda").first()["lambda"]
     final = fit_boosted(train, spec, params.with_(reg_lambda=best_lambda), test, seed=seed)
     best_cv = search_results(best.select("trial", *params.grid_values()), trials)
+    stage.clear()
     return TemporalResult(trials, best_cv, in_sample, out_of_sample, sweep, best_lambda, final)
 
 
@@ -110,13 +112,15 @@ def spatial_validation(
     """Predict each sensor with a model that has not seen it. Counts are scaled with the factor of
     the sensor's cell and halved, because the factors belong to both directions of a road."""
     spec, params = spec or feature_spec(target), params or best_params(target)
-    folded = cut_lineage(splits.group_folds(df, sensor, n_folds, seed))
+    stage = Stage(df.sparkSession, "spatial")
+    folded = stage.put(splits.group_folds(df, sensor, n_folds, seed))
     predicted = spatial_cv(folded, spec, params, range(1, n_folds + 1), seed=seed)
     if target == CALIBRATED_TARGET:
         predicted = apply_factors(predicted, factors, value="pred", out="pred", how="left", divisor=2)
     else:
         predicted = predicted.join(factors.select("x", "y", "scaling"), ["x", "y"], "left")
-    predicted = cut_lineage(predicted)
+    predicted = cut_lineage(predicted)  # part of the result
+    stage.clear()
     per_fold = evaluate.metrics_by_group(predicted, "fold", spec.target, "pred")
     per_sensor = evaluate.sensor_summary(
         predicted, spec.target, "pred", sensor=sensor, scaling="scaling"
@@ -128,3 +132,21 @@ def spatial_validation(
         per_sensor,
         evaluate.sensor_correlation(per_sensor),
     )
+
+
+def store_result(frame: DataFrame, path: str, run_id: str) -> None:
+    """Keep a table of a validation or explanation run under its id; a repeated run replaces it."""
+    writer = frame.withColumn("run_id", F.lit(run_id)).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)
+
+
+def store_temporal(result: TemporalResult, root: str, run_id: str) -> None:
+    """Trials, the best trial's errors, and the penalty sweep."""
+    for name in ("trials", "best_cv", "sweep"):
+        store_result(getattr(result, name), f"{root}/{name}", run_id)
+
+
+def store_spatial(result: SpatialResult, root: str, run_id: str) -> None:
+    """Predictions of rows that the models had not seen, and their errors."""
+    for name in ("predictions", "per_fold", "mean", "per_sensor", "correlation"):
+        store_result(getattr(result, name), f"{root}/{name}", run_id)

@@ -58,6 +58,12 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared store that nothing reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 class Stage:
     """A place in the shared folder that holds one table at a time.
 
@@ -66,21 +72,20 @@ class Stage:
     """
 
     def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.name, self.path, self.schema = spark, name, None, None
+        self.spark, self.name, self.path = spark, name, None
 
     def put(self, df: DataFrame) -> DataFrame:
         """Write ``df``, which may read the table held so far, and go on from the copy."""
         path = work_path(self.spark, self.name)
         df.write.parquet(path)
         self.clear()
-        self.path, self.schema = path, df.schema
+        self.path = path
         return self.spark.read.schema(df.schema).parquet(path)
 
     def clear(self) -> None:
-        """Give the space back: an empty table takes the place of the held one."""
+        """Give the space back."""
         if self.path:
-            empty = self.spark.createDataFrame([], self.schema)
-            empty.coalesce(1).write.mode("overwrite").parquet(self.path)
+            remove_path(self.spark, self.path)
             self.path = None
 
 

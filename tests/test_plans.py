@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from sensorgrid.driver.models import fixed_model
 from sensorgrid.functions.timeparts import TimeRange
 from sensorgrid.operators import features as ft
-from sensorgrid.operators import scoring
+from sensorgrid.operators import boosting, scoring
 from sensorgrid.operators.boosting import predict
 from sensorgrid.operators.model import BoostParams, FeatureSpec, random_grid
-from sensorgrid.plans import calibration, validation
+from sensorgrid.plans import calibration, explanation, validation
 from sensorgrid.schemas import SCHEMAS, VOLUME_COLUMNS
 from sensorgrid.sources.tables import Table
 
@@ -70,6 +70,7 @@ def tables(root):
         descriptions=Table(f"{root}/descriptions", SCHEMAS["model_description"], ("model_id",)),
         final_models=Table(f"{root}/final", SCHEMAS["final_models"], ("depvar",)),
         scaling=Table(f"{root}/scaling", SCHEMAS["scaling"], ("x", "y")),
+        models=f"{root}/models",
     )
 
 
@@ -101,6 +102,17 @@ def test_full_run(spark, inputs, frame, tmp_path):
         assert f["kfz_per_24h_pred"] > 0 and (f["scaling"] == 0 or 0.1 <= f["scaling"] <= 5)
     assert [tuple(r) for r in out.final_models.read(spark).collect()] == [("q_kfz", 1)]
 
+    kept = boosting.load_model(spark, f"{out.models}/1")
+    assert predict(frame, kept).exceptAll(predict(frame, first.model)).isEmpty()
+    explained = explanation.explain_model(
+        frame, f"{out.models}/1", ("mq_name", "date_time"), 0.5, rows=50, store_at=f"{tmp_path}/e", run_id="r1"
+    )
+    total = sum(F.col(f"shap_{f}") for f in FEATURES) + F.col("shap_bias")
+    joined = predict(explained.contributions, kept, bounded=False).withColumn("total", total)
+    assert joined.count() == 50 and joined.filter("abs(pred - total) > 1e-6").isEmpty()
+    assert explained.importance.agg(F.sum("rel_importance")).first()[0] == pytest.approx(0.5)
+    assert spark.read.parquet(f"{tmp_path}/e/effects").filter("run_id = 'r1'").count() == explained.effects.count() > 0
+
     again = run(chunk_size=2)
     assert again.model_id == 1
     assert out.on_grid.read(spark).count() == 6 * ahead
@@ -175,7 +187,7 @@ def test_backfill_goes_on_by_recorded_chunks(spark, inputs, tmp_path, monkeypatc
     assert scoring.score_backfill(*args, chunk_size=1, dry_run=True) == 3
 
 
-def test_temporal_validation(spark, frame):
+def test_temporal_validation(spark, frame, tmp_path):
     spec = FeatureSpec("q_kfz", FEATURES)
     grid = random_grid(spark, 2).withColumns({"nrounds": F.lit(1), "max_depth": F.lit(2)})
     result = validation.temporal_validation(
@@ -184,6 +196,9 @@ def test_temporal_validation(spark, frame):
     assert result.trials.count() == 2 and result.best_cv.count() == 1
     assert result.in_sample["n"] + result.out_of_sample["n"] == frame.count()
     assert result.best_lambda == 5.0 and result.model.params.reg_lambda == 5.0
+    for _ in range(2):
+        validation.store_temporal(result, str(tmp_path), "run")
+    assert spark.read.parquet(f"{tmp_path}/trials").count() == 2
     assert predict(frame, result.model).count() == frame.count()
 
 
