@@ -22,12 +22,6 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def remove_path(spark: SparkSession, path: str) -> None:
-    """Delete a folder of the shared store that nothing reads any more."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-
-
 def packed(df: DataFrame, *columns: str) -> DataFrame:
     """All columns of ``df`` as one struct ``row``, beside copies of the named ones.
 

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorgrid.llm.common import remove_path
-from sensorgrid.session import work_path
+from sensorgrid.session import remove_path, work_path
 
 
 def connected_components(edges: DataFrame) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -22,6 +21,7 @@ WINDOW = 13
 ONE_WORD_IN = 20
 #: Benchmark text is broadcast in slices of at most so many bytes.
 SLICE_BYTES = 16 << 20
+_REMEMBERED = 100_000
 
 _WORD = re.compile(rb"[^ ]+")
 
@@ -37,36 +37,53 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 
 class Windows:
-    """Test windows by width: a small bit filter, sorted hashes, and the words behind a hash."""
+    """Test windows by width: a bit filter, sorted hashes, and where each window stands.
 
-    def __init__(self, items: Iterable[tuple[str, bytes]], width: int):
-        self.by_words: dict[int, dict[tuple[bytes, ...], set[str]]] = defaultdict(
-            lambda: defaultdict(set)
-        )
-        for item, text in items:
-            words = words_of(text)
-            if words:
-                size = min(width, len(words))
-                for k in range(len(words) - size + 1):
-                    self.by_words[size][tuple(words[k : k + size])].add(item)
-        self.filters = {}
-        for size, windows in self.by_words.items():
-            runs = WordRuns([b" ".join(w) for w in windows])
-            hashes = runs.hashes(size)[runs.starts[:-1]]
+    A window takes sixteen bytes beside the text of its item; its words are compared in place.
+    """
+
+    def __init__(self, items: list[tuple[str, bytes]], width: int):
+        self.items = [item for item, _ in items]
+        self.runs = WordRuns([text for _, text in items], _TABLE)
+        self.known: dict[tuple[bytes, ...], frozenset[str]] = {}
+        sizes = np.minimum(np.diff(self.runs.starts), width)
+        self.by_size = {}
+        for size in np.unique(sizes[sizes > 0]).tolist():
+            begins = self.runs.windows(size)
+            begins = begins[sizes[self.runs.of[begins]] == size]  # a short item is one window
+            hashes = self.runs.hashes(size)[begins]
+            order = np.argsort(hashes, kind="stable")
             bits = max(12, int(np.ceil(np.log2(len(hashes) * 16))))
-            seen = np.zeros(1 << bits, bool)
-            seen[(hashes >> np.uint64(64 - bits)).astype(np.int64)] = True
-            self.filters[size] = (bits, seen, np.unique(hashes))
+            filtered = np.zeros(1 << bits, bool)
+            filtered[(hashes >> np.uint64(64 - bits)).astype(np.int64)] = True
+            self.by_size[size] = (bits, filtered, hashes[order], begins[order])
 
-    def hits(self, size: int, runs: WordRuns) -> np.ndarray:
-        """Window positions whose hash is that of a test window."""
-        bits, seen, hashes = self.filters[size]
+    def hits(self, size: int, runs: WordRuns) -> Iterator[tuple[int, frozenset[str]]]:
+        """Places of test windows in texts, with the items that have them."""
+        bits, filtered, hashes, _ = self.by_size[size]
         begins = runs.windows(size)
         own = runs.hashes(size)[begins]
-        some = seen[(own >> np.uint64(64 - bits)).astype(np.int64)]
+        some = filtered[(own >> np.uint64(64 - bits)).astype(np.int64)]
         begins, own = begins[some], own[some]
         at = np.minimum(np.searchsorted(hashes, own), len(hashes) - 1)
-        return begins[hashes[at] == own]
+        same = hashes[at] == own
+        for begin, value in zip(begins[same].tolist(), own[same], strict=True):
+            owners = self.owners(runs.words(begin, size), value)
+            if owners:  # the words are the same, not only the hash
+                yield begin, owners
+
+    def owners(self, words: tuple[bytes, ...], value: np.uint64) -> frozenset[str]:
+        if words not in self.known:
+            if len(self.known) >= _REMEMBERED:
+                self.known.clear()
+            _, _, hashes, begins = self.by_size[len(words)]
+            low, high = np.searchsorted(hashes, value), np.searchsorted(hashes, value, "right")
+            self.known[words] = frozenset(
+                self.items[self.runs.of[k]]
+                for k in begins[low:high].tolist()
+                if self.runs.words(k, len(words)) == words
+            )
+        return self.known[words]
 
 
 _built: dict[tuple[int, int], Windows] = {}
@@ -87,14 +104,11 @@ def _scan(shared: Broadcast, width: int, last: bool):
                 runs = WordRuns(texts[start:end], _TABLE)
                 edges = np.zeros(len(runs.values) + 1, np.int64)
                 items = [set(x or ()) for x in part.column("items").to_pylist()]
-                for size, known in windows.by_words.items():
-                    for at in windows.hits(size, runs).tolist():
-                        text = int(runs.of[at])
-                        owners = known.get(runs.words(at, size))
-                        if owners:  # the words are the same, not only the hash
-                            items[text] |= owners
-                            edges[at] += 1
-                            edges[at + size] -= 1
+                for size in windows.by_size:
+                    for at, owners in windows.hits(size, runs):
+                        items[int(runs.of[at])] |= owners
+                        edges[at] += 1
+                        edges[at + size] -= 1
                 hit = np.cumsum(edges)[:-1] > 0
                 marks = []
                 before = part.column("hits").to_pylist()

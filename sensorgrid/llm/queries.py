@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from sensorgrid.llm import (
@@ -20,9 +19,11 @@ from sensorgrid.llm import (
     warc,
 )
 from sensorgrid.llm.common import table
+from sensorgrid.llm.oracles import SQL
+
+__all__ = ["QUERIES", "SQL"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
 
 
 def query(fn):
@@ -49,8 +50,10 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 @query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path("word_bpe_49k.json")
-    return tokens.token_counts(table(spark, sf_dir, "documents"), str(path))
+    import public_tokenizers
+
+    path = str(public_tokenizers.path("word_bpe_49k.json"))
+    return tokens.token_counts(table(spark, sf_dir, "documents"), path)
 
 
 @query
@@ -63,8 +66,6 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-SQL["op3_source_mixing"] = mixing.SQL
-
 
 @query
 def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,8 +14,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorgrid.llm.common import remove_path, staged
-from sensorgrid.session import ship_package, work_path
+from sensorgrid.llm.common import staged
+from sensorgrid.session import remove_path, ship_package, work_path
 
 #: An archive is closed at the record with which it passes so many bytes before compression.
 ARCHIVE_BYTES = 256 << 20
@@ -31,8 +31,12 @@ _READ_BACK = (
 
 
 def _open(uri: str) -> tuple[fs.FileSystem, str]:
+    """The store of a path as Hadoop writes it."""
     if uri.startswith("file:/") and not uri.startswith("file://"):
         uri = "file://" + uri.removeprefix("file:")
+    for scheme in ("s3a://", "s3n://"):
+        if uri.startswith(scheme):
+            uri = "s3://" + uri.removeprefix(scheme)
     return fs.FileSystem.from_uri(uri)
 
 
