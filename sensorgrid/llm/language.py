@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorgrid.llm.common import packed
+from sensorgrid.llm.windows import column_groups
 from sensorgrid.session import ship_package
 
 #: Labelled symbols that a language's automaton is built from, and labelled rows they come from.
@@ -24,7 +25,6 @@ ALL_SYMBOLS = 640_000
 ALPHABET = 64
 #: Texts are parsed in segments of so many symbols; a phrase ends with its segment.
 SEGMENT = 1024
-_GROUP_CHARS = 4 << 20
 UNKNOWN = "und"
 
 
@@ -228,24 +228,13 @@ _parsers: dict[LanguageModel, CrossParser] = {}
 
 
 def _identify(model: LanguageModel):
-    def groups(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-        start = size = 0
-        for i, text in enumerate(texts):
-            if i > start and size + len(text or "") > _GROUP_CHARS:
-                yield start, i
-                start, size = i, 0
-            size += len(text or "")
-        if texts:
-            yield start, len(texts)
-
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if model not in _parsers:
             _parsers.clear()
             _parsers[model] = CrossParser(model)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for start, end in groups(texts):
-                langs, scores = _parsers[model].languages(texts[start:end])
+            for start, end, texts in column_groups(batch.column("text")):
+                langs, scores = _parsers[model].languages(texts)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("row").slice(start, end - start), pa.array(langs), pa.array(scores, pa.float64())],
                     ["row", "lang_pred", "score"],

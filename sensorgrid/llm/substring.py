@@ -8,14 +8,13 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorgrid.llm.common import staged
-from sensorgrid.llm.windows import MULTIPLIERS, WordRuns, size_groups, words_of
+from sensorgrid.llm.windows import MULTIPLIERS, WordRuns, column_groups, words_of
 from sensorgrid.session import ship_package
 
 WINDOW = 13
@@ -40,13 +39,6 @@ def _slots(hashes: np.ndarray, row: int, slots: int) -> np.ndarray:
     return ((mixed >> np.uint64(32)) * np.uint64(slots) >> np.uint64(32)).astype(np.int64)
 
 
-def _text_groups(column: pa.Array) -> Iterator[tuple[int, int, list[bytes | None]]]:
-    """Texts in groups, each made only when it is its turn."""
-    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
-    for start, end in size_groups(sizes):
-        yield start, end, column.slice(start, end - start).to_pylist()
-
-
 def _sketches(slots: int):
     """Sketches of parts of a partition, as (block, counters reached, counters passed one).
 
@@ -78,7 +70,7 @@ def _sketches(slots: int):
                 )
 
         for batch in batches:
-            for start, end, texts in _text_groups(batch.column("text").cast(pa.binary())):
+            for start, end, texts in column_groups(batch.column("text").cast(pa.binary())):
                 runs = WordRuns(texts)
                 begins = runs.windows(WINDOW)
                 hashes, text = runs.hashes(WINDOW)[begins], runs.of[begins] + seen
@@ -231,7 +223,7 @@ def _flagged(slots: int, shared: Broadcast):
         names = [part.split()[0] for part in _FLAGGED.split(", ")]
         for batch in batches:
             ids = batch.column("doc_id").to_numpy()
-            for start, end, group in _text_groups(batch.column("text").cast(pa.binary())):
+            for start, end, group in column_groups(batch.column("text").cast(pa.binary())):
                 runs = WordRuns(group)
                 begins = runs.windows(WINDOW)
                 hashes = runs.hashes(WINDOW)[begins]

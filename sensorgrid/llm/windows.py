@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Odd multipliers of independent polynomial hashes; fixed values.
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -31,6 +33,13 @@ def size_groups(sizes: Sequence[int]) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
+def column_groups(column: pa.Array) -> Iterator[tuple[int, int, list]]:
+    """Texts of a column in such groups, each made only when it is its turn."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    for start, end in size_groups(sizes):
+        yield start, end, column.slice(start, end - start).to_pylist()
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
