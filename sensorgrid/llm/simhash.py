@@ -11,8 +11,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorgrid.llm.common import packed, staged
+from sensorgrid.llm.common import staged
 from sensorgrid.llm.components import connected_components
+from sensorgrid.llm.copies import keep_one  # noqa: F401  also found here by its callers
 from sensorgrid.session import ship_package
 
 SHINGLE_WORDS = 3
@@ -112,16 +113,3 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return rows.join(of_mark, "mark").select(
         "doc_id", F.lower(F.lpad(F.hex("mark"), 16, "0")).alias("fingerprint"), "component_id"
     )
-
-
-def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` without near-copies: the document with the smallest id of each component stays.
-
-    Rows with a null doc_id stay, since nothing tells which of them came first. Rows that repeat
-    the id of a kept document stay only once.
-    """
-    kept = near_duplicates(docs).filter("doc_id = component_id").select("doc_id").distinct()
-    rows = packed(docs, "doc_id")
-    named = rows.filter("doc_id IS NOT NULL").join(kept, "doc_id")
-    once = named.dropDuplicates(["doc_id"])
-    return once.select("row.*").union(rows.filter("doc_id IS NULL").select("row.*"))
