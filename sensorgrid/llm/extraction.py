@@ -25,7 +25,7 @@ PROSE_TAGS = frozenset("p blockquote pre figcaption".split())
 HEADING_TAGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 OTHER_TAGS = frozenset(
     "nav header footer aside form button select option menu dialog noscript head title fieldset textarea legend"
-    " datalist frameset".split()
+    " datalist frameset svg object canvas audio video template annotation annotation-xml".split()
 )
 OTHER_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist"

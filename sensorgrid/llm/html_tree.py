@@ -10,12 +10,17 @@ from dataclasses import dataclass, field
 # text, and that end an open paragraph or item.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q s samp small span"
-    " strike strong sub sup time tt u var wbr".split()
+    " strike strong sub sup time tt u var wbr"
+    # formulas are part of their line
+    " math maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot"
+    " mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
 )
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr basefont frame keygen".split()
 )
-RAW = "script|style|template|iframe|noembed|noframes|xmp|svg|math|object|canvas|audio|video"
+RAW = "script|style|iframe|noembed|noframes|xmp"
+#: Without an end tag further on these have no content, so that a page goes on after them.
+PLAYERS = frozenset("svg object canvas audio video template".split())
 PARAGRAPH_ENDS = frozenset(
     "address article aside blockquote center details dialog dir div dl dd dt fieldset figcaption figure footer"
     " form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre section summary table tbody td tfoot th"
@@ -35,7 +40,7 @@ SIBLINGS = {
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<raw>{RAW})\b[^>]*+>.*?(?:</(?P=raw)\s*+>|\Z)"
+    rf"|<(?P<raw>{RAW})(?=[\s/>])[^>]*+>.*?(?:</(?P=raw)(?=[\s/>])[^>]*+>|\Z)"
     r"""|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
     r"|</?[a-zA-Z][^>]*+(?:>|\Z)|<![^>]*+(?:>|\Z)|<\?[^>]*+(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
@@ -70,6 +75,7 @@ def parse(text: str) -> Page:
     nodes, runs, stack = [Node("#root", -1)], [], [0]
     parts: list[str] = []
     links = 0
+    last_ends: dict[str, int] = {}
 
     def end_run() -> None:
         if parts:
@@ -135,6 +141,11 @@ def parse(text: str) -> Page:
         attrs = m["attrs"]
         found = {k.lower(): v.strip("\"'").lower() for k, v in _ATTRIBUTE.findall(attrs)} if "=" in attrs or "hidden" in attrs else {}
         nodes.append(Node(name, stack[-1], found))
+        if name in PLAYERS:
+            if name not in last_ends:
+                last_ends[name] = max((e.start() for e in re.finditer(rf"</{name}(?=[\s/>])", text, re.IGNORECASE)), default=-1)
+            if last_ends[name] < at:
+                continue
         if not attrs.endswith("/"):
             stack.append(len(nodes) - 1)
     if at < len(text):
