@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sensorgrid.llm import decontaminate, mixing, secrets, substring
+from sensorgrid.llm import decontaminate, lines, mixing, secrets, spelling, substring, vector_codes
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -76,4 +76,7 @@ SQL = {
       SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
         sha256(array_to_string([x FOR x, j IN w IF gone IS NULL OR NOT list_contains(gone, j)], ' ')) AS kept_sha256
       FROM split LEFT JOIN lists USING (doc_id)""",
+    "op11_vector_codes": vector_codes.SQL,
+    "op12_spelling_variants": spelling.SQL,
+    "op13_line_dedup": lines.SQL,
 }

@@ -10,12 +10,15 @@ from sensorgrid.llm import (
     decontaminate,
     extraction,
     language,
+    lines,
     mixing,
     quality,
     secrets,
     simhash,
+    spelling,
     substring,
     tokens,
+    vector_codes,
     warc,
 )
 from sensorgrid.llm.common import table
@@ -85,3 +88,18 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.main_texts(table(spark, sf_dir, "pages"))
+
+
+@query
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.digest(lines.drop_common_lines(table(spark, sf_dir, "documents")))
