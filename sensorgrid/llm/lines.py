@@ -9,8 +9,9 @@ from sensorgrid.llm.common import LOWER, UPPER, staged
 
 MIN_CHARS = 1
 MIN_DOCS = 10
-#: Lists of dropped places are broadcast up to so many bytes, and shuffled beyond.
+#: Common lines, and lists of dropped places, are broadcast up to so many bytes, and shuffled beyond.
 BROADCAST_BYTES = 32 << 20
+_LINE_BYTES = 32
 
 _WHITE_SPACE = " \t\n\x0b\f\r"
 
@@ -54,11 +55,16 @@ def drop_common_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int
     is joined by \\n in its order; if nothing stays, ``kept`` is empty. Repeated rows each come back.
 
     Lines are shuffled as hashes, texts only where the lists of dropped places are too long to be
-    broadcast. Places are looked up by position, so the work of a text grows with its lines alone.
+    broadcast. The common lines are a table of their own before they are joined, so that a join
+    which shuffles has an exchange on both sides and a line that every document holds is split.
+    Places are looked up by position, so the work of a text grows with its lines alone.
     """
     docs = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     lines = hashed_lines(docs, min_chars)
-    dropped = lines.join(common_lines(lines, min_docs), ["a", "b"], "left_semi")
+    common = staged(common_lines(lines, min_docs), "common-lines")
+    if common.count() * _LINE_BYTES <= BROADCAST_BYTES:
+        common = F.broadcast(common)
+    dropped = lines.join(common, ["a", "b"], "left_semi")
     dropped = staged(
         dropped.groupBy("doc_id", "mark").agg(F.collect_set("pos").alias("gone")), "dropped-lines"
     )
