@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sensorgrid.llm import copies, decontaminate, language, mixing, secrets
+from sensorgrid.llm import decontaminate, language, mixing, secrets, simhash
 from sensorgrid.llm.common import staged, table
 
 #: No stage is SQL: language models and 64-bit fingerprints can't be stated in it.
@@ -21,8 +21,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, with the smallest id, of each group linked by a five-word similarity of 0.8."""
-    return copies.keep_one(docs)
+    """One document, with the smallest id, of each group linked by fingerprints within two bits."""
+    return simhash.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
