@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import uuid
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -26,7 +27,7 @@ MAX_SLOTS = 1 << 29
 _SLOTS_PER_BYTE = 0.7
 _BLOCK = 1 << 20
 #: Windows that a task sketches at once, and flagged ones among which it looks for the same window.
-_SKETCHED, _COMPARED = 1 << 21, 1 << 17
+_SKETCHED, _COMPARED = 1 << 20, 1 << 17
 #: Lists of removed words are broadcast up to so many bytes, and shuffled beyond.
 BROADCAST_BYTES = 32 << 20
 
@@ -60,6 +61,7 @@ def _sketches(slots: int):
                 once = slot[first]
                 cuts = [np.searchsorted(x, np.arange(blocks + 1) * _BLOCK) for x in (once, more)]
                 some = np.flatnonzero(np.diff(cuts[0]))
+                del each, slot, first
                 columns = [
                     [_coded(x[cut[k] : cut[k + 1]] - k * _BLOCK) for k in some.tolist()]
                     for x, cut in zip((once, more), cuts, strict=True)
@@ -68,6 +70,7 @@ def _sketches(slots: int):
                     [pa.array((some + row * blocks).astype(np.int32)), *(pa.array(c, pa.binary()) for c in columns)],
                     ["block", "once", "more"],
                 )
+            pa.default_memory_pool().release_unused()
 
         for batch in batches:
             for start, end, texts in column_groups(batch.column("text").cast(pa.binary())):
@@ -120,7 +123,8 @@ def _merged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """
     blocks: dict[int, list[np.ndarray]] = {}
     for batch in batches:
-        for block, *parts in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+        for k in range(len(batch)):
+            block, *parts = (column[k].as_py() for column in batch.columns)
             once, more = map(_restored, parts)
             if block in blocks:
                 had = blocks[block]
@@ -161,11 +165,22 @@ def _bitmaps(slots: int, merged: list[tuple[int, bytes]]) -> np.ndarray:
     return bits
 
 
+#: The bitmaps of the last sketch a worker process has seen: its tasks, one after the other, share them.
+_held_bitmaps: dict[str, np.ndarray] = {}
+
+
+def _worker_bitmaps(name: str, slots: int, shared: Broadcast) -> np.ndarray:
+    if name not in _held_bitmaps:
+        _held_bitmaps.clear()
+        _held_bitmaps[name] = _bitmaps(slots, shared.value)
+    return _held_bitmaps[name]
+
+
 def _pack(positions: np.ndarray) -> bytes:
     return positions.astype("<i4").tobytes()
 
 
-def _flagged(slots: int, shared: Broadcast):
+def _flagged(name: str, slots: int, shared: Broadcast):
     """Windows whose counters all passed one.
 
     Of the windows that a task compares, one document for each goes on: the one with the smallest id.
@@ -174,7 +189,7 @@ def _flagged(slots: int, shared: Broadcast):
     """
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        passed = _bitmaps(slots, shared.value)
+        passed = _worker_bitmaps(name, slots, shared)
 
         def flush() -> Iterator[pa.RecordBatch]:
             hi, lo, ids, marks, pos = (np.concatenate(x) for x in zip(*held, strict=True))
@@ -267,7 +282,7 @@ def repeated_windows(docs: DataFrame, max_slots: int = MAX_SLOTS) -> DataFrame:
     docs = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL")
     slots, blocks = repeated_slots(docs, max_slots)
     shared = spark.sparkContext.broadcast(blocks)
-    flagged = docs.mapInArrow(_flagged(slots, shared), _FLAGGED)
+    flagged = docs.mapInArrow(_flagged(uuid.uuid4().hex, slots, shared), _FLAGGED)
     first = F.min("doc_id").over(Window.partitionBy("hi", "lo"))
     late = flagged.withColumn("first", first).filter("gone IS NOT NULL OR first < doc_id")
     places = late.groupBy("doc_id", "mark").agg(
@@ -324,7 +339,8 @@ def remove_repeats(docs: DataFrame, max_slots: int = MAX_SLOTS) -> DataFrame:
 
     A window is 13 consecutive words between ASCII white space. A word goes if a window that covers
     it also begins in a document with a smaller doc_id; the first document keeps its words. Windows
-    are told by 96 bits of two independent hashes. Null and empty texts have no words. A null
+    are told by 96 bits of two hashes with different multipliers over the same 64-bit word values, so
+    that two windows are taken for one if their words' values agree: about n² / 2^65 pairs of n words. Null and empty texts have no words. A null
     doc_id is neither smaller nor larger than any other, so such rows stay whole. Rows that repeat
     an id never remove words of each other.
 
