@@ -112,18 +112,18 @@ def _scan(shared: Broadcast, width: int, last: bool):
                 hit = np.cumsum(edges)[:-1] > 0
                 marks = []
                 before = part.column("hits").to_pylist()
-                for a, b, found, had in zip(runs.starts[:-1], runs.starts[1:], items, before, strict=True):
-                    bits = np.packbits(hit[a:b]) if found else None
-                    if bits is not None and had:
-                        bits = bits | np.frombuffer(had, np.uint8)
-                    marks.append(None if bits is None else bits.tobytes())
+                for a, b, had in zip(runs.starts[:-1], runs.starts[1:], before, strict=True):
+                    if hit[a:b].any():
+                        bits = np.packbits(hit[a:b])
+                        had = (bits | np.frombuffer(had, np.uint8) if had else bits).tobytes()
+                    marks.append(had)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("row"),
                         pa.nulls(end - start, pa.string()) if last else part.column("text"),
                         pa.array(np.diff(runs.starts)),
                         pa.array(marks, pa.binary()),
-                        pa.array([sorted(x) for x in items], pa.list_(pa.string())),
+                        pa.array([sorted(x - {None}) for x in items], pa.list_(pa.string())),
                     ],
                     ["row", "text", "n_words", "hits", "items"],
                 )
@@ -152,8 +152,9 @@ def find_overlaps(
     most significant first, and is null if no word is hit; ``items`` are the sorted ids of items
     with a window in the text, as strings. A-Z become a-z; words are runs of digits, a-z and
     characters beyond ASCII. A window is ``width`` words of an item, or all its words if it has
-    fewer. Null and empty texts have no words and no hits; items without an id or words have no
-    windows; repeated items count once. Every row comes back, as often as it stands there.
+    fewer. Null and empty texts have no words and no hits; items without words have no windows;
+    windows of items without an id are hits, but such items are in no list; repeated items count
+    once. Every row comes back, as often as it stands there.
 
     The windows' words are broadcast, in slices of at most ``slice_bytes`` bytes of benchmark
     text (one item may be larger). A slice takes one pass without a shuffle. If there are
@@ -161,7 +162,7 @@ def find_overlaps(
     """
     spark = rows.sparkSession
     ship_package(spark)
-    items = benchmark.filter("item_id IS NOT NULL AND text IS NOT NULL").select(
+    items = benchmark.filter("text IS NOT NULL").select(
         F.col("item_id").cast("string").alias("item"), F.col("text").cast("binary").alias("text")
     )
     found = rows.select(
@@ -212,7 +213,7 @@ def overlap_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without contaminated rows; all others stay as they are."""
+    """``docs`` without contaminated rows; all others stay as they are, also null and empty texts and repeated rows."""
     found = summary(find_overlaps(packed(docs, "text"), benchmark))
     return found.filter(~F.col("contaminated")).select("row.*")
 
@@ -239,7 +240,10 @@ def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def cut_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(row, cleaned): each text without its hit words and what stands between two of them."""
+    """(row, cleaned): each text without its hit words and what stands between two of them.
+
+    Texts without hits, null and empty ones stay as they are; repeated rows each come back.
+    """
     rows = packed(docs, "text")
     found = find_overlaps(rows, benchmark).select("row", "hits", F.col("row.text").alias("text"))
     fields = {f.name: f.dataType for f in rows.schema}

@@ -11,13 +11,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorgrid.llm.html_tree import Node, Page, parse
+from sensorgrid.llm.html_tree import Node, Page, is_hidden, parse
 from sensorgrid.session import ship_package
 
 #: Pages that the potentials are counted on at most; about so many are drawn by a hash of the id.
 LABELLED_PAGES = 2000
-#: Weight of the assumed shares, as a part of the labelled nodes.
-_ASSUMED = 1.0
+#: Weight of the assumed shares, as so many labelled nodes: what is counted soon outweighs them.
+_ASSUMED = 1000.0
 
 # What elements and words in class, id and role names say.
 CONTENT_TAGS = frozenset(["article", "main"])
@@ -64,7 +64,8 @@ ASSUMED = {
 ASSUMED_EDGES = {True: (0.005, 0.01), False: (0.12, 0.99)}
 
 _NAME = re.compile(r"[a-z]+")
-_HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
+#: An element with at least this part of a page's sentences is no part beside them, whatever its name.
+_MOST = 0.8
 
 
 def _names(node: Node) -> str:
@@ -73,11 +74,6 @@ def _names(node: Node) -> str:
     return "both" if other and content else "other" if other else "content" if content else "none"
 
 
-def _is_hidden(node: Node) -> bool:
-    style = node.attributes.get("style", "")
-    return "hidden" in node.attributes or node.attributes.get("aria-hidden") == "true" or bool(_HIDDEN.search(style))
-
-
 def _tag(node: Node) -> str:
     if node.tag in CONTENT_TAGS:
         return "content"
@@ -104,15 +100,19 @@ def features(node: Node) -> list[tuple[str, str]]:
 def marks(page: Page, values: list[list[tuple[str, str]]]) -> list[bool]:
     """Whether a node is in a part whose element or names say that it isn't the main text.
 
-    An element around an article says nothing about it.
+    An element around an article, or around most of the page's sentences outside links, says
+    nothing about what it holds, unless it is hidden.
     """
     holds = [node.tag in CONTENT_TAGS for node in page.nodes]
+    said = [node.chars - node.link_chars if node.stops else 0 for node in page.nodes]
     for k in range(len(holds) - 1, 0, -1):
         holds[page.nodes[k].parent] |= holds[k]
+        said[page.nodes[k].parent] += said[k]
     marked = []
     for k, node in enumerate(page.nodes):
         (_, tag), (_, names), *_ = values[k]
-        own = (tag == "other" or names == "other" or _is_hidden(node)) and not holds[k]
+        around = holds[k] or (said[k] > 0 and said[k] >= _MOST * said[0])
+        own = is_hidden(node.attributes) or ((tag == "other" or names == "other") and not around)
         marked.append(own or (node.parent >= 0 and marked[node.parent]))
     return marked
 
@@ -140,14 +140,12 @@ class TreeModel:
             pair = []
             for label in (False, True):
                 seen, every = counts["node", name, value, label], counts["any", name, label]
-                assumed = _ASSUMED * max(1, every)
-                pair.append((seen + assumed * shares[label]) / (every + assumed))
+                pair.append((seen + _ASSUMED * shares[label]) / (every + _ASSUMED))
             nodes[name, value] = tuple(pair)
         for marked, shares in ASSUMED_EDGES.items():
             for parent in (False, True):
                 seen = [counts["edge", marked, parent, child] for child in (False, True)]
-                assumed = _ASSUMED * max(1, sum(seen))
-                share = (seen[1] + assumed * shares[parent]) / (sum(seen) + assumed)
+                share = (seen[1] + _ASSUMED * shares[parent]) / (sum(seen) + _ASSUMED)
                 edges[marked, parent] = (1 - share, share)
         return TreeModel(nodes, edges)
 

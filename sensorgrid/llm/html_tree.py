@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 # Elements that stand inside lines of text, that have no content, whose content is no
@@ -18,6 +19,8 @@ INLINE = frozenset(
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr basefont frame keygen".split()
 )
+#: Words in names of inline adverts.
+ADVERT_WORDS = frozenset("ad ads advert adverts advertisement advertising promo promoted sponsor sponsored".split())
 RAW = "script|style|iframe|noembed|noframes|xmp"
 #: Without an end tag further on these have no content, so that a page goes on after them.
 PLAYERS = frozenset("svg object canvas audio video template".split())
@@ -39,7 +42,7 @@ SIBLINGS = {
 }
 
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)"
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))"
     rf"|<(?P<raw>{RAW})(?=[\s/>])[^>]*+>.*?(?:</(?P=raw)(?=[\s/>])[^>]*+>|\Z)"
     r"""|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
     r"|</?[a-zA-Z][^>]*+(?:>|\Z)|<![^>]*+(?:>|\Z)|<\?[^>]*+(?:>|\Z)",
@@ -49,6 +52,8 @@ _ATTRIBUTE = re.compile(
     r"""\b(class|id|role|style|hidden|aria-hidden|itemprop)\s*+(?:=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++))?""",
     re.IGNORECASE,
 )
+_NAME = re.compile(r"[a-z]+")
+_HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
 
 @dataclass
@@ -70,9 +75,29 @@ class Page:
     runs: list[tuple[int, str]]
 
 
+def attributes(text: str) -> dict[str, str]:
+    """What a tag says of class, id, role, style and hiding."""
+    if "=" not in text and "hidden" not in text:
+        return {}
+    return {k.lower(): v.strip("\"'").lower() for k, v in _ATTRIBUTE.findall(text)}
+
+
+def is_hidden(found: dict[str, str]) -> bool:
+    return "hidden" in found or found.get("aria-hidden") == "true" or bool(_HIDDEN.search(found.get("style", "")))
+
+
+def is_aside(found: dict[str, str]) -> bool:
+    """Whether an inline element is no part of its line: hidden, or named as an advert."""
+    names = _NAME.findall(" ".join(found.get(k, "") for k in ("class", "id", "role")))
+    return is_hidden(found) or not ADVERT_WORDS.isdisjoint(names)
+
+
 def parse(text: str) -> Page:
     """The tree of a page. Broken markup is taken as it comes: every tag is used, none is an error."""
     nodes, runs, stack = [Node("#root", -1)], [], [0]
+    open_tags: Counter[str] = Counter()
+    #: Inline elements that are nodes: where they stand in the stack, and open ones of their name inside.
+    asides: list[list[int]] = []
     parts: list[str] = []
     links = 0
     last_ends: dict[str, int] = {}
@@ -85,11 +110,16 @@ def parse(text: str) -> Page:
             parts.clear()
 
     def close(tags: frozenset[str] | set[str], stops: set[str] | frozenset[str]) -> None:
+        if not any(open_tags[tag] for tag in tags):
+            return
         for k in range(len(stack) - 1, 0, -1):
             tag = nodes[stack[k]].tag
             if tag in tags:
                 end_run()
+                open_tags.subtract(nodes[i].tag for i in stack[k:])
                 del stack[k:]
+                while asides and asides[-1][0] >= k:
+                    asides.pop()
                 return
             if tag in stops:
                 return
@@ -120,8 +150,23 @@ def parse(text: str) -> Page:
                 links = max(0, links - 1)
             elif name not in INLINE:
                 close({name}, frozenset())
+            elif asides and nodes[stack[asides[-1][0]]].tag == name:
+                if asides[-1][1]:
+                    asides[-1][1] -= 1
+                else:
+                    close({name}, frozenset())
             continue
+        attrs = m["attrs"]
         if name in INLINE:
+            if asides and nodes[stack[asides[-1][0]]].tag == name:
+                asides[-1][1] += 1
+            elif name not in VOID and ("=" in attrs or "hidden" in attrs) and is_aside(found := attributes(attrs)):
+                end_run()
+                nodes.append(Node(name, stack[-1], found))
+                stack.append(len(nodes) - 1)
+                open_tags[name] += 1
+                asides.append([len(stack) - 1, 0])
+                continue
             if name == "a":
                 links += 1
             continue
@@ -138,9 +183,7 @@ def parse(text: str) -> Page:
         links = 0
         if name == "hr":
             continue
-        attrs = m["attrs"]
-        found = {k.lower(): v.strip("\"'").lower() for k, v in _ATTRIBUTE.findall(attrs)} if "=" in attrs or "hidden" in attrs else {}
-        nodes.append(Node(name, stack[-1], found))
+        nodes.append(Node(name, stack[-1], attributes(attrs)))
         if name in PLAYERS:
             if name not in last_ends:
                 last_ends[name] = max((e.start() for e in re.finditer(rf"</{name}(?=[\s/>])", text, re.IGNORECASE)), default=-1)
@@ -148,6 +191,7 @@ def parse(text: str) -> Page:
                 continue
         if not attrs.endswith("/"):
             stack.append(len(nodes) - 1)
+            open_tags[name] += 1
     if at < len(text):
         add(text[at:])
     end_run()

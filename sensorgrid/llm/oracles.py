@@ -51,7 +51,7 @@ SQL = {
         FROM split, (SELECT DISTINCT size FROM wanted), unnest(range(1, len(w) - size + 2)) AS r(i)),
       met AS (SELECT doc_id, i, size, item_id FROM there JOIN wanted USING (size, words)),
       hit AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM met, unnest(range(i, i + size)) AS r(j) GROUP BY doc_id),
-      items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+      items AS (SELECT doc_id, count(item) AS n_items, string_agg(item, ',' ORDER BY item) AS items
         FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM met) GROUP BY doc_id)
       SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
         coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,

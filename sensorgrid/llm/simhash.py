@@ -11,9 +11,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorgrid.llm.common import staged
+from sensorgrid.llm.common import packed, staged
 from sensorgrid.llm.components import connected_components
-from sensorgrid.llm.copies import keep_one  # noqa: F401  also found here by its callers
 from sensorgrid.session import ship_package
 
 SHINGLE_WORDS = 3
@@ -45,16 +44,19 @@ def _fingerprint_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Recor
         texts = batch.column("text").cast(pa.binary())
         marks = np.fromiter((fingerprint(t.as_py()) for t in texts), np.uint64, len(texts))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(marks.view(np.int64))], ["doc_id", "mark"]
+            [batch.column("doc_id"), batch.column("own"), pa.array(marks.view(np.int64))], ["doc_id", "own", "mark"]
         )
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, mark) for every row; the 64 bits of ``mark`` are those of a bigint."""
+    """(doc_id, own, mark) for every row; the 64 bits of ``mark`` are those of a bigint.
+
+    ``own`` is a hash of the text itself and tells rows apart that repeat an id.
+    """
     ship_package(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(
-        _fingerprint_batches, "doc_id bigint, mark bigint"
-    )
+    return docs.select(
+        F.col("doc_id").cast("bigint"), F.col("text").cast("string"), F.xxhash64("text").alias("own")
+    ).mapInArrow(_fingerprint_batches, "doc_id bigint, own bigint, mark bigint")
 
 
 def _bit(k: Column) -> Column:
@@ -87,16 +89,8 @@ def mark_links(marks: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Fingerprint and component of every row: (doc_id, fingerprint, component_id).
-
-    Words are split at ASCII white space after lower-casing A-Z; a text with fewer words than a
-    shingle is one shingle; null and empty texts have fingerprint 0 and link like any other.
-    ``component_id`` is the smallest doc_id reachable over links of two or fewer bits. Rows with
-    a null doc_id get the component of their fingerprint, which is null if no row of it has an
-    id. Repeated rows each come back. Equal fingerprints are grouped first, so a large group of
-    copies is one node.
-    """
+def _components(docs: DataFrame) -> DataFrame:
+    """(doc_id, own, mark, component_id) for every row."""
     rows = staged(fingerprints(docs), "marks")
     firsts = staged(rows.groupBy("mark").agg(F.min("doc_id").alias("first")), "firsts")
     known = firsts.filter("first IS NOT NULL")
@@ -110,6 +104,35 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         ),
         "mark-components",
     )
-    return rows.join(of_mark, "mark").select(
+    return rows.join(of_mark, "mark").select("doc_id", "own", "mark", "component_id")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """Fingerprint and component of every row: (doc_id, fingerprint, component_id).
+
+    Words are split at ASCII white space after lower-casing A-Z; a text with fewer words than a
+    shingle is one shingle; null and empty texts have fingerprint 0 and link like any other.
+    ``component_id`` is the smallest doc_id reachable over links of two or fewer bits. Rows with
+    a null doc_id get the component of their fingerprint, which is null if no row of it has an
+    id. Repeated rows each come back. Equal fingerprints are grouped first, so a large group of
+    copies is one node.
+    """
+    return _components(docs).select(
         "doc_id", F.lower(F.lpad(F.hex("mark"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """``docs`` without near-copies: one row of each component of ``near_duplicates`` stays.
+
+    It is a row with the smallest id; where that id has several texts in the component, one of them
+    stays, and where it has texts in several components, one in each. Rows with a null doc_id stay,
+    since nothing tells which of them came first. Rows that repeat a kept row's id and text stay
+    only once. Null and empty texts are copies of each other. No rows give none.
+    """
+    named = _components(docs).filter("doc_id IS NOT NULL")
+    first = named.groupBy("component_id").agg(F.min(F.struct("doc_id", "own")).alias("kept"))
+    kept = staged(first.select(F.col("kept.doc_id").alias("id"), F.col("kept.own").alias("own")), "kept")
+    rows = packed(docs, "doc_id", "text").select("row", F.col("doc_id").alias("id"), F.xxhash64("text").alias("own"))
+    once = rows.join(kept, ["id", "own"]).dropDuplicates(["id", "own"])
+    return once.select("row.*").union(rows.filter("id IS NULL").select("row.*"))

@@ -31,8 +31,8 @@ def spliced_count(
     space before anything else, so that what follows white space is encoded alike whatever stands
     before it. Two neighbours are spliced right after white space in their overlap, where both
     have a token that begins there and agree on all tokens from there to the last white space of
-    the overlap. Where there is no such place the overlap is doubled, up to the whole rest of the
-    text, which needs no splice.
+    the overlap. Where there is no such place the overlap is doubled, and then the chunk, so that
+    the characters encoded stay in proportion to the text, with white space or without.
     """
     total, begin, n = 0, 0, len(text)
     ids, starts = encode(text[:chunk])
@@ -47,8 +47,8 @@ def spliced_count(
             at = _common(text, lo, end, (ids, starts), (nxt_ids, nxt_starts))
             if at is not None:
                 break
-            if lo == begin:  # nothing in the chunk can be told apart: take it anew, and longer
-                at, nxt_end = begin, min(n, end + chunk)
+            if lo == begin:  # nothing in the chunk can be told apart: take it anew, and twice as long
+                at, nxt_end = begin, min(n, end + max(chunk, end - begin))
                 nxt_ids, nxt_starts = encode(text[begin:nxt_end])
                 nxt_starts = nxt_starts + begin
                 break

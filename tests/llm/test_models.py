@@ -242,7 +242,7 @@ def test_spliced_counts(chunk, overlap):
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_queries_match_sql(spark, name):
     db = duckdb.connect()
-    for table in ("documents", "pages", "benchmark"):
+    for table in ("documents", "pages", "benchmark", "embeddings"):
         db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{DATA}/{table}.parquet'")
     want = db.sql(SQL[name])
     got = QUERIES[name](spark, DATA)
@@ -300,3 +300,24 @@ def test_every_operator_has_a_query():
 
 def test_rows_keep_their_columns(odd):
     assert packed(odd, "doc_id").select("row.*").columns == odd.columns
+
+
+def test_texts_without_white_space_take_work_in_proportion():
+    """Single characters as tokens of a text that can be spliced nowhere."""
+    from sensorgrid.llm.tokens import spliced_count
+
+    done = 0
+
+    def encode(text):
+        nonlocal done
+        done += len(text)
+        return np.fromiter(map(ord, text), np.int64, len(text)), np.arange(len(text))
+
+    chunk = 1 << 10
+    for times in (10, 160):
+        text = "漢字" * (chunk * times // 2)
+        done = 0
+        assert spliced_count(text, encode, chunk, 1 << 4) == len(text)
+        assert done < 8 * len(text)
+    text = ("漢" * 5_000 + " word ") * 20
+    assert spliced_count(text, encode, chunk, 1 << 4) == len(text)

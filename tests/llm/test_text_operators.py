@@ -8,6 +8,7 @@ import pytest
 from conftest import DATA, ODD
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from sensorgrid.llm import decontaminate, secrets, simhash, substring
 from sensorgrid.llm.components import connected_components
 from sensorgrid.llm.trigrams import ANYTHING, trigram_query
@@ -35,15 +36,31 @@ def test_marks_within_two_bits_are_linked(spark):
     assert group[0] == set(signed) - {0b1010101 << 20}
 
 
-def test_keep_one(odd):
-    kept = simhash.keep_one(odd)
-    assert kept.columns == odd.columns
+def kept_ids(rows):
+    """Ids of the rows that stay, from (doc_id, text): the smallest of each component, null ids all."""
+    components = {(i, f): c for i, f, c in plain.near_duplicates(rows) if i is not None}
+    return sorted([c for c in set(components.values())] + [0 for i, _ in rows if i is None])
+
+
+@pytest.mark.parametrize("which", ["documents", "odd"])
+def test_keep_one(request, spark, which, texts_of):
+    docs = request.getfixturevalue(which)
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
     rows = kept.collect()
-    ids = [r.doc_id for r in rows if r.doc_id is not None]
-    assert len(ids) == len(set(ids))
-    assert sum(r.doc_id is None for r in rows) == 2
-    assert 1 in ids and 2 not in ids and 3 not in ids  # texts without words are copies of each other
-    assert all(r["mark"] == "own mark" for r in rows)
+    assert sorted(r.doc_id or 0 for r in rows) == kept_ids(texts_of(docs))
+    if which == "odd":
+        assert all(r["mark"] == "own mark" for r in rows)
+
+
+def test_ids_with_several_texts(spark):
+    """A repeated id loses no text that isn't a near-copy, and no group its only row."""
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    rows = [(5, a), (5, b), (5, b), (7, b.upper()), (3, a), (9, c), (None, c)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted((r.doc_id or 0, r.text) for r in simhash.keep_one(docs).collect())
+    assert got == sorted([(3, a), (5, b), (9, c), (0, c)])
+    assert simhash.keep_one(docs.limit(0)).isEmpty()
 
 
 def test_long_chains_and_stars_are_components(spark):
@@ -184,3 +201,15 @@ def test_no_rows(spark):
         secrets.secret_report(none),
     ):
         assert found.isEmpty()
+
+
+def test_items_without_an_id_hit_but_are_not_listed(spark):
+    words = [f"w{k}" for k in range(40)]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, "clean text")], "doc_id bigint, text string")
+    items = [(None, " ".join(words[:14])), ("b", " ".join(words[20:33])), (None, None), ("c", "!!!")]
+    for size in (1 << 20, 1):
+        bench = spark.createDataFrame(items, "item_id string, text string")
+        found = decontaminate.find_overlaps(docs.withColumn("row", F.col("doc_id")), bench, slice_bytes=size)
+        rows = {r["row"]: r for r in decontaminate.summary(found).collect()}
+        assert rows[1]["n_hit"] == 27 and rows[1]["items"] == ["b"] and rows[1]["contaminated"]
+        assert rows[2]["n_hit"] == 0 and rows[2]["items"] == []
