@@ -41,12 +41,13 @@ def spliced_count(
         width = overlap
         while True:
             lo = max(begin, end - width)
-            nxt_end = min(n, lo + max(chunk, 2 * width))
-            nxt_ids, nxt_starts = encode(text[lo:nxt_end])
-            nxt_starts = nxt_starts + lo
-            at = _common(text, lo, end, (ids, starts), (nxt_ids, nxt_starts))
-            if at is not None:
-                break
+            if _two_gaps(text, lo, end):
+                nxt_end = min(n, lo + max(chunk, 2 * width))
+                nxt_ids, nxt_starts = encode(text[lo:nxt_end])
+                nxt_starts = nxt_starts + lo
+                at = _common(text, lo, end, (ids, starts), (nxt_ids, nxt_starts))
+                if at is not None:
+                    break
             if lo == begin:  # nothing in the chunk can be told apart: take it anew, and twice as long
                 at, nxt_end = begin, min(n, end + max(chunk, end - begin))
                 nxt_ids, nxt_starts = encode(text[begin:nxt_end])
@@ -58,6 +59,11 @@ def spliced_count(
     return total + int(len(starts) - np.searchsorted(starts, begin))
 
 
+def _two_gaps(text: str, lo: int, end: int) -> bool:
+    first = _SPACE.search(text, lo, end)
+    return first is not None and _SPACE.search(text, first.end(), end) is not None
+
+
 def _common(text, lo, end, left, right) -> int | None:
     """The first place between ``lo`` and ``end`` where both encodings may be spliced."""
     gaps = [m.end() for m in _SPACE.finditer(text, lo, end)]
