@@ -7,17 +7,20 @@ model is a table of nodes, bounded by rounds × 2^(depth + 1) whatever the data
 
 from __future__ import annotations
 
+import hashlib
 import json
 import math
 import random
 from collections.abc import Iterator, Sequence
 from dataclasses import asdict, dataclass, field
-from functools import reduce
+from functools import partial, reduce
 
 import numpy as np
 import pandas as pd
 from pyspark import Broadcast
+from pyspark.errors import AnalysisException
 from pyspark.ml.feature import VectorAssembler, VectorSlicer
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -26,19 +29,18 @@ from sensorgrid.functions.expressions import non_negative
 from sensorgrid.operators.evaluate import metric_columns
 from sensorgrid.operators.model import LAMBDAS, BoostParams, FeatureSpec
 from sensorgrid.schemas import require_columns
-from sensorgrid.session import Stage, remove_path, ship_package, work_path
+from sensorgrid.session import BucketedStage, plan_bytes, ship_package, side_by_side
 
 NODE_SCHEMA = (
     "tree int, node int, feature string, threshold double, left int, right int, "
     "weight double, cover double, gain double"
 )
-SPARK_NODE_SCHEMA = (  # the columns used of a saved Spark tree
-    "id int, impurityStats array<double>, leftChild int, rightChild int, "
-    "split struct<featureIndex: int, leftCategoriesOrThreshold: array<double>>"
-)
 MAX_BINS = 256
 STAGE_EVERY = 10
 EARLY_STOPPING_ROUNDS = 5
+#: Fits of a search, a sweep or a validation that run at a time, and bytes of a bucket of their rows.
+FITS_AT_ONCE = 4
+_BUCKET_BYTES = 64 << 20
 
 
 @dataclass(frozen=True)
@@ -85,74 +87,85 @@ def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> D
 
 
 # --- Fitting ----------------------------------------------------------------------------------
-def _penalised_tree(rows: list[Row], tree: int, names: Sequence[str], params: BoostParams):
-    """Nodes of one stored Spark tree with penalised weights, and the weight of each Spark leaf.
+@dataclass
+class _Grown:
+    """A node of a grown tree: its rows, their residual sum, and its split."""
+
+    count: float
+    total: float
+    feature: int = -1
+    threshold: float = math.nan
+    left: int = -1
+    right: int = -1
+
+
+def _grown_nodes(model) -> list[_Grown]:
+    """Nodes of a fitted tree in pre-order, at most 2^(depth + 1), from the model itself."""
+    nodes: list[_Grown] = []
+
+    def visit(node) -> int:
+        count, total = list(node.impurityStats().stats())[:2]
+        number = len(nodes)
+        nodes.append(_Grown(count, total))
+        if node.subtreeDepth() > 0:
+            own, split = nodes[number], node.split()
+            own.feature, own.threshold = split.featureIndex(), split.threshold()
+            own.left, own.right = visit(node.leftChild()), visit(node.rightChild())
+        return number
+
+    visit(model._java_obj.rootNode())
+    return nodes
+
+
+def _penalised_tree(grown: list[_Grown], tree: int, names: Sequence[str], params: BoostParams):
+    """Nodes of one Spark tree with penalised weights, and the weight of each Spark leaf.
 
     A split whose both children are leaves is removed if its gain is below ``gamma``, from the
     bottom up.
     """
-    by_id = {r["id"]: r for r in rows}
 
-    def strength(row: Row) -> float:
-        return row["impurityStats"][1] ** 2 / (row["impurityStats"][0] + params.reg_lambda)
+    def strength(node: _Grown) -> float:
+        return node.total**2 / (node.count + params.reg_lambda)
 
-    kept: dict[int, float] = {}  # node id of a kept split: its gain
-    for node_id in sorted(by_id, reverse=True):  # children come after their parent
-        row = by_id[node_id]
-        if row["leftChild"] < 0:
+    kept: dict[int, float] = {}  # number of a kept split: its gain
+    for number in range(len(grown) - 1, -1, -1):  # children come after their parent
+        node = grown[number]
+        if node.left < 0:
             continue
-        left, right = by_id[row["leftChild"]], by_id[row["rightChild"]]
-        gain = strength(left) + strength(right) - strength(row)
-        if gain >= params.gamma or row["leftChild"] in kept or row["rightChild"] in kept:
-            kept[node_id] = gain
-
-    def weight(row: Row) -> float:
-        n, total = row["impurityStats"][0], row["impurityStats"][1]
-        return params.eta * total / (n + params.reg_lambda)
+        gain = strength(grown[node.left]) + strength(grown[node.right]) - strength(node)
+        if gain >= params.gamma or node.left in kept or node.right in kept:
+            kept[number] = gain
 
     nodes: list[Node] = []
     leaf_weights: list[float] = []
 
-    def visit(node_id: int, pruned_weight: float | None) -> int:
+    def visit(of: int, pruned_weight: float | None) -> int:
         """Number the kept nodes in pre-order, which is also Spark's order of leaves."""
-        row = by_id[node_id]
+        node = grown[of]
         if pruned_weight is not None:
-            if row["leftChild"] < 0:
+            if node.left < 0:
                 leaf_weights.append(pruned_weight)
             else:
-                visit(row["leftChild"], pruned_weight)
-                visit(row["rightChild"], pruned_weight)
+                visit(node.left, pruned_weight)
+                visit(node.right, pruned_weight)
             return -1
-        number, w, cover = len(nodes), weight(row), row["impurityStats"][0]
-        nodes.append(Node(tree, number, None, None, None, None, w, cover, None))
-        if node_id in kept:
-            left = visit(row["leftChild"], None)
-            right = visit(row["rightChild"], None)
-            feature = names[row["split"]["featureIndex"]]
-            threshold = row["split"]["leftCategoriesOrThreshold"][0]
-            nodes[number] = Node(
-                tree, number, feature, threshold, left, right, w, cover, kept[node_id]
-            )
-        elif row["leftChild"] < 0:
+        number, w = len(nodes), params.eta * node.total / (node.count + params.reg_lambda)
+        nodes.append(Node(tree, number, None, None, None, None, w, node.count, None))
+        if of in kept:
+            left, right = visit(node.left, None), visit(node.right, None)
+            feature = names[node.feature]
+            nodes[number] = Node(tree, number, feature, node.threshold, left, right, w, node.count, kept[of])
+        elif node.left < 0:
             leaf_weights.append(w)
         else:
-            visit(row["leftChild"], w)
-            visit(row["rightChild"], w)
+            visit(node.left, w)
+            visit(node.right, w)
         return number
 
     visit(0, None)
     return nodes, leaf_weights
 
 
-def _stored_nodes(spark: SparkSession, model, name: str) -> list[Row]:
-    """Nodes of a fitted tree, at most 2^(depth + 1), through its saved form."""
-    path = work_path(spark, name)
-    model.write().save(path)
-    nodes = spark.read.schema(SPARK_NODE_SCHEMA).parquet(f"{path}/data").collect()
-    remove_path(spark, path)
-    return nodes
-
-
 def _add_tree(df: DataFrame, model, leaf_weights: Sequence[float]) -> DataFrame:
     """Move ``_pred`` by the weight of the row's leaf; stays in the JVM."""
     weights = F.array(*[F.lit(float(w)) for w in leaf_weights])
@@ -164,11 +177,57 @@ def _add_tree(df: DataFrame, model, leaf_weights: Sequence[float]) -> DataFrame:
     )
 
 
-def _staged(df: DataFrame, stage: Stage) -> DataFrame:
-    """Stage the rows that every round reads, in enough pieces for all cores."""
-    staged = stage.put(df)
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return stage.put(staged.repartition(cores)) if staged.rdd.getNumPartitions() < cores else staged
+class _Rows:
+    """The rows that fits read, written once, in enough pieces for all cores.
+
+    Each row has an ``_id`` of its own, by which the rows and the running predictions of a fit are
+    dealt alike, so that they meet without a shuffle.
+    """
+
+    def __init__(self, df: DataFrame, name: str):
+        spark = df.sparkSession
+        cores = spark.sparkContext.defaultParallelism
+        # statistics of joins may be far too high
+        self.buckets = max(cores, min(plan_bytes(df) // _BUCKET_BYTES, 16 * cores))
+        self.stage = BucketedStage(spark, name, "_id", self.buckets)
+        self.frame = self.stage.put(df.withColumn("_id", F.monotonically_increasing_id()))
+
+    def part(self, condition: Column | None = None) -> _Part:
+        return _Part(self.frame if condition is None else self.frame.filter(condition), self.buckets)
+
+    def clear(self) -> None:
+        self.stage.clear()
+
+
+@dataclass
+class _Part:
+    """Some of the staged rows of several fits."""
+
+    frame: DataFrame
+    buckets: int
+
+
+class _Running:
+    """Rows of one fit with their prediction so far.
+
+    The prediction is a table (``_id``, ``_pred``) beside the rows. Only this narrow table is
+    written anew; between two writes the trees since then are added on the way.
+    """
+
+    def __init__(self, part: _Part, target: str, name: str, base_score: float):
+        self.rows = part.frame.select("_id", "_row", "_features", target)
+        self.stage = BucketedStage(part.frame.sparkSession, f"{name}-pred", "_id", part.buckets)
+        self.frame = self.rows.withColumn("_pred", F.lit(float(base_score)))
+
+    def add(self, slicer: VectorSlicer, tree, leaf_weights: Sequence[float], write: bool) -> None:
+        moved = _add_tree(slicer.transform(self.frame), tree, leaf_weights)
+        if write:
+            predictions = self.stage.put(moved.select("_id", "_pred"))
+            moved = self.rows.join(predictions.hint("shuffle_hash"), "_id")
+        self.frame = moved
+
+    def clear(self) -> None:
+        self.stage.clear()
 
 
 def _sampled(df: DataFrame, share: float, seed: int, round_no: int) -> DataFrame:
@@ -201,10 +260,7 @@ def _rmse(df: DataFrame, target: str) -> float:
 def assembled(
     df: DataFrame, spec: FeatureSpec, keep: Sequence[str] = (), row_key: Sequence[str] | None = None
 ) -> DataFrame:
-    """What fits read of ``df``: a hash of the row, the predictors as a vector, the target, ``keep``.
-
-    Staged once, it serves any number of fits on parts of it.
-    """
+    """What fits read of ``df``: a hash of the row, the predictors as a vector, the target, ``keep``."""
     require_columns(df, [spec.target, *spec.features, *keep], "assembled")
     keyed = df.withColumn("_row", F.xxhash64(*(row_key or [spec.target, *spec.features])))
     target = F.col(spec.target).cast("double").alias(spec.target)
@@ -228,24 +284,37 @@ def fit_boosted(
     ``validation`` turns on early stopping: fitting ends after ``early_stopping_rounds`` rounds
     without a lower validation RMSE, and later trees are dropped. ``base_score`` is the start value,
     by default the mean of the target. Row samples are drawn by a hash of ``row_key`` (by default
-    of all features and the target), so a recomputed partition draws the same rows. The running
-    prediction is staged every ``stage_every`` rounds. Predictors with more than ``max_bins`` values
-    are cut at quantiles, which Spark takes from a bounded sample. ``train`` and ``validation`` may be
-    parts of a staged ``assembled`` table, and then they are not staged again before the first round.
+    of all features and the target), so a recomputed partition draws the same rows. Rows are written
+    once; beside them the running prediction is written every ``stage_every`` rounds. Predictors with
+    more than ``max_bins`` values are cut at quantiles, which Spark takes from a bounded sample.
     """
-    spark, target = train.sparkSession, spec.target
+    given = {"train": train} | ({} if validation is None else {"watch": validation})
+    staged = [_Rows(assembled(df, spec, row_key=row_key), name) for name, df in given.items()]
+    try:
+        return _fit(*[s.part() for s in staged], spec=spec, params=params, patience=early_stopping_rounds,
+                    base_score=base_score, seed=seed, max_bins=max_bins, stage_every=stage_every)
+    finally:
+        for rows in staged:
+            rows.clear()
+
+
+def _fit(
+    train: _Part,
+    validation: _Part | None = None,
+    *,
+    spec: FeatureSpec,
+    params: BoostParams,
+    patience: int = EARLY_STOPPING_ROUNDS,
+    base_score: float | None = None,
+    seed: int = 0,
+    max_bins: int = MAX_BINS,
+    stage_every: int = STAGE_EVERY,
+) -> BoostedModel:
+    target = spec.target
     if base_score is None:
-        base_score = train.agg(F.avg(target).alias("m")).first()["m"]
-
-    stages, frames = {}, {}
-    for name, df in (("train", train), ("validation", validation)):
-        if df is not None:
-            stages[name] = Stage(spark, name)
-            if "_features" in df.columns:
-                frames[name] = df.select("_row", "_features", target)
-            else:
-                frames[name] = _staged(assembled(df, spec, row_key=row_key), stages[name])
-            frames[name] = frames[name].withColumn("_pred", F.lit(float(base_score)))
+        base_score = train.frame.agg(F.avg(target).alias("m")).first()["m"]
+    parts = {"train": train} | ({"validation": validation} if validation else {})
+    running = {name: _Running(part, target, name, base_score) for name, part in parts.items()}
     draw = random.Random(seed)
     n_features = len(spec.features)
     n_drawn = max(1, round(params.colsample_bytree * n_features))
@@ -256,28 +325,26 @@ def fit_boosted(
         for round_no in range(1, params.nrounds + 1):
             picked = sorted(draw.sample(range(n_features), n_drawn))
             slicer = VectorSlicer(inputCol="_features", outputCol="_some_features", indices=picked)
-            rows = _sampled(frames["train"], params.subsample, seed, round_no)
+            rows = _sampled(running["train"].frame, params.subsample, seed, round_no)
             tree = _grow(slicer.transform(rows), target, params, seed + round_no, max_bins)
-            stored = _stored_nodes(spark, tree, f"tree-{round_no}")
             names = [spec.features[i] for i in picked]
-            tree_nodes, leaf_weights = _penalised_tree(stored, round_no, names, params)
+            tree_nodes, leaf_weights = _penalised_tree(_grown_nodes(tree), round_no, names, params)
             nodes += tree_nodes
-            cut = round_no % stage_every == 0 and round_no < params.nrounds
-            for name, frame in frames.items():
-                moved = _add_tree(slicer.transform(frame), tree, leaf_weights)
-                frames[name] = stages[name].put(moved) if cut else moved
+            write = round_no % stage_every == 0 and round_no < params.nrounds
+            for rows in running.values():
+                rows.add(slicer, tree, leaf_weights, write)
             if validation is None:
                 best_round = round_no
                 continue
-            error = _rmse(frames["validation"], target)
+            error = _rmse(running["validation"].frame, target)
             history.append((round_no, error))
             if error < best_error:
                 best_round, best_error = round_no, error
-            elif round_no - best_round >= early_stopping_rounds:
+            elif round_no - best_round >= patience:
                 break
     finally:
-        for stage in stages.values():
-            stage.clear()
+        for rows in running.values():
+            rows.clear()
     nodes = [n for n in nodes if n.tree <= best_round]
     return BoostedModel(spec, params, float(base_score), nodes, best_round, history)
 
@@ -393,14 +460,39 @@ TRIAL_SCHEMA = (
 )
 
 
-def _metrics(df: DataFrame, model: BoostedModel) -> Row:
-    """Errors on ``df``; the model is taken off the cluster afterwards."""
-    spark = df.sparkSession
+def _metrics(rows: DataFrame, model: BoostedModel) -> dict:
+    """Errors on staged rows; the model is taken off the cluster afterwards."""
+    spark = rows.sparkSession
+    ship_package(spark)
     shared = spark.sparkContext.broadcast(_complete_trees(model))
-    pred = prediction_column(model, spark, shared=shared).alias("pred")
-    found = df.select(model.spec.target, pred).agg(*metric_columns(model.spec.target, "pred")).first()
+    base, target = model.base_score, model.spec.target
+
+    @F.pandas_udf("double")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for vectors in batches:
+            x = np.array(vectors.tolist(), dtype=np.float64).reshape(len(vectors), -1)
+            yield pd.Series(_score_batch(shared.value, base, x))
+
+    pred = non_negative(score(vector_to_array("_features"))).alias("pred")
+    found = rows.select(target, pred).agg(*metric_columns(target, "pred")).first()
     shared.destroy()
-    return found
+    return found.asDict()
+
+
+_RECORD_SCHEMA = "fit string, trial bigint, fold string, metrics string"
+
+
+def _recorded(spark: SparkSession, path: str | None) -> dict[str, dict]:
+    """Errors of the fits that a search has recorded in ``path``, in a folder for each fit."""
+    if path is None:
+        return {}
+    try:
+        kept = spark.read.schema(_RECORD_SCHEMA).option("recursiveFileLookup", "true").parquet(path)
+        return {r["fit"]: json.loads(r["metrics"]) for r in kept.collect()}
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
 
 
 def search(
@@ -410,33 +502,57 @@ def search(
     folds: Sequence[str],
     validation: DataFrame | None = None,
     seed: int = 0,
+    record: str | None = None,
+    at_once: int = FITS_AT_ONCE,
 ) -> DataFrame:
     """Fit every parameter row of ``grid`` on every fold column of ``df``; means over the folds.
 
-    A fold column holds "train", "test" or "unused". The fits run one after the other, each spread
+    A fold column holds "train", "test" or "unused". ``at_once`` fits run side by side, each spread
     over the cluster. ``validation`` is the watch data for early stopping. Both are assembled and
-    staged once for all fits.
+    written once for all fits, and errors are measured on the written rows. With ``record``, a
+    folder in the shared store, each fit's errors are kept as soon as they are known, and a search
+    that is run again makes only the fits that are not there: those of other parameters, another
+    seed or another fold.
     """
+    spark = df.sparkSession
+    trials = {row["trial"]: BoostParams.from_row(row) for row in grid.orderBy("trial").collect()}
+    known = _recorded(spark, record)
+
+    def name(trial: int, fold: str) -> str:
+        return json.dumps([trial, fold, seed, spec.target, list(spec.features), asdict(trials[trial])])
+
+    open_fits = [(t, f) for t in trials for f in folds if name(t, f) not in known]
+    staged = []
+    try:
+        if open_fits:
+            staged = [_Rows(assembled(df, spec, keep=folds), "search")]
+            if validation is not None:
+                staged.append(_Rows(assembled(validation, spec), "watch"))
+
+        def fit(trial: int, fold: str) -> None:
+            rows, watch = staged[0], [s.part() for s in staged[1:]]
+            model = _fit(rows.part(F.col(fold) == "train"), *watch, spec=spec, params=trials[trial], seed=seed)
+            measured = _metrics(rows.frame.filter(F.col(fold) == "test"), model)
+            known[name(trial, fold)] = measured
+            if record is not None:
+                row = [(name(trial, fold), trial, fold, json.dumps(measured))]
+                # writers of one folder would clear each other's unfinished files
+                own = f"{record}/fit-{hashlib.sha1(name(trial, fold).encode()).hexdigest()}"
+                spark.createDataFrame(row, _RECORD_SCHEMA).coalesce(1).write.mode("overwrite").parquet(own)
+
+        side_by_side(spark, [partial(fit, *each) for each in open_fits], at_once)
+    finally:
+        for rows in staged:
+            rows.clear()
     results = []
-    rows, watch = Stage(df.sparkSession, "search"), Stage(df.sparkSession, "watch")
-    prepared = _staged(assembled(df, spec, keep=folds), rows)
-    if validation is not None:
-        validation = _staged(assembled(validation, spec), watch)
-    for row in grid.orderBy("trial").collect():
-        params = BoostParams.from_row(row)
-        measured = []
-        for fold in folds:
-            part = prepared.filter(F.col(fold) == "train")
-            model = fit_boosted(part, spec, params, validation, seed=seed)
-            measured.append(_metrics(df.filter(F.col(fold) == "test"), model))
+    for trial, params in trials.items():
+        measured = [known[name(trial, fold)] for fold in folds]
         means = [
             float(np.mean([m[k] if m[k] is not None else math.nan for m in measured]))
             for k in ("rmse", "r2_corr", "mae")
         ]
-        results.append((row["trial"], *params.grid_values().values(), *means))
-    rows.clear()
-    watch.clear()
-    return df.sparkSession.createDataFrame(results, TRIAL_SCHEMA)
+        results.append((trial, *params.grid_values().values(), *means))
+    return spark.createDataFrame(results, TRIAL_SCHEMA)
 
 
 def search_results(best: DataFrame, results: DataFrame) -> DataFrame:
@@ -466,22 +582,30 @@ def lambda_sweep(
     lambdas: Sequence[float] = LAMBDAS,
     watch: DataFrame | None = None,
     seed: int = 0,
+    at_once: int = FITS_AT_ONCE,
 ) -> DataFrame:
     """Errors in and out of sample for each penalty; pick with ``best_trial(…, "rmse_oos")``.
 
     Early stopping watches ``watch``, by default the test data. Then the out-of-sample errors are
     measured on data that also chose the number of rounds; pass a third split to avoid that.
     """
-    rows = []
-    stages = [Stage(train.sparkSession, name) for name in ("sweep", "watch")]
-    watch = test if watch is None else watch
-    prepared = [_staged(assembled(df, spec), s) for df, s in zip((train, watch), stages, strict=True)]
-    for value in lambdas:
-        model = fit_boosted(prepared[0], spec, params.with_(reg_lambda=float(value)), prepared[1], seed=seed)
-        inside, outside = _metrics(train, model), _metrics(test, model)
-        rows.append((float(value), *[m[k] for k in ("rmse", "r2", "mae") for m in (inside, outside)]))
-    for stage in stages:
-        stage.clear()
+    watched = test if watch is None else watch
+    frames = {"train": train, "test": test} | ({} if watch is None else {"watch": watched})
+    staged = {}
+    try:
+        for name, df in frames.items():
+            staged[name] = _Rows(assembled(df, spec), f"sweep-{name}")
+
+        def fit(value: float) -> tuple:
+            parts = staged["train"].part(), staged["watch" if "watch" in staged else "test"].part()
+            model = _fit(*parts, spec=spec, params=params.with_(reg_lambda=float(value)), seed=seed)
+            inside, outside = (_metrics(staged[name].frame, model) for name in ("train", "test"))
+            return (float(value), *[m[k] for k in ("rmse", "r2", "mae") for m in (inside, outside)])
+
+        rows = side_by_side(train.sparkSession, [partial(fit, value) for value in lambdas], at_once)
+    finally:
+        for each in staged.values():
+            each.clear()
     return train.sparkSession.createDataFrame(rows, SWEEP_SCHEMA)
 
 
@@ -492,13 +616,17 @@ def spatial_cv(
     folds: Sequence[int],
     fold: str = "fold",
     seed: int = 0,
+    at_once: int = FITS_AT_ONCE,
 ) -> DataFrame:
     """Predict every row with a model that has not seen its fold; one table of all folds."""
-    parts = []
-    stage = Stage(df.sparkSession, "spatial")
-    prepared = _staged(assembled(df, spec, keep=[fold]), stage)
-    for i in folds:
-        model = fit_boosted(prepared.filter(F.col(fold) != i), spec, params, seed=seed)
-        parts.append(predict(df.filter(F.col(fold) == i), model))
-    stage.clear()
+    staged = _Rows(assembled(df, spec, keep=[fold]), "spatial")
+
+    def fit(i: int) -> DataFrame:
+        model = _fit(staged.part(F.col(fold) != i), spec=spec, params=params, seed=seed)
+        return predict(df.filter(F.col(fold) == i), model)
+
+    try:
+        parts = side_by_side(df.sparkSession, [partial(fit, i) for i in folds], at_once)
+    finally:
+        staged.clear()
     return reduce(DataFrame.unionByName, parts)

@@ -13,7 +13,9 @@ from sensorgrid.session import cut_lineage
 HISTOGRAM_BINS = 30
 # ----------------------------------------------------------------------------------------------
 
-_RANK_SLICES = 256
+#: Distinct values that one task ranks, and pieces that a slice with more of them is cut into.
+SLICE_ROWS = 1_000_000
+_PIECES = 16
 
 
 def metric_columns(obs: str, pred: str) -> list[Column]:
@@ -58,28 +60,58 @@ def sensor_summary(
     return df.groupBy(sensor).agg(F.avg(pred).alias("pred"), F.avg(obs).alias("obs"), *extra)
 
 
-def average_ranks(df: DataFrame, value: str) -> DataFrame:
+def _slice_edges(counts: DataFrame, value: str, slice_rows: int) -> list:
+    """Upper ends of slices of the distinct values, in order, none with more than ``slice_rows`` of them.
+
+    A histogram is refined: every slice that holds too many values is cut at ``_PIECES`` quantiles of
+    its own, in one job for all of them, until none is left. Quantiles are exact enough to shrink
+    a slice by half at least, so the jobs grow with the logarithm of the values alone; what comes to
+    the driver is one value for each slice.
+    """
+    whole = counts.agg(F.count(F.lit(1)).alias("n"), F.max(value).alias("high")).first()
+    edges, large = [whole["high"]], [0] if whole["n"] > slice_rows else []
+    while large:
+        shares = [k / _PIECES for k in range(1, _PIECES)]
+        found = (
+            counts.withColumn("_slice", slice_of(F.col(value), edges))
+            .filter(F.col("_slice").isin(large))
+            .groupBy("_slice")
+            .agg(F.percentile_approx(value, shares, F.lit(100 * _PIECES)).alias("cuts"))
+            .collect()
+        )
+        before = edges
+        edges = sorted(set(edges).union(*[r["cuts"] for r in found]))
+        if edges == before:
+            break  # slices of a single value
+        sizes = counts.groupBy(slice_of(F.col(value), edges).alias("_slice")).agg(F.count(F.lit(1)).alias("n"))
+        large = [r["_slice"] for r in sizes.filter(F.col("n") > slice_rows).collect()]
+    return edges
+
+
+def slice_of(value: Column, edges: Sequence) -> Column:
+    """The place of the first edge that is not below ``value``."""
+    # a binary search written as a tree of comparisons: its depth grows with the logarithm of the edges
+    def between(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(value <= F.lit(edges[middle]), between(low, middle)).otherwise(between(middle + 1, high))
+
+    return between(0, len(edges) - 1)
+
+
+def average_ranks(df: DataFrame, value: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Distinct values of a column with their average rank over all rows.
 
-    Values are counted, cut into slices of about equal size at sampled values, ranked inside each
-    slice, and moved up by the total of the slices below. No task sees more than one slice; the
-    sample is drawn by hash, so both uses of it agree.
+    Values are counted, cut into slices of at most ``slice_rows`` distinct values, ranked inside
+    each slice, and moved up by the total of the slices below. However skewed the values are, no
+    task ranks more than a slice.
     """
-    counts = (
+    counts = cut_lineage(
         df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
     )
-    distinct = counts.agg(F.count(F.lit(1)).alias("n")).scalar()
-    unit = F.pmod(F.xxhash64(value), F.lit(2**31)) / F.lit(float(2**31))
-    edges = (
-        counts.filter(unit * distinct < _RANK_SLICES)
-        .agg(F.sort_array(F.collect_list(value)).alias("edges"))
-        .scalar()
-    )
-    sliced = (
-        counts.withColumn("_edges", edges)
-        .withColumn("_slice", F.size(F.filter("_edges", lambda e: e < F.col(value))))
-        .drop("_edges")
-    )
+    edges = _slice_edges(counts, value, slice_rows)
+    sliced = counts.withColumn("_slice", slice_of(F.col(value), edges))
     totals = sliced.groupBy("_slice").agg(F.sum("_n").alias("_total"))
     below = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
+import pickle
 from collections.abc import Iterator, Sequence
 from functools import cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +17,7 @@ from sensorgrid.functions.expressions import feature_group
 from sensorgrid.operators.boosting import BoostedModel, Node
 from sensorgrid.operators.evaluate import bin_index
 from sensorgrid.schemas import require_columns
-from sensorgrid.session import ship_package
+from sensorgrid.session import cut_lineage, ship_package
 
 # --- Fixed values -----------------------------------------------------------------------------
 TOP_FEATURES = 10
@@ -43,6 +46,10 @@ def importance_by_group(importance: DataFrame, sort: bool = True) -> DataFrame:
     return out.orderBy(F.col("imp").desc()) if sort else out
 
 
+#: Rows that a task explains at a time: as many as an Arrow batch holds by default.
+BLOCK_ROWS = 10_000
+
+
 # --- Shapley values ---------------------------------------------------------------------------
 def expected_value(tree: list[Node]) -> float:
     """Mean leaf weight, weighted with the rows in each leaf."""
@@ -145,19 +152,67 @@ def contribution_column(model: BoostedModel, spark):
     return contributions(*[F.col(n).cast("double") for n in names])
 
 
+def _tree_groups(rows: int | None, trees: int, cores: int) -> int:
+    """Into how many groups the trees are split so that all cores have work in whole blocks of rows."""
+    blocks = max(1, -(-rows // BLOCK_ROWS)) if rows is not None else cores
+    return max(1, min(trees, cores // blocks))
+
+
+def _by_tree_groups(rows: DataFrame, model: BoostedModel, groups: int, blocks: int) -> DataFrame:
+    """(_id, _c): contributions of rows ``_id``, ``_x``, in cells of a block of rows and a group of trees.
+
+    A leaf costs a task the same whether it has a thousand rows or ten thousand, so few rows are
+    better spread by trees than by rows. Each cell is one task, and its sums are added by row.
+    """
+    spark, names = rows.sparkSession, list(model.spec.features)
+    ship_package(spark)
+    trees = model.trees()
+    # a task unpacks the trees of its own group only
+    shared = spark.sparkContext.broadcast([pickle.dumps(trees[g::groups]) for g in range(groups)])
+    position = {n: i for i, n in enumerate(names)}
+
+    def contributions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own: list = []
+        for batch in batches:
+            own = own or pickle.loads(shared.value[batch.column("_group")[0].as_py()])
+            x = batch.column("_x").flatten().to_numpy().reshape(len(batch), -1).T.copy()
+            out = np.zeros(x.shape)
+            for tree in own:
+                _tree_contributions(tree, position, x, out)
+            sums = pa.FixedSizeListArray.from_arrays(pa.array(out.T.ravel()), len(names)).cast(pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), sums], ["_id", "_c"])
+
+    cells = rows.withColumn("_group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    at = F.col("_group") + groups * F.pmod(F.xxhash64("_id"), F.lit(blocks)).cast("int")
+    dealt = cells.repartitionById(groups * blocks, at)
+    parts = dealt.mapInArrow(contributions, "_id bigint, _c array<double>")
+    return parts.groupBy("_id").agg(*[F.sum(F.col("_c")[i]).alias(f"_{i}") for i in range(len(names))])
+
+
 def shap_contributions(
-    df: DataFrame, model: BoostedModel, keep: Sequence[str] = (), prefix: str = "shap_"
+    df: DataFrame, model: BoostedModel, keep: Sequence[str] = (), prefix: str = "shap_", rows: int | None = None
 ) -> DataFrame:
     """Shapley contribution of every feature for every row, with the bias.
 
     Keeps the columns ``keep`` and the features. Sample the rows first if a sample is enough.
+    ``rows``, the number of rows if that is known to be small, lets the work be spread over groups
+    of trees as well; the rows are then staged. Without it the work is spread by rows alone.
     """
     names = list(model.spec.features)
     require_columns(df, names, "shap_contributions")
     kept = [*keep, *[n for n in names if n not in keep]]
-    explained = df.select(*kept, contribution_column(model, df.sparkSession).alias("_c"))
-    return explained.select(
-        *kept, *[F.col("_c")[n].alias(prefix + n) for n in [*names, "bias"]]
+    trees = model.trees()
+    groups = _tree_groups(rows, len(trees), df.sparkSession.sparkContext.defaultParallelism)
+    if groups == 1:
+        explained = df.select(*kept, contribution_column(model, df.sparkSession).alias("_c"))
+        return explained.select(*kept, *[F.col("_c")[n].alias(prefix + n) for n in [*names, "bias"]])
+    staged = cut_lineage(df.select(*kept).withColumn("_id", F.monotonically_increasing_id()))
+    x = F.array(*[F.coalesce(F.col(n).cast("double"), F.lit(math.nan)) for n in names]).alias("_x")
+    blocks = max(1, -(-rows // BLOCK_ROWS))
+    parts = _by_tree_groups(staged.select("_id", x), model, groups, blocks)
+    bias = model.base_score + sum(expected_value(t) for t in trees)
+    return staged.join(parts, "_id").select(
+        *kept, *[F.col(f"_{i}").alias(prefix + n) for i, n in enumerate(names)], F.lit(bias).alias(f"{prefix}bias")
     )
 
 

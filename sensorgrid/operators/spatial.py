@@ -21,12 +21,12 @@ from sensorgrid.functions.timeparts import LOCAL_TZ, TimeRange
 from sensorgrid.operators.calibrate import scaled_union
 from sensorgrid.session import cut_lineage, small_side
 
-# Tiles of 2^22 fixed-point units (about 42 degrees) down to 2^10 (about 0.01 degrees); each tile
-# has at most 16 × 16 children. The whole globe has 5 × 9 tiles of the top size.
-_LEVELS = (22, 18, 14, 10)
-_FINEST = _LEVELS[-1]
-_TOP_ROWS = (180 * DEGREE_SCALE >> _LEVELS[0]) + 1
-_TOP_COLS = (360 * DEGREE_SCALE >> _LEVELS[0]) + 1
+# Tiles of 2^22 fixed-point units (about 42 degrees) and, where a tile holds more than ``TILE_CELLS``
+# cells, its parts of a quarter the side, down to one unit. The whole globe has 5 × 9 top tiles.
+TILE_CELLS = 1024
+_TOP, _STEP = 22, 2
+_TOP_ROWS = (180 * DEGREE_SCALE >> _TOP) + 1
+_TOP_COLS = (360 * DEGREE_SCALE >> _TOP) + 1
 _SLACK_M = 0.01  # keeps every cell that could win after rounding to millimetres
 
 # Least and greatest possible haversine from (lat, lon) to a cell of a box. Each factor is bounded
@@ -45,85 +45,88 @@ _FAR = """
     * pow(sin(radians(least(greatest(abs(lon - lon_lo), abs(lon - lon_hi)), 180D)) / 2), 2)"""
 
 
-def _with_tiles(cells: DataFrame) -> DataFrame:
-    """Finest tile of each cell with fixed-point coordinates."""
-    return cells.withColumns(
-        {
-            "row": F.shiftright(F.col("lat_int") + 90 * DEGREE_SCALE, _FINEST),
-            "col": F.shiftright(F.col("lon_int") + 180 * DEGREE_SCALE, _FINEST),
-        }
-    )
-
+def _place(level: int) -> tuple:
+    """Row and column of the tile of that level in which a cell lies."""
+    row = F.shiftright(F.col("lat_int") + 90 * DEGREE_SCALE, level)
+    return row.alias("row"), F.shiftright(F.col("lon_int") + 180 * DEGREE_SCALE, level).alias("col")
 
-def _boxes(tiled: DataFrame) -> DataFrame:
-    """Occupied tiles of all levels with the extent of their cells, in degrees."""
 
-    def extent(df: DataFrame, *keys: str) -> DataFrame:
-        return df.groupBy(*keys).agg(
-            *[F.min(f"{c}_lo").alias(f"{c}_lo") for c in ("lat", "lon")],
-            *[F.max(f"{c}_hi").alias(f"{c}_hi") for c in ("lat", "lon")],
-        )
+def _quadtree(cells: DataFrame, tile_cells: int) -> tuple[DataFrame, list[tuple[int, DataFrame]]]:
+    """Cells with the tile they end in (leaf level, row, col), and the tiles level by level.
 
-    ends = {f"{c}_{e}": degrees(f"{c}_int") for c in ("lat", "lon") for e in ("lo", "hi")}
-    finest = extent(tiled.withColumns(ends), "row", "col")
-    levels = F.explode(F.array(*[F.lit(level) for level in _LEVELS]))
-    every = finest.withColumn("level", levels).withColumns(
-        {c: F.expr(f"shiftright({c}, level - {_FINEST})") for c in ("row", "col")}
-    )
-    return extent(every, "level", "row", "col")
-
-
-def nearest_cell(points: DataFrame, cells: DataFrame) -> DataFrame:
+    A tile has its place, the extent of its cells in degrees, and ``leaf``: whether its cells are
+    few enough, or all at one place, to be looked at one by one. Only the cells of larger tiles go
+    on to the next level, so the levels grow with the crowding of the most crowded place.
+    """
+    ends = [
+        agg(degrees(f"{c}_int")).alias(f"{c}_{end}")
+        for c in ("lat", "lon") for end, agg in (("lo", F.min), ("hi", F.max))
+    ]
+    open_cells, level, leaves, tiles = cells, _TOP, [], []
+    while True:
+        placed = open_cells.select("x", "y", "lat_int", "lon_int", *_place(level))
+        found = placed.groupBy("row", "col").agg(F.count(F.lit(1)).alias("n"), *ends)
+        leaf = (F.col("n") <= tile_cells) | F.lit(level == 0)
+        found = cut_lineage(found.withColumn("leaf", leaf))
+        tiles.append((level, found))
+        marked = placed.join(found.select("row", "col", "leaf"), ["row", "col"])
+        leaves.append(marked.filter("leaf").drop("leaf").withColumn("level", F.lit(level)))
+        if found.filter(~F.col("leaf")).isEmpty():
+            return cut_lineage(reduce(DataFrame.unionByName, leaves)), tiles
+        open_cells = cut_lineage(marked.filter(~F.col("leaf")).select("x", "y", "lat_int", "lon_int"))
+        level -= min(_STEP, level)
+
+
+def nearest_cell(points: DataFrame, cells: DataFrame, tile_cells: int = TILE_CELLS) -> DataFrame:
     """Nearest cell of every point by great-circle distance; ties go to the smallest (x, y).
 
     ``points`` has ``lat``, ``lon`` in degrees, ``cells`` has ``x, y, lat_int, lon_int``. Adds
     ``x``, ``y`` and ``dist_m`` (rounded to millimetres) to the points. A point without a position
     stays, with NULLs, and so do all points if there are no cells.
 
-    Exact search from coarse to fine tiles: at each level a tile stays in the running for a point
-    only if its nearest possible cell is not beyond the farthest possible cell of the best tile.
-    All steps are equi-joins on tiles. A point meets the cells of a few of the finest tiles
-    instead of the whole grid, and points at one position are searched once. The table of tiles is
-    made in one pass over the cells and staged, as each level reads it.
+    Exact search from coarse to fine tiles of a quadtree that is as deep as the cells are crowded:
+    at each level a tile stays in the running for a point only if its nearest possible cell is not
+    beyond the farthest possible cell of the best tile. All steps are equi-joins on tiles. A point
+    meets the cells of a few leaves, of at most ``tile_cells`` cells each (more only at one and the
+    same place), and points at one position are searched once.
     """
-    tiled = _with_tiles(cells.select("x", "y", "lat_int", "lon_int"))
-    boxes = cut_lineage(_boxes(tiled))
-    sizes = dict(boxes.groupBy("level").count().collect())
-
+    located = cells.select("x", "y", "lat_int", "lon_int").filter("lat_int IS NOT NULL AND lon_int IS NOT NULL")
+    leaves, tiles = _quadtree(located, tile_cells)
     at_place = Window.partitionBy("lat", "lon")
-    kept = (
+    running = (
         points.select("lat", "lon")
         .distinct()
         .withColumn("tile", F.explode(F.sequence(F.lit(0), F.lit(_TOP_ROWS * _TOP_COLS - 1))))
-        .selectExpr(
-            "lat", "lon", f"tile DIV {_TOP_COLS} AS up_row", f"bigint(tile % {_TOP_COLS}) AS up_col"
-        )
+        .selectExpr("lat", "lon", f"tile DIV {_TOP_COLS} AS row", f"bigint(tile % {_TOP_COLS}) AS col")
     )
-    above = _LEVELS[0]
-    for level in _LEVELS:
-        children = (
-            boxes.filter(F.col("level") == level)
-            .withColumn("up_row", F.shiftright("row", above - level))
-            .withColumn("up_col", F.shiftright("col", above - level))
-        )
-        kept = (
-            kept.join(small_side(children, rows=sizes.get(level, 0)), ["up_row", "up_col"])
-            .select(
-                "lat", "lon", "row", "col",
-                metres(F.expr(_NEAR)).alias("near"), metres(F.expr(_FAR)).alias("far"),
-            )
-            .withColumn("best", F.min("far").over(at_place))
-            .filter(F.col("near") <= F.col("best") + _SLACK_M)
-            .selectExpr("lat", "lon", "row AS up_row", "col AS up_col")
+    for k, (level, found) in enumerate(tiles):
+        inside = found.drop("n")
+        if k == 0:
+            asked = running.select("lat", "lon", "row", "col")
+            done = None
+        else:
+            above = tiles[k - 1][0] - level
+            up = {c: F.shiftright(c, above).alias(f"up_{c}") for c in ("row", "col")}
+            inside = inside.select("*", *up.values())
+            asked = running.filter("NOT leaf").selectExpr("lat", "lon", "row AS up_row", "col AS up_col")
+            done = running.filter("leaf")
+        met = asked.join(inside, ["row", "col"] if k == 0 else ["up_row", "up_col"]).select(
+            "lat", "lon", "row", "col", F.lit(level).alias("level"), "leaf",
+            metres(F.expr(_NEAR)).alias("near"), metres(F.expr(_FAR)).alias("far"),
         )
-        above = level
+        running = met if done is None else met.unionByName(done)
+        running = (
+            running.withColumn("best", F.min("far").over(at_place))
+            .filter(F.col("near") <= F.col("best") + _SLACK_M)
+            .drop("best")
+        )
 
     distance = metres(
         haversine(F.col("lat"), F.col("lon"), degrees("lat_int"), degrees("lon_int"))
     )
     found = (
-        kept.selectExpr("lat", "lon", "up_row AS row", "up_col AS col")
-        .join(tiled, ["row", "col"])
+        running.select("lat", "lon", "level", "row", "col")
+        .join(leaves, ["level", "row", "col"])
         .groupBy("lat", "lon")
         .agg(F.min(F.struct(F.round(distance, 3).alias("dist_m"), "x", "y")).alias("near"))
         .select("lat", "lon", "near.x", "near.y", "near.dist_m")

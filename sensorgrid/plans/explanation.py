@@ -36,14 +36,13 @@ def explain_model(
 ) -> Explanation:
     """Explain a stored model on an exact sample of ``rows`` rows; ``key`` makes a row unique.
 
-    The sample is spread over all cores and its contributions are staged, as three tables read
-    them. With ``store_at`` the tables are kept under ``run_id``.
+    The sample is spread over all cores, by its rows and the model's trees, and its contributions
+    are staged, as three tables read them. With ``store_at`` the tables are kept under ``run_id``.
     """
     spark = frame.sparkSession
     model = load_model(spark, model_path)
     sample = sample_n(frame, rows, list(key), seed=seed)
-    sample = sample.repartition(spark.sparkContext.defaultParallelism)
-    contributions = cut_lineage(explain.shap_contributions(sample, model, keep=key))
+    contributions = cut_lineage(explain.shap_contributions(sample, model, keep=key, rows=rows))
     importance = explain.feature_importance(model.node_frame(spark), r2=r2)
     strongest = explain.top_effects(contributions, model.spec.features)
     result = Explanation(

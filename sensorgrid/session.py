@@ -5,8 +5,13 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import CancelledError, ThreadPoolExecutor
 from pathlib import Path
+from threading import Event
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +19,8 @@ from pyspark.sql import functions as F
 # thirty numbers), so half a million rows stay near 100 MB; a 360,765-cell city grid passes.
 BROADCAST_ROWS = 500_000
 
+T = TypeVar("T")
+
 
 def build_session(master: str | None = None, app: str = "sensorgrid", **conf: str) -> SparkSession:
     """Session with adaptive execution on. Values in ``conf`` use ``__`` for dots."""
@@ -89,6 +96,63 @@ class Stage:
             self.path = None
 
 
+class BucketedStage:
+    """A place in the shared folder for tables that are dealt into buckets by a key.
+
+    Tables of one key and number of buckets are joined by the key without a shuffle. Held tables
+    are known to the session's catalog under names of their own until they are cleared.
+    """
+
+    def __init__(self, spark: SparkSession, name: str, key: str, buckets: int):
+        self.spark, self.name, self.key, self.buckets = spark, name, key, buckets
+        self.table = self.path = None
+
+    def put(self, df: DataFrame) -> DataFrame:
+        """Write ``df``, which may read the table held so far, and go on from the copy."""
+        path = work_path(self.spark, self.name)
+        table = path.rsplit("/", 1)[1].replace("-", "_")
+        dealt = df.repartition(self.buckets, self.key)
+        dealt.write.bucketBy(self.buckets, self.key).format("parquet").option("path", path).saveAsTable(table)
+        self.clear()
+        self.table, self.path = table, path
+        return self.spark.table(table)
+
+    def clear(self) -> None:
+        if self.table:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+            remove_path(self.spark, self.path)
+            self.table = self.path = None
+
+
+def plan_bytes(df: DataFrame) -> int:
+    """The size of ``df`` that the optimised plan's statistics state; starts no job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def side_by_side(spark: SparkSession, tasks: Sequence[Callable[[], T]], workers: int) -> list[T]:
+    """Results of ``tasks`` in order, of which ``workers`` run at a time, each as Spark jobs.
+
+    Every task has a scheduler pool of its own, which a session in fair mode serves alike. The first
+    error is raised once the tasks that have begun are over; tasks that have not begun never do.
+    """
+    sc, failed = spark.sparkContext, Event()
+
+    @inheritable_thread_target(spark)
+    def pooled(number: int, task: Callable[[], T]) -> T:
+        if failed.is_set():
+            raise CancelledError
+        sc.setLocalProperty("spark.scheduler.pool", f"side-{number % workers}")
+        try:
+            return task()
+        except BaseException:
+            failed.set()
+            raise
+
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        begun = [pool.submit(pooled, k, task) for k, task in enumerate(tasks)]
+        return [future.result() for future in begun]
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Stage a table of moderate size that lazy results go on reading; it is left in the folder."""
     return Stage(df.sparkSession, "stage").put(df)

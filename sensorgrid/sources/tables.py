@@ -15,7 +15,7 @@ from functools import reduce
 from operator import or_
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -321,3 +321,67 @@ def completeness_check(
         .select("n", n_cells.alias("cells"), n_hours.alias("hours"))
         .withColumn("all_preds_arrived", reduce(or_, [F.col("n") == e for e in expected]))
     )
+
+
+def hour_coverage(
+    predictions: DataFrame, cells: DataFrame, hours: DataFrame, ts: str = "date_time"
+) -> DataFrame:
+    """Which hours of each cell are missing: (x, y, n_rows, n_hours, n_missing, first_missing).
+
+    ``hours`` are the calendar rows wanted, ``cells`` the places. A cell's hours are bits, one number
+    for each 32 hours, merged by ``bit_or`` before anything is shuffled: a repeated row sets a bit
+    that is set already, so it can't stand in for one that is missing, as in a count of rows. Rows
+    of other cells or hours do not count. Every cell comes back, also one without any row.
+    """
+    since = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    number = F.timestamp_diff("HOUR", since, F.col(ts)).alias("_hour")
+    wanted = hours.select(F.col(ts)).distinct().select(number)
+    word, bit = F.floor(F.col("_hour") / 32).alias("_word"), F.pmod(F.col("_hour"), F.lit(32)).cast("int")
+    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)
+    words = wanted.groupBy(word).agg(F.bit_or(one).alias("_wanted"))
+    places = cells.select("x", "y").distinct()
+    seen = (
+        predictions.select("x", "y", number)
+        .groupBy("x", "y", word)
+        .agg(F.bit_or(one).alias("_seen"), F.sum(F.lit(1)).alias("_rows"))
+    )
+    # one row for each cell: its words side by side, as many as the hours wanted have
+    held = seen.join(words, "_word").groupBy("x", "y").agg(
+        F.sum("_rows").alias("n_rows"),
+        F.sum(F.bit_count(F.col("_seen").bitwiseAND(F.col("_wanted")))).cast("bigint").alias("n_hours"),
+        F.map_from_entries(
+            F.collect_list(F.struct("_word", F.col("_seen").bitwiseAND(F.col("_wanted"))))
+        ).alias("_seen"),
+    )
+    total = words.agg(F.sum(F.bit_count("_wanted")).cast("bigint").alias("n")).scalar()
+    list_ = words.agg(F.array_sort(F.collect_list(F.struct("_word", "_wanted"))).alias("words")).scalar()
+
+    def gap(w: Column) -> Column:
+        """The first missing hour of a word; its bits are looked up in order."""
+        missing = w["_wanted"].bitwiseAND(F.bitwise_not(F.coalesce(F.col("_seen")[w["_word"]], F.lit(0).cast("bigint"))))
+        lowest = missing.bitwiseAND(-missing)
+        return F.when(missing != 0, w["_word"] * 32 + F.bit_count(lowest - 1))
+
+    first = F.array_min(F.transform(F.coalesce("_words", F.array().cast("array<struct<_word:bigint,_wanted:bigint>>")), gap))
+    out = places.join(held, ["x", "y"], "left").withColumns({"_total": F.coalesce(total, F.lit(0)), "_words": list_})
+    out = out.withColumn("_seen", F.coalesce("_seen", F.map_from_arrays(F.array().cast("array<bigint>"), F.array().cast("array<bigint>"))))
+    n_hours = F.coalesce("n_hours", F.lit(0))
+    return out.select(
+        "x",
+        "y",
+        F.coalesce("n_rows", F.lit(0)).cast("bigint").alias("n_rows"),
+        n_hours.cast("bigint").alias("n_hours"),
+        (F.col("_total") - n_hours).cast("bigint").alias("n_missing"),
+        F.timestamp_add("HOUR", first, since).alias("first_missing"),
+    )
+
+
+def covered(coverage: DataFrame) -> DataFrame:
+    """One row of ``hour_coverage``: cells, cells with gaps, missing hours, repeated rows, and the verdict."""
+    return coverage.agg(
+        F.count(F.lit(1)).alias("cells"),
+        F.count_if(F.col("n_missing") > 0).alias("cells_with_gaps"),
+        F.coalesce(F.sum("n_missing"), F.lit(0)).cast("bigint").alias("n_missing"),
+        F.coalesce(F.sum(F.col("n_rows") - F.col("n_hours")), F.lit(0)).cast("bigint").alias("n_extra"),
+        F.coalesce(F.sum("n_missing") == 0, F.lit(True)).alias("all_preds_arrived"),
+    )
