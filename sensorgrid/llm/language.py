@@ -23,6 +23,9 @@ ROWS = 400
 #: States of all automata together at most; with more languages each gets fewer symbols.
 ALL_SYMBOLS = 640_000
 ALPHABET = 64
+#: Symbols for letters that have none of their own, where labelled text has more letters than the
+#: alphabet: eight by the part of Unicode that a letter is in, times four by the letter.
+CLASSES = 32
 #: Texts are parsed in segments of so many symbols; a phrase ends with its segment.
 SEGMENT = 1024
 UNKNOWN = "und"
@@ -37,19 +40,27 @@ def is_held_out(doc_id: str = "doc_id"):
 class LanguageModel:
     """Labelled text of each language as symbols, and which letter is which symbol.
 
-    Symbol 0 is a gap (anything but letters), 1 a letter that is not in ``letters``.
+    Symbol 0 is a gap (anything but letters); the next ``classes`` symbols are letters that are not
+    in ``letters``, and the rest ``letters``.
     """
 
     letters: str
     samples: tuple[tuple[str, bytes], ...]
+    classes: int = 1
+
+    @property
+    def alphabet(self) -> int:
+        return 1 + self.classes + len(self.letters)
 
     def lookup(self) -> np.ndarray:
         table = np.zeros(0x110000, np.uint8)
-        known = {c: k + 2 for k, c in enumerate(self.letters)}
+        known = {c: k + 1 + self.classes for k, c in enumerate(self.letters)}
         for code in range(0x110000):
             c = chr(code)
             if c.isalpha():
-                table[code] = known.get(c.lower()[0], 1)
+                small = c.lower()[0]
+                part, own = ord(small) >> 7, ord(small) * 0x9E3779B1 >> 16
+                table[code] = known.get(small, 1 + (part % 8 * 4 + own % 4) % self.classes)
         return table
 
 
@@ -85,9 +96,9 @@ def fit(docs: DataFrame, rows: int = ROWS, symbols: int = SYMBOLS) -> LanguageMo
     for found in texts.values():
         for _, text in found:
             letters.update(c for c in text.lower() if c.isalpha())
-    model = LanguageModel(
-        "".join(c for c, _ in sorted(letters.items(), key=lambda x: (-x[1], x[0]))[: ALPHABET - 2]), ()
-    )
+    classes = 1 if len(letters) <= ALPHABET - 2 else CLASSES
+    own = sorted(letters.items(), key=lambda x: (-x[1], x[0]))[: ALPHABET - 1 - classes]
+    model = LanguageModel("".join(c for c, _ in own), (), classes)
     table, samples = model.lookup(), []
     for lang, found in sorted(texts.items()):
         codes = [_gapped(table[_codes(text)]) for _, text in sorted(found)]
@@ -100,7 +111,7 @@ def fit(docs: DataFrame, rows: int = ROWS, symbols: int = SYMBOLS) -> LanguageMo
         text = np.concatenate(parts)[:symbols]
         if (text > 0).any():
             samples.append((lang, text.tobytes()))
-    return LanguageModel(model.letters, tuple(samples))
+    return LanguageModel(model.letters, tuple(samples), classes)
 
 
 def _codes(text: str) -> np.ndarray:
@@ -153,7 +164,7 @@ class CrossParser:
     def __init__(self, model: LanguageModel):
         self.lookup = model.lookup()
         self.langs = [lang for lang, _ in model.samples]
-        width, tables, self.roots, at = len(model.letters) + 2, [], [], 0
+        width, tables, self.roots, at = model.alphabet, [], [], 0
         for _, text in model.samples:
             steps = automaton(text, width)
             root, states = steps[0], np.arange(len(steps))

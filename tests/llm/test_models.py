@@ -321,3 +321,24 @@ def test_texts_without_white_space_take_work_in_proportion():
         assert done < 8 * len(text)
     text = ("漢" * 5_000 + " word ") * 20
     assert spliced_count(text, encode, chunk, 1 << 4) == len(text)
+
+
+def test_two_scripts_with_more_letters_than_symbols(spark):
+    """Six hundred letters each, of two parts of Unicode, and two mixed ones of the same letters."""
+    rng = np.random.default_rng(11)
+
+    def words(first, seed):
+        own = np.random.default_rng(seed)
+        return ["".join(chr(first + int(k)) for k in own.integers(0, 600, 4)) for _ in range(60)]
+
+    kinds = {"a": words(0x4E00, 1), "b": words(0xAC00, 2), "c": words(0x4E00, 3)}
+    rows = []
+    for lang, own in kinds.items():
+        for _ in range(40):
+            rows.append((len(rows), " ".join(own[int(k)] for k in rng.integers(0, 60, 80)), lang))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language.fit(docs)
+    assert model.classes == language.CLASSES and model.alphabet <= language.ALPHABET
+    got = language.language_report(docs).filter("held_out").collect()
+    langs = {i: lang for i, _, lang in rows}
+    assert len(got) > 10 and all(r["lang_pred"] == langs[r["doc_id"]] for r in got)
