@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+from sensorgrid.plans.manual_counts import COUNTING_POINTS
+
 # Names of the cell features in the order of the tables that have them.
 STREET = [f"str_class_{k}" for k in ("0", "I", "II", "III", "IV", "V")]
 LAND = [f"land_{k}" for k in ("water", "grey", "green", "infra", "mixed", "forest", "living")]
@@ -513,3 +515,56 @@ SQL |= {
         for n in (1, 2)
     ),
 }
+
+# --- What the queries above leave out -----------------------------------------------------------
+PREDICTOR_PART = ", ".join(
+    ["x", "y", "year", "day_of_week", "day_of_year", "hour", "winter_time", "summer_holidays",
+     "other_school_holidays", "is_public_holiday", *STREET, *LAND, "building_density", "building_height",
+     "traffic_volume"]
+)
+POINT_ROWS = ", ".join(
+    "({}::DOUBLE, {}::DOUBLE, '{}')".format(lat, lon, text.replace("'", "''")) for lat, lon, text in COUNTING_POINTS
+)
+VIEWS["moved"] = """SELECT date_time - INTERVAL 728 DAY AS date_time, type_school_holiday, is_public_holiday,
+    doy_scaled FROM calendar"""
+VIEWS["gappy"] = """SELECT date_time, x, y FROM preds_year WHERE x <> 3 UNION ALL
+    SELECT date_time, x, y FROM preds_year WHERE x = 4"""
+VIEWS["coverage"] = """SELECT c.x, c.y, coalesce(s.n_rows, 0) AS n_rows, coalesce(s.n_hours, 0) AS n_hours,
+    q.n - coalesce(s.n_hours, 0) AS n_missing,
+    (SELECT min(h.date_time) FROM (SELECT DISTINCT date_time FROM preds_year) h
+     WHERE h.date_time NOT IN (SELECT g.date_time FROM gappy g WHERE g.x = c.x AND g.y = c.y)) AS first_missing
+    FROM (SELECT DISTINCT x, y FROM cells) c CROSS JOIN (SELECT count(DISTINCT date_time) AS n FROM preds_year) q
+    LEFT JOIN (SELECT x, y, count(*) AS n_rows, count(DISTINCT date_time) AS n_hours FROM gappy GROUP BY x, y) s
+    ON c.x = s.x AND c.y = s.y"""
+
+SQL |= {
+    "predictor_frame": f"SELECT mq_name, date_time, q_kfz, {PREDICTOR_PART} FROM ({SQL['training_frame']}) t",
+    "on_local_days": f"""SELECT event_id, date_time FROM obs
+        WHERE CAST({local("date_time")} AS DATE) IN (DATE '2024-01-15', DATE '2024-01-16', DATE '1999-05-04')""",
+    "counting_points": f"""SELECT lat, lon, bez, x, y, dist_m FROM (
+        SELECT *, row_number() OVER (PARTITION BY bez, lat, lon ORDER BY dist_m, x, y) AS rn FROM (
+        SELECT p.bez, p.lat, p.lon, c.x, c.y, round(2 * 6371008.8 * asin(sqrt(least(1.0,
+            power(sin(radians(c.lat_int / 100000.0 - p.lat) / 2), 2)
+            + cos(radians(p.lat)) * cos(radians(c.lat_int / 100000.0))
+            * power(sin(radians(c.lon_int / 100000.0 - p.lon) / 2), 2)))), 3) AS dist_m
+        FROM (VALUES {POINT_ROWS}) p(lat, lon, bez) CROSS JOIN cell_coords c) d) r WHERE rn = 1""",
+    "feature_importance_top": """SELECT feature, round(sum(gain) / t, 6) AS importance,
+        round(sum(gain) / t * 0.75, 6) AS rel_importance
+        FROM (SELECT concat('f', CAST(l_partkey % 26 AS VARCHAR)) AS feature, l_quantity AS gain FROM lineitem) g,
+        (SELECT sum(l_quantity) AS t FROM lineitem) q GROUP BY feature, t ORDER BY sum(gain) DESC, feature LIMIT 10""",
+    "shap_effects_top": SQL["shap_effects"].replace(
+        "lim AS (", "strong AS (SELECT feature FROM long GROUP BY feature ORDER BY avg(abs(c)) DESC, feature LIMIT 2), lim AS ("
+    ).replace("FROM long JOIN lim USING (feature)", "FROM long JOIN lim USING (feature) JOIN strong USING (feature)"),
+    "dry_run": "SELECT * FROM sums",
+    "stored_results": f"""SELECT *, 'first' AS run_id FROM ({SQL["metrics_by_group"]}) a
+        UNION ALL SELECT *, 'second' AS run_id FROM ({SQL["metrics_by_group"]}) b""",
+    "score_passive_samplers": f"""SELECT CAST(7 AS BIGINT) AS model_id, date_time, x, y,
+        round_even({fixed_model(*GRID_TESTS)}, 0) AS value FROM ({SQL["feature_frame_stations"].split(" WHERE ")[0]
+        .replace("calendar k", "moved k")} WHERE k.date_time >= {utc("2022-01-01 00:00:00")}
+        AND k.date_time < {utc("2023-01-01 00:00:00")}) g""",
+    "prepare_without_id": "SELECT date_time, x, y, round_even(value, 0) AS value FROM preds_year WHERE model_id = 1",
+    "hour_coverage": "SELECT * FROM coverage",
+    "hours_covered": """SELECT count(*) AS cells, count(*) FILTER (WHERE n_missing > 0) AS cells_with_gaps,
+        CAST(sum(n_missing) AS BIGINT) AS n_missing, CAST(sum(n_rows - n_hours) AS BIGINT) AS n_extra,
+        sum(n_missing) = 0 AS all_preds_arrived FROM coverage""",
+}

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,17 +13,19 @@ from sensorgrid.driver.models import fixed_model
 from sensorgrid.driver.views import Views
 from sensorgrid.functions.timeparts import TimeRange, format_timestamp, local_date, local_time, time_parts
 from sensorgrid.operators import boosting, calibrate, evaluate, explain, features, scoring, spatial, splits
-from sensorgrid.operators.model import BoostParams, FeatureSpec, best_params, random_grid
-from sensorgrid.plans import calibration
+from sensorgrid.operators.model import BoostParams, FeatureSpec, best_params, feature_spec, random_grid
+from sensorgrid.plans import calibration, manual_counts
 from sensorgrid.plans.calibration import Inputs
+from sensorgrid.plans.validation import store_result
 from sensorgrid.schemas import SCHEMAS
 from sensorgrid.session import cut_lineage, work_path
 from sensorgrid.sources import registry
-from sensorgrid.sources.tables import Table, transfer_registry
+from sensorgrid.sources.tables import Table, covered, transfer_registry
 from sensorgrid.sources.tables import append as add
 from sensorgrid.sources.tables import compact as remove_superseded
 from sensorgrid.sources.tables import completeness_check as completeness
 from sensorgrid.sources.tables import dedupe_latest as dedupe
+from sensorgrid.sources.tables import hour_coverage as coverage
 from sensorgrid.sources.tables import transfer_tables as transfer
 from sensorgrid.sources.tables import truncate as empty
 from sensorgrid.sources.tables import upsert_latest as store
@@ -638,3 +640,115 @@ def spatial_cv(v):
     folded = splits.group_folds(v.table("lineitem"), "l_suppkey", n_folds=2, seed=1)
     out = boosting.spatial_cv(folded, PRICE, STUMP, folds=(1, 2))
     return out.select(*ROW, "fold", "l_extendedprice", F.round("pred", 6).alias("pred"))
+
+
+# --- What the queries above leave out ----------------------------------------------------------
+@query
+def predictor_frame(v):
+    """The 26 predictors of the model formula beside the observation they belong to."""
+    spec = feature_spec("q_kfz")
+    targets = {"q_kfz": "q_kfz", "v_kfz": "v_kfz"}
+    frame = features.training_frame(v.obs, v.calendar, v.sensor_map, v.sides, targets)
+    return frame.select("mq_name", "date_time", spec.target, *spec.features)
+
+
+@query
+def on_local_days(v):
+    """Observations of three local days, one of them without any."""
+    days = (date(2024, 1, 15), date(2024, 1, 16), date(1999, 5, 4))
+    return spatial.on_local_days(v.obs.select("event_id", "date_time"), days)
+
+
+@query
+def counting_points(v):
+    """The cells nearest to the manual counting points."""
+    return spatial.nearest_cell(manual_counts.counting_points(v.spark), v.cell_coords)
+
+
+@query
+def feature_importance_top(v):
+    """The ten most important of 26 features."""
+    nodes = v.table("lineitem").select(
+        F.concat(F.lit("f"), F.col("l_partkey") % 26).alias("feature"), F.col("l_quantity").alias("gain")
+    )
+    return rounded(explain.feature_importance(nodes, r2=0.75, top=10), "importance", "rel_importance")
+
+
+@query
+def shap_effects_top(v):
+    """Effects of the two strongest of three features."""
+    explained = explain.shap_contributions(v.table("lineitem"), PRICE_MODEL)
+    strongest = explain.top_effects(explained, PRICE_MODEL.spec.features, top=2)
+    return rounded(explain.shap_effects(explained, strongest, bins=5), "mean_value", "mean_contribution")
+
+
+@query
+def dry_run(v):
+    """Neither an append nor a replacement without writing changes what is stored."""
+    sums, table = _sums(v)
+    add(sums, table)
+    more = sums.withColumn("value", F.col("value") + 1)
+    add(more, table, dry_run=True)
+    store(more, table, dry_run=True)
+    return table.read(v.spark)
+
+
+@query
+def stored_results(v):
+    """Two runs' errors by group under their ids; the first run was repeated."""
+    path = work_path(v.spark, "results")
+    by_type = metrics_by_group(v)
+    store_result(by_type.withColumn("n", F.lit(0).cast("bigint")), path, "first")
+    store_result(by_type, path, "second")
+    store_result(by_type, path, "first")
+    return v.spark.read.parquet(path)
+
+
+@query
+def score_passive_samplers(v):
+    """A stored model, loaded, over the samplers' year; the calendar is moved into it."""
+    path = work_path(v.spark, "model")
+    boosting.save_model(v.spark, GRID_MODEL, path)
+    moved = v.calendar.withColumn("date_time", F.col("date_time") - F.make_dt_interval(F.lit(728)))
+    inputs = Inputs(moved, v.cells, v.sensor_map, v.stations, v.sides, v.volume)
+    table = _predictions(v, "passive", "model_id", "month")
+    model = boosting.load_model(v.spark, path)
+    calibration.passive_sampler_predictions(inputs, v.stations, model, 7, table)
+    return table.read(v.spark)
+
+
+@query
+def prepare_without_id(v):
+    """Predictions to store without a model id have no such column."""
+    out = of_model(v, 1).drop("model_id").withColumnRenamed("value", "pred")
+    return scoring.prepare_predictions(out.withColumnRenamed("pred", "value"), None)
+
+
+def _with_gaps(v: Views) -> DataFrame:
+    """A model's hours at each cell: a cell is missing, one lacks an hour and has another twice."""
+    sums = v.preds_year.select("date_time", "x", "y", "value")
+    return sums.filter("x <> 3").unionByName(sums.filter("x = 4"))
+
+
+@query
+def hour_coverage(v):
+    """The hours of each cell that are there, by bitmaps; repeated rows do not make up for gaps."""
+    hours = v.preds_year.select("date_time").distinct()
+    return coverage(_with_gaps(v), v.cells, hours)
+
+
+@query
+def hours_covered(v):
+    hours = v.preds_year.select("date_time").distinct()
+    return covered(coverage(_with_gaps(v), v.cells, hours))
+
+
+@query
+def fit_boosted_deep(v):
+    """Trees of depth 3 on samples of rows and features, until the error of the last year stops falling."""
+    split = splits.temporal_split(v.table("lineitem"), "l_shipdate", weeks=52)
+    train, test = (split.filter(F.col("split") == s) for s in ("train", "test"))
+    params = BoostParams(
+        20, 3, eta=0.6, gamma=1e6, reg_lambda=50.0, min_child_weight=20, colsample_bytree=0.75, subsample=0.8
+    )
+    return boosting.fit_boosted(train, PRICE, params, test, early_stopping_rounds=2, row_key=ROW).node_frame(v.spark)

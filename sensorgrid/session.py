@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import CancelledError, ThreadPoolExecutor
 from pathlib import Path
-from threading import Event
+from threading import Event, Lock
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
@@ -159,6 +159,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 _shipped: set[str] = set()
+_shipping = Lock()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -167,11 +168,12 @@ def ship_package(spark: SparkSession) -> None:
     The functions that run there are found by name, wherever the driver was started from.
     """
     sc = spark.sparkContext
-    if sc.applicationId not in _shipped:
-        package = Path(__file__).resolve().parent
-        archive = Path(tempfile.mkdtemp(prefix="sensorgrid-")) / "sensorgrid"
-        sc.addPyFile(shutil.make_archive(str(archive), "zip", package.parent, package.name))
-        _shipped.add(sc.applicationId)
+    with _shipping:
+        if sc.applicationId not in _shipped:
+            package = Path(__file__).resolve().parent
+            archive = Path(tempfile.mkdtemp(prefix="sensorgrid-")) / "sensorgrid"
+            sc.addPyFile(shutil.make_archive(str(archive), "zip", package.parent, package.name))
+            _shipped.add(sc.applicationId)
 
 
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS, rows: int | None = None) -> DataFrame:

@@ -1,5 +1,5 @@
 import json
-from datetime import datetime
+from datetime import datetime, timedelta
 from pathlib import Path
 
 import pytest
@@ -218,3 +218,21 @@ def test_final_model_pointer(spark, tmp_path):
         registry.set_final_model(spark, table, "q_kfz", model_id)
     registry.set_final_model(spark, table, "v_kfz", 4, dry_run=True)
     assert contents(spark, table) == [("q_kfz", 5)]
+
+
+def test_repeated_rows_do_not_cover_gaps(spark):
+    """Two cells with as many rows as hours: one has an hour twice and another not at all."""
+    hours = [datetime(2024, 3, 30, 20) + timedelta(hours=k) for k in range(40)]
+    rows = [(h, 1, 1) for h in hours] + [(h, 2, 1) for h in hours if h != hours[33]] + [(hours[0], 2, 1)]
+    rows += [(hours[0] - timedelta(hours=1), 1, 1), (hours[0], 9, 9), (None, 1, 1)]
+    stored = spark.createDataFrame(rows, "date_time timestamp_ntz, x bigint, y bigint")
+    cells = spark.createDataFrame([(1, 1), (2, 1), (3, 1), (3, 1)], "x bigint, y bigint")
+    wanted = spark.createDataFrame([(h,) for h in [*hours, hours[0]]], "date_time timestamp_ntz")
+    found = tb.hour_coverage(stored, cells, wanted)
+    got = {(r["x"], r["y"]): tuple(r)[3:] for r in found.collect()}
+    assert got == {(1, 1): (40, 0, None), (2, 1): (39, 1, hours[33]), (3, 1): (0, 40, hours[0])}
+    assert not tb.covered(found).first()["all_preds_arrived"]
+    whole = tb.covered(tb.hour_coverage(stored, cells.filter("x = 1"), wanted)).first()
+    assert whole["all_preds_arrived"] and whole["cells"] == 1 and whole["n_missing"] == 0
+    assert tb.covered(tb.hour_coverage(stored, cells, wanted.limit(0))).first()["all_preds_arrived"]
+    assert tb.hour_coverage(stored, cells.limit(0), wanted).count() == 0
