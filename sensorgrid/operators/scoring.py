@@ -13,7 +13,7 @@ from sensorgrid.functions.expressions import round_half_even
 from sensorgrid.functions.timeparts import TimeRange
 from sensorgrid.operators.boosting import BoostedModel, predict
 from sensorgrid.operators.features import feature_frame
-from sensorgrid.sources.tables import MONTH, Table, append, replace_partitions, upsert_latest
+from sensorgrid.sources.tables import MONTH, Table, append, replace_partitions, rewrite_without, upsert_latest
 
 log = logging.getLogger(__name__)
 
@@ -64,33 +64,46 @@ def score(
     upsert_latest(score_frame(features, model, model_id), table, dry_run)
 
 
+def _stored_near(model_id: int, hours: DataFrame, table: Table) -> DataFrame:
+    """A model's stored rows in the months of ``hours``."""
+    stored = table.scan(hours.sparkSession).filter(F.col("model_id") == model_id)
+    if MONTH in table.partition_by:
+        when = F.col("date_time")
+        months = hours.select((F.year(when) * 100 + F.month(when)).cast("int").alias(MONTH)).distinct()
+        stored = stored.join(months, MONTH, "left_semi")
+    return stored
+
+
 def _replace(
-    new: DataFrame, locations: DataFrame, hours: DataFrame, model_id: int, table: Table
+    new: DataFrame, locations: DataFrame, hours: DataFrame, model_id: int, table: Table, all_places: bool = False
 ) -> None:
     """Write a model's rows for all ``locations`` and ``hours`` in place of the stored ones.
 
     Only partitions that the new rows touch are replaced. Rows of them that this run doesn't
     score, such as hours of a month that the range begins or ends in, are carried over. They are
-    found by the hours and the places, not by matching keys of the whole product.
+    found by the hours and the places, not by matching keys of the whole product. With
+    ``all_places`` there are no other places, and their rows of these hours go.
     """
-    spark = new.sparkSession
-    stored = table.scan(spark).filter(F.col("model_id") == model_id)
-    if MONTH in table.partition_by:
-        when = F.col("date_time")
-        months = hours.select((F.year(when) * 100 + F.month(when)).cast("int").alias(MONTH)).distinct()
-        stored = stored.join(months, MONTH, "left_semi")
+    stored = _stored_near(model_id, hours, table)
     if "x" in table.partition_by:
         stored = stored.join(locations.select("x").distinct(), "x", "left_semi")
     if not stored.isEmpty():
         hours, places = hours.select("date_time"), locations.select("x", "y")
-        other_hours = stored.join(hours, "date_time", "left_anti")
-        other_places = stored.join(hours, "date_time", "left_semi").join(places, ["x", "y"], "left_anti")
-        new = new.unionByName(other_hours.select(*new.columns)).unionByName(
-            other_places.select(*new.columns)
-        )
+        kept = [stored.join(hours, "date_time", "left_anti")]
+        if not all_places:
+            kept.append(stored.join(hours, "date_time", "left_semi").join(places, ["x", "y"], "left_anti"))
+        for rows in kept:
+            new = new.unionByName(rows.select(*new.columns))
     replace_partitions(new, table)
 
 
+def _remove_departed(locations: DataFrame, hours: DataFrame, model_id: int, table: Table) -> None:
+    """Take out a model's rows of ``hours`` in partitions by ``x`` where no location is left."""
+    stored = _stored_near(model_id, hours, table)
+    departed = stored.join(locations.select("x").distinct(), "x", "left_anti")
+    rewrite_without(departed, departed.join(hours.select("date_time"), "date_time", "left_anti"), table)
+
+
 RUN_SCHEMA = "run_id string, model_id bigint, chunk int, keys string"
 
 
@@ -105,6 +118,7 @@ def score_backfill(
     chunk_size: float = math.inf,
     dry_run: bool = False,
     run_id: str | None = None,
+    all_places: bool = False,
     **frame_options,
 ) -> int:
     """Score all locations and hours and put them in place of what is stored. Returns the jobs run.
@@ -114,7 +128,9 @@ def score_backfill(
     ``chunk_size`` limits how many x coordinates one job takes. With a ``run_id`` each chunk is
     recorded after its commit, beside the table, and a later call of the same run skips the
     recorded ones; nothing else is taken as proof that rows are there. ``model_id`` must be a
-    partition column of the table, and ``x`` too if the run is cut into chunks.
+    partition column of the table, and ``x`` too if the run is cut into chunks. Rows of other
+    places stay, unless ``all_places`` says that ``locations`` are all there are: then the model's
+    rows of these hours at any other place, such as a cell that has left the grid, are taken out.
     """
     spark = locations.sparkSession
     needed = {"model_id"} if math.isinf(chunk_size) else {"model_id", "x"}
@@ -138,7 +154,9 @@ def score_backfill(
             places = locations.filter(F.col("x").isin([int(x) for x in keys.split(", ")]))
         frame = feature_frame(places, hours, sides, **frame_options)
         if not dry_run:
-            _replace(score_frame(frame, model, model_id), places, hours, model_id, table)
+            _replace(score_frame(frame, model, model_id), places, hours, model_id, table, all_places)
             if run_id is not None:
                 append(spark.createDataFrame([(run_id, model_id, chunk, keys)], RUN_SCHEMA), runs)
+    if all_places and "x" in table.partition_by and not dry_run:
+        _remove_departed(locations, hours, model_id, table)
     return len(jobs)

@@ -154,7 +154,7 @@ def calibrate_and_predict(
     period = TimeRange.around_today(as_of, tz=inputs.tz)
     score_backfill(
         ft.grid_locations(inputs.cells), inputs.calendar, inputs.sides, model, model_id,
-        outputs.on_grid, period, chunk_size, dry_run, tz=inputs.tz,
+        outputs.on_grid, period, chunk_size, dry_run, all_places=True, tz=inputs.tz,
     )
     if dry_run:
         return Run(model, model_id, in_sample)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sensorgrid.schemas import SCHEMAS, require_columns
-from sensorgrid.session import Stage
+from sensorgrid.session import Stage, remove_path
 
 log = logging.getLogger(__name__)
 
@@ -190,6 +190,20 @@ def replace_partitions(df: DataFrame, table: Table) -> None:
     _write(df, table, "overwrite")
 
 
+def rewrite_without(stored: DataFrame, kept: DataFrame, table: Table) -> None:
+    """Write ``kept`` in place of ``stored``, which is all rows of some partitions.
+
+    Both hold the folders' columns, as ``scan`` gives them. Partitions of which nothing is kept are
+    removed as folders, since an overwrite leaves partitions alone that it has no rows for; their
+    names, which must be numbers, come to the driver. A run that breaks off can be repeated.
+    """
+    names, spark = list(table.partition_by), stored.sparkSession
+    emptied = stored.select(*names).distinct().join(kept.select(*names).distinct(), names, "left_anti").collect()
+    _rewrite(kept.select(*table.columns), table)
+    for row in emptied:
+        remove_path(spark, "/".join([table.path.rstrip("/"), *[f"{name}={row[name]}" for name in names]]))
+
+
 def compact(
     spark: SparkSession, table: Table, within: Mapping[str, object] | None = None
 ) -> None:

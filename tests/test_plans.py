@@ -163,6 +163,27 @@ def test_backfill_replaces_what_is_stored(spark, inputs, tmp_path, chunk_size):
         assert stored.exceptAll(whole.unionByName(others)).isEmpty()
 
 
+@pytest.mark.parametrize("by", [("model_id", "month", "x"), ("model_id", "x"), ("model_id", "month")])
+def test_cells_that_left_the_grid_go(spark, inputs, tmp_path, by):
+    """A cell of a column that is still there, and a column as a whole; other hours and models stay."""
+    model = fixed_model(("hour", 12.0), ("x", 0.0), ("traffic_volume", 150.0))
+    table = Table(str(tmp_path / "grid"), SCHEMAS["predictions"], ("model_id", "date_time", "x", "y"), by, month_of="date_time")
+    span = TimeRange.half_open("2019-01-05", "2019-01-06")
+    args = (ft.grid_locations(inputs.cells), inputs.calendar, inputs.sides, model, 4, table, span)
+    whole = scoring.score_frame(ft.feature_frame(args[0], args[1], args[2], span), model, 4)
+    noon, later, next_month = datetime(2019, 1, 5, 12), datetime(2019, 1, 20), datetime(2019, 2, 3)
+    gone = [(4, noon, 0, 77, 1.0), (4, noon, 9, 0, 2.0), (4, noon, 8, 0, 3.0)]
+    staying = [(4, later, 0, 77, 4.0), (4, later, 9, 0, 5.0), (4, next_month, 8, 0, 6.0), (5, noon, 8, 0, 7.0), (5, noon, 0, 77, 8.0)]
+    scoring.append(spark.createDataFrame(gone + staying, table.struct), table)
+    kept = whole.unionByName(spark.createDataFrame(staying, table.struct))
+    for chunk_size in (math.inf, 1) if "x" in by else (math.inf,):
+        scoring.score_backfill(*args, chunk_size=chunk_size, all_places=True, dry_run=True)
+        scoring.score_backfill(*args, chunk_size=chunk_size, all_places=True)
+        stored = table.read(spark)
+        assert stored.count() == kept.count() == 6 * 24 + 5
+        assert stored.exceptAll(kept).isEmpty()
+
+
 def test_backfill_goes_on_by_recorded_chunks(spark, inputs, tmp_path, monkeypatch):
     model = fixed_model(("hour", 12.0), ("x", 0.0), ("traffic_volume", 150.0))
     table = tables(str(tmp_path)).on_grid
