@@ -137,7 +137,7 @@ def score_backfill(
     if not needed <= set(table.partition_by):
         raise ValueError(f"{table.path}: a backfill replaces partitions by {sorted(needed)}")
     hours = calendar.filter(time_range.predicate("date_time")) if time_range else calendar
-    runs = Table(f"{table.path.rstrip('/')}_runs", RUN_SCHEMA, ("run_id", "model_id", "chunk"))
+    runs = Table(f"{table.path.rstrip('/')}_runs", RUN_SCHEMA, ())
     done = set()
     if run_id is not None:
         recorded = runs.read(spark).filter((F.col("run_id") == run_id) & (F.col("model_id") == model_id))

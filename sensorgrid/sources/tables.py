@@ -9,6 +9,7 @@ writer per table at a time.
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -120,13 +121,20 @@ def dedupe_latest(df: DataFrame, key: Sequence[str], version: Sequence[str] = ()
 def merge_latest(
     old: DataFrame, new: DataFrame, key: Sequence[str], version: str | None = None
 ) -> DataFrame:
-    """Old and new rows with one row per key. New rows win, or with ``version`` the later one;
-    rows of the same version go to the new side."""
+    """Old and new rows. New rows win, or with ``version`` the later one; rows of the same version
+    go to the new side.
+
+    With ``version`` one row per key is left. Without one, old rows whose key is not among the new
+    ones pass as they are, and only the new rows are grouped; few new keys are broadcast, and then
+    the old rows are not shuffled. ``key`` is never NULL in ``new``.
+    """
+    if not version:
+        kept = old.join(new.select(*key), list(key), "left_anti")
+        return kept.unionByName(dedupe_latest(new.select(*old.columns), key))
     both = old.withColumn("_side", F.lit(0)).unionByName(
         new.select(*old.columns).withColumn("_side", F.lit(1))
     )
-    order = [version, "_side"] if version else ["_side"]
-    return dedupe_latest(both, key, order).drop("_side")
+    return dedupe_latest(both, key, [version, "_side"]).drop("_side")
 
 
 def _write(df: DataFrame, table: Table, mode: str) -> None:
@@ -149,19 +157,51 @@ def _partitions_of(stored: DataFrame, rows: DataFrame, table: Table) -> DataFram
     The partition values, unless they are very many, also go into a filter, so that the other
     partitions are not even listed for the scan.
     """
-    touched = table.place(rows).select(*table.partition_by).distinct()
+    return _within(stored, table.place(rows).select(*table.partition_by).distinct(), table)
+
+
+def _within(stored: DataFrame, touched: DataFrame, table: Table) -> DataFrame:
+    """Stored rows in the partitions named by ``touched``, each once."""
     values = touched.limit(PRUNED_PARTITIONS + 1).collect()
+    if any(part is None for v in values for part in v):
+        raise ValueError(f"{table.path}: NULL in the key {table.key}")
     if len(values) <= PRUNED_PARTITIONS:
         for name in table.partition_by:
             stored = stored.filter(F.col(name).isin(sorted({v[name] for v in values})))
     return stored.join(touched, list(table.partition_by), "left_semi").select(*table.columns)
 
 
+_APPEND = "append_id"
+
+
+def _appends(table: Table) -> Table:
+    """The record of appends beside a table: a folder for each, with the partitions it touched."""
+    kinds = {f.name: f.dataType.simpleString() for f in table.struct}
+    columns = [f"{_APPEND} string", *[f"{name} {kinds.get(name, 'int')}" for name in table.folders]]
+    return Table(f"{table.path.rstrip('/')}_appends", ", ".join(columns), (_APPEND,), (_APPEND,))
+
+
 def append(df: DataFrame, table: Table, dry_run: bool = False) -> None:
-    """Add rows. Rows with an existing key stay beside the old ones until ``compact``."""
+    """Add rows. Rows with an existing key stay beside the old ones until ``compact``.
+
+    The partitions that the rows fall into are recorded before the rows are added, so that a
+    broken-off append is known to ``compact`` as well. For that the rows are staged; a table
+    without a key, which is never compacted, takes them directly.
+    """
     require_columns(df, table.columns, table.path)
-    if not dry_run:
+    if dry_run:
+        return
+    if not table.key:
         _write(df, table, "append")
+        return
+    stage = Stage(df.sparkSession, "append")
+    try:
+        rows = stage.put(df.select(*table.columns))
+        touched = table.place(rows).select(*table.folders).distinct()
+        _write(touched.withColumn(_APPEND, F.lit(f"append-{uuid.uuid4().hex}")), _appends(table), "append")
+        _write(rows, table, "append")
+    finally:
+        stage.clear()
 
 
 def upsert_latest(df: DataFrame, table: Table, dry_run: bool = False) -> None:
@@ -205,17 +245,38 @@ def rewrite_without(stored: DataFrame, kept: DataFrame, table: Table) -> None:
 
 
 def compact(
-    spark: SparkSession, table: Table, within: Mapping[str, object] | None = None
+    spark: SparkSession, table: Table, within: Mapping[str, object] | None = None, recorded: bool = True
 ) -> None:
     """Remove superseded rows left by appends. Partitions without any are not rewritten.
 
-    ``within`` limits the work to given values of partition columns.
+    Only partitions that an append has touched since the last compaction are read, by the record
+    that ``append`` keeps beside the table; a table without such records is done at once.
+    ``recorded=False`` reads all partitions, for tables that something else has written into.
+    ``within`` limits the work to given values of partition columns. A record is deleted when all
+    its partitions are done, so a compaction that breaks off can be repeated.
     """
-    stored = table.scan(spark)
-    for name, value in (within or {}).items():
+    within = within or {}
+    for name in within:
         if name not in table.partition_by:
             raise ValueError(f"{table.path}: {name!r} is not a partition column")
-        stored = stored.filter(F.col(name) == value)
+    stored, record = table.scan(spark), _appends(table)
+    noted = record.read(spark)
+    done = [r[_APPEND] for r in noted.select(_APPEND).distinct().collect()]
+    for name, value in within.items():
+        stored, noted = stored.filter(F.col(name) == value), noted.filter(F.col(name) == value)
+    if recorded:
+        if noted.isEmpty():
+            return
+        if table.partition_by:
+            stored = _within(stored, noted.select(*table.partition_by).distinct(), table)
+    _drop_superseded(stored, table)
+    if not within:
+        for append_id in done:
+            remove_path(spark, f"{record.path}/{_APPEND}={append_id}")
+
+
+def _drop_superseded(stored: DataFrame, table: Table) -> None:
+    """Rewrite those partitions of ``stored`` in which a key has several rows."""
     require_key(stored, table)
     repeated = stored.groupBy(*table.key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
     if repeated.isEmpty():
@@ -223,7 +284,7 @@ def compact(
     if table.partition_by:
         stored = _partitions_of(stored, repeated.withColumns(_nulls(table)), table)
     version = [table.version] if table.version else []
-    _rewrite(dedupe_latest(stored, table.key, version), table)
+    _rewrite(dedupe_latest(stored.select(*table.columns), table.key, version), table)
 
 
 def _nulls(table: Table) -> dict:
@@ -237,6 +298,7 @@ def truncate(spark: SparkSession, table: Table) -> None:
     writer.option("partitionOverwriteMode", "static").partitionBy(*table.folders).parquet(
         table.path
     )
+    remove_path(spark, _appends(table).path)
 
 
 @dataclass(frozen=True)
@@ -293,7 +355,7 @@ def copy_table(spark: SparkSession, root: str, spec: TransferSpec, dry_run: bool
         return rows
     except Exception:
         if not dry_run:
-            compact(spark, target)
+            compact(spark, target, recorded=False)
         raise
 
 

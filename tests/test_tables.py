@@ -77,6 +77,91 @@ def test_compact_within_a_partition(spark, table):
         tb.compact(spark, table, {"y": 1})
 
 
+def records(tmp_path):
+    return list((tmp_path / "t_appends").glob("append_id=*"))
+
+
+def test_compaction_reads_only_what_appends_have_touched(spark, table, tmp_path):
+    tb.upsert_latest(frame(spark, (1, 1, 1.0), (2, 1, 3.0), (3, 1, 4.0)), table)
+    tb.append(frame(spark, (2, 1, 5.0), (2, 2, 6.0)), table)
+    tb.append(frame(spark, (3, 2, 7.0)), table)
+    assert len(records(tmp_path)) == 2
+    for file in (tmp_path / "t" / "x=1").glob("*.parquet"):
+        file.write_bytes(b"not read")
+        (file.parent / f".{file.name}.crc").unlink(missing_ok=True)
+    tb.compact(spark, table)
+    rest = table.read(spark).filter("x > 1")
+    assert sorted(tuple(r) for r in rest.collect()) == [(2, 1, 5.0), (2, 2, 6.0), (3, 1, 4.0), (3, 2, 7.0)]
+    assert records(tmp_path) == []
+    before = sorted(p.name for p in (tmp_path / "t").rglob("*.parquet"))
+    tb.compact(spark, table)
+    assert sorted(p.name for p in (tmp_path / "t").rglob("*.parquet")) == before
+
+
+def test_an_append_that_breaks_off_is_recorded(spark, table, tmp_path, monkeypatch):
+    tb.append(frame(spark, (1, 1, 1.0)), table)
+    tb.compact(spark, table)
+    real = tb._write
+
+    def broken(df, into, mode):
+        real(df, into, mode)
+        if into.path == table.path:
+            raise OSError("lost")
+
+    monkeypatch.setattr(tb, "_write", broken)
+    with pytest.raises(OSError, match="lost"):
+        tb.append(frame(spark, (1, 1, 2.0)), table)
+    monkeypatch.undo()
+    assert contents(spark, table) == [(1, 1, 1.0), (1, 1, 2.0)]
+    tb.compact(spark, table)
+    assert contents(spark, table) == [(1, 1, 2.0)]
+
+
+def test_compaction_within_a_partition_keeps_the_record_of_the_others(spark, table, tmp_path):
+    for value in (1.0, 2.0):
+        tb.append(frame(spark, (1, 1, value), (2, 1, value)), table)
+    tb.compact(spark, table, {"x": 1})
+    assert contents(spark, table) == [(1, 1, 2.0), (2, 1, 1.0), (2, 1, 2.0)] and len(records(tmp_path)) == 2
+    tb.compact(spark, table)
+    assert contents(spark, table) == [(1, 1, 2.0), (2, 1, 2.0)] and records(tmp_path) == []
+
+
+@pytest.mark.parametrize("partition_by", [("x",), ()])
+def test_rows_that_something_else_wrote_are_compacted_on_request(spark, tmp_path, partition_by):
+    table = tb.Table(str(tmp_path / "t"), SCHEMA, ("x", "y"), partition_by)
+    for value in (1.0, 2.0):
+        tb._write(frame(spark, (1, 1, value)), table, "append")
+    tb.compact(spark, table)
+    assert contents(spark, table) == [(1, 1, 1.0), (1, 1, 2.0)]
+    tb.compact(spark, table, recorded=False)
+    assert contents(spark, table) == [(1, 1, 2.0)]
+
+
+def test_null_keys_in_appends_are_refused_by_compaction(spark, table):
+    for row in ((None, 1, 1.0), (1, None, 1.0)):
+        tb.append(frame(spark, row), table)
+        with pytest.raises(ValueError, match="NULL in the key"):
+            tb.compact(spark, table)
+
+
+def test_an_upsert_neither_sorts_nor_shuffles_the_old_rows(spark, tmp_path):
+    for name, rows in (("old", 10_000), ("new", 10)):
+        data = spark.range(rows).select(F.col("id").alias("x"), F.col("id").alias("y"), F.rand(1).alias("v"))
+        data.write.parquet(str(tmp_path / name))
+    old, new = (spark.read.parquet(str(tmp_path / name)) for name in ("old", "new"))
+    merged = tb.merge_latest(old, new, ("x", "y"))
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+    assert plan.count("Exchange hashpartitioning") == 1  # of the new rows
+    assert merged.count() == 10_000
+
+
+def test_repeated_new_rows_give_one_row(spark, table):
+    tb.upsert_latest(frame(spark, (1, 1, 1.0), (1, 2, 9.0)), table)
+    tb.upsert_latest(frame(spark, (1, 1, 2.0), (1, 1, None), (1, 1, 3.0), (1, 1, 3.0)), table)
+    assert contents(spark, table) == [(1, 1, 3.0), (1, 2, 9.0)]
+
+
 def test_many_partitions_are_found_by_the_join_alone(spark, table, monkeypatch):
     monkeypatch.setattr(tb, "PRUNED_PARTITIONS", 1)
     tb.upsert_latest(frame(spark, (1, 1, 1.0), (2, 1, 3.0), (3, 1, 4.0)), table)
