@@ -48,6 +48,7 @@ def _sketches(slots: int):
     blocks = slots // _BLOCK
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _held_bitmaps.clear()  # a worker process that is used again may hold an earlier sketch
         held: list[list[np.ndarray]] = [[] for _ in range(SKETCH_ROWS)]
         size = seen = 0
 
@@ -121,6 +122,7 @@ def _merged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     A task holds its own blocks only, 256 KiB each, however many parts sent one.
     """
+    _held_bitmaps.clear()
     blocks: dict[int, list[np.ndarray]] = {}
     for batch in batches:
         for k in range(len(batch)):
