@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,3 +38,11 @@ def packed(df: DataFrame, *columns: str) -> DataFrame:
 def digest_of_spans(spans: Column) -> Column:
     """Lowercase hex SHA-256 of an array of texts, comma-joined."""
     return F.sha2(F.array_join(spans, ",").cast("binary"), 256)
+
+
+def give_back_memory() -> None:
+    """Hands memory that a task has freed back to the machine, so that a worker process kept for later tasks is small."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)

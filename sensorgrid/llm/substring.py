@@ -14,7 +14,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorgrid.llm.common import staged
+from sensorgrid.llm.common import give_back_memory, staged
 from sensorgrid.llm.windows import MULTIPLIERS, WordRuns, column_groups, words_of
 from sensorgrid.session import ship_package
 
@@ -71,7 +71,7 @@ def _sketches(slots: int):
                     [pa.array((some + row * blocks).astype(np.int32)), *(pa.array(c, pa.binary()) for c in columns)],
                     ["block", "once", "more"],
                 )
-            pa.default_memory_pool().release_unused()
+            give_back_memory()
 
         for batch in batches:
             for start, end, texts in column_groups(batch.column("text").cast(pa.binary())):
@@ -139,6 +139,8 @@ def _merged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([block], pa.int32()), pa.array([_coded(places)], pa.binary())], ["block", "more"]
             )
+    blocks.clear()
+    give_back_memory()
 
 
 def repeated_slots(docs: DataFrame, max_slots: int = MAX_SLOTS) -> tuple[int, list[tuple[int, bytes]]]:
@@ -236,6 +238,8 @@ def _flagged(name: str, slots: int, shared: Broadcast):
                     ],
                     names,
                 )
+            del hi, lo, ids, marks, pos
+            give_back_memory()
 
         names = [part.split()[0] for part in _FLAGGED.split(", ")]
         for batch in batches:
@@ -295,6 +299,8 @@ def repeated_windows(docs: DataFrame, max_slots: int = MAX_SLOTS) -> DataFrame:
 
 def _spans(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Window places of a document as spans of words, [start, end) in turn."""
+    _held_bitmaps.clear()
+    give_back_memory()
     for batch in batches:
         spans = []
         columns = (batch.column(k).to_pylist() for k in ("single", "many"))
@@ -311,6 +317,8 @@ def _spans(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _without(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words kept of each text: their count before, the count removed, and the text that stays."""
+    _held_bitmaps.clear()
+    give_back_memory()
     for batch in batches:
         n_words, n_removed, kept = [], [], []
         texts = batch.column("text").cast(pa.binary()).to_pylist()
@@ -334,6 +342,7 @@ def _without(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ],
             ["doc_id", "n_words", "n_removed", "kept"],
         )
+    give_back_memory()
 
 
 def remove_repeats(docs: DataFrame, max_slots: int = MAX_SLOTS) -> DataFrame:
