@@ -179,9 +179,10 @@ def ship_package(spark: SparkSession) -> None:
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS, rows: int | None = None) -> DataFrame:
     """Mark ``df`` for broadcast if it has at most ``max_rows`` rows, counted now if not known.
 
-    Above the bound ``df`` comes back unmarked and the join is left to Catalyst: a sort-merge
-    join, in which adaptive execution splits skewed partitions.
+    Above the bound ``df`` is marked for a sort-merge join, in which adaptive execution splits
+    skewed partitions. Left to itself Catalyst would go by the size of the files, and regular keys
+    are stored in so few bytes that it would broadcast many millions of them.
     """
     if rows is None:
         rows = df.count()
-    return F.broadcast(df) if rows <= max_rows else df
+    return F.broadcast(df) if rows <= max_rows else df.hint("merge")

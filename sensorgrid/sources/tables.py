@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sensorgrid.schemas import SCHEMAS, require_columns
-from sensorgrid.session import Stage, remove_path
+from sensorgrid.session import Stage, remove_path, small_side
 
 log = logging.getLogger(__name__)
 
@@ -125,11 +125,11 @@ def merge_latest(
     go to the new side.
 
     With ``version`` one row per key is left. Without one, old rows whose key is not among the new
-    ones pass as they are, and only the new rows are grouped; few new keys are broadcast, and then
-    the old rows are not shuffled. ``key`` is never NULL in ``new``.
+    ones pass as they are, and only the new rows are grouped; few new keys, by their counted number,
+    are broadcast, and then the old rows are not shuffled. ``key`` is never NULL in ``new``.
     """
     if not version:
-        kept = old.join(new.select(*key), list(key), "left_anti")
+        kept = old.join(small_side(new.select(*key)), list(key), "left_anti")
         return kept.unionByName(dedupe_latest(new.select(*old.columns), key))
     both = old.withColumn("_side", F.lit(0)).unionByName(
         new.select(*old.columns).withColumn("_side", F.lit(1))

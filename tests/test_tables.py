@@ -156,6 +156,16 @@ def test_an_upsert_neither_sorts_nor_shuffles_the_old_rows(spark, tmp_path):
     assert merged.count() == 10_000
 
 
+def test_many_new_keys_are_not_broadcast_however_few_bytes_they_take(spark, tmp_path):
+    """A million regular keys are a file of few bytes, but too much for the driver."""
+    data = spark.range(0, 1_000_000, 1, 1)
+    data = data.selectExpr("id DIV 1000000 AS x", "bigint(id DIV 1000) AS y", "id % 1000 AS z", "1D AS v")
+    data.write.parquet(str(tmp_path / "new"))
+    new = spark.read.parquet(str(tmp_path / "new"))
+    plan = tb.merge_latest(new, new, ("x", "y", "z"))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_repeated_new_rows_give_one_row(spark, table):
     tb.upsert_latest(frame(spark, (1, 1, 1.0), (1, 2, 9.0)), table)
     tb.upsert_latest(frame(spark, (1, 1, 2.0), (1, 1, None), (1, 1, 3.0), (1, 1, 3.0)), table)
