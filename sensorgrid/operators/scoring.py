@@ -13,6 +13,7 @@ from sensorgrid.functions.expressions import round_half_even
 from sensorgrid.functions.timeparts import TimeRange
 from sensorgrid.operators.boosting import BoostedModel, predict
 from sensorgrid.operators.features import feature_frame
+from sensorgrid.session import small_side
 from sensorgrid.sources.tables import MONTH, Table, append, replace_partitions, rewrite_without, upsert_latest
 
 log = logging.getLogger(__name__)
@@ -65,12 +66,16 @@ def score(
 
 
 def _stored_near(model_id: int, hours: DataFrame, table: Table) -> DataFrame:
-    """A model's stored rows in the months of ``hours``."""
+    """A model's stored rows in the months of ``hours``.
+
+    The months are broadcast, few as they are: a shuffle by them would bring all rows of a month
+    into one task.
+    """
     stored = table.scan(hours.sparkSession).filter(F.col("model_id") == model_id)
     if MONTH in table.partition_by:
         when = F.col("date_time")
         months = hours.select((F.year(when) * 100 + F.month(when)).cast("int").alias(MONTH)).distinct()
-        stored = stored.join(months, MONTH, "left_semi")
+        stored = stored.join(F.broadcast(months), MONTH, "left_semi")
     return stored
 
 
@@ -82,13 +87,16 @@ def _replace(
     Only partitions that the new rows touch are replaced. Rows of them that this run doesn't
     score, such as hours of a month that the range begins or ends in, are carried over. They are
     found by the hours and the places, not by matching keys of the whole product. With
-    ``all_places`` there are no other places, and their rows of these hours go.
+    ``all_places`` there are no other places, and their rows of these hours go. Hours, places and
+    x coordinates are broadcast while they are few, so that the stored rows are not shuffled by
+    keys of few values.
     """
     stored = _stored_near(model_id, hours, table)
     if "x" in table.partition_by:
-        stored = stored.join(locations.select("x").distinct(), "x", "left_semi")
+        stored = stored.join(small_side(locations.select("x").distinct()), "x", "left_semi")
     if not stored.isEmpty():
-        hours, places = hours.select("date_time"), locations.select("x", "y")
+        hours = small_side(hours.select("date_time").distinct())
+        places = small_side(locations.select("x", "y").distinct())
         kept = [stored.join(hours, "date_time", "left_anti")]
         if not all_places:
             kept.append(stored.join(hours, "date_time", "left_semi").join(places, ["x", "y"], "left_anti"))
@@ -100,8 +108,9 @@ def _replace(
 def _remove_departed(locations: DataFrame, hours: DataFrame, model_id: int, table: Table) -> None:
     """Take out a model's rows of ``hours`` in partitions by ``x`` where no location is left."""
     stored = _stored_near(model_id, hours, table)
-    departed = stored.join(locations.select("x").distinct(), "x", "left_anti")
-    rewrite_without(departed, departed.join(hours.select("date_time"), "date_time", "left_anti"), table)
+    departed = stored.join(small_side(locations.select("x").distinct()), "x", "left_anti")
+    hours = small_side(hours.select("date_time").distinct())
+    rewrite_without(departed, departed.join(hours, "date_time", "left_anti"), table)
 
 
 RUN_SCHEMA = "run_id string, model_id bigint, chunk int, keys string"

@@ -163,6 +163,26 @@ def test_backfill_replaces_what_is_stored(spark, inputs, tmp_path, chunk_size):
         assert stored.exceptAll(whole.unionByName(others)).isEmpty()
 
 
+def test_stored_rows_are_not_shuffled_by_keys_of_few_values(spark, inputs, tmp_path, monkeypatch):
+    """Whatever Catalyst thinks of the sizes: all rows of a month or a column would meet in one task."""
+    model = fixed_model(("hour", 12.0), ("x", 0.0), ("traffic_volume", 150.0))
+    table = tables(str(tmp_path)).on_grid
+    span = TimeRange.half_open("2019-01-05", "2019-01-06")
+    args = (ft.grid_locations(inputs.cells), inputs.calendar, inputs.sides, model, 4, table, span)
+    scoring.score_backfill(*args)
+    plans, real = [], scoring.replace_partitions
+    monkeypatch.setattr(scoring, "replace_partitions", lambda new, to: (plans.append(new), real(new, to)))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        scoring.score_backfill(*args)
+        plan = plans[0]._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    joins = [line for line in plan.splitlines() if "LeftSemi" in line or "LeftAnti" in line]
+    assert joins and all("BroadcastHashJoin" in line for line in joins)
+
+
 @pytest.mark.parametrize("by", [("model_id", "month", "x"), ("model_id", "x"), ("model_id", "month")])
 def test_cells_that_left_the_grid_go(spark, inputs, tmp_path, by):
     """A cell of a column that is still there, and a column as a whole; other hours and models stay."""
