@@ -407,11 +407,12 @@ def hour_coverage(
     ``hours`` are the calendar rows wanted, ``cells`` the places. A cell's hours are bits, one number
     for each 32 hours, merged by ``bit_or`` before anything is shuffled: a repeated row sets a bit
     that is set already, so it can't stand in for one that is missing, as in a count of rows. Rows
-    of other cells or hours do not count. Every cell comes back, also one without any row.
+    of other cells or hours do not count. Every cell comes back, also one without any row. The first
+    gap is found in one pass over a cell's words beside the wanted ones.
     """
     since = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     number = F.timestamp_diff("HOUR", since, F.col(ts)).alias("_hour")
-    wanted = hours.select(F.col(ts)).distinct().select(number)
+    wanted = hours.select(F.col(ts)).distinct().select(number).filter("_hour IS NOT NULL")
     word, bit = F.floor(F.col("_hour") / 32).alias("_word"), F.pmod(F.col("_hour"), F.lit(32)).cast("int")
     one = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)
     words = wanted.groupBy(word).agg(F.bit_or(one).alias("_wanted"))
@@ -421,26 +422,35 @@ def hour_coverage(
         .groupBy("x", "y", word)
         .agg(F.bit_or(one).alias("_seen"), F.sum(F.lit(1)).alias("_rows"))
     )
-    # one row for each cell: its words side by side, as many as the hours wanted have
-    held = seen.join(words, "_word").groupBy("x", "y").agg(
+    # one row for each cell: its words side by side, in the order of time
+    here = F.col("_seen").bitwiseAND(F.col("_wanted"))
+    lacking = F.col("_wanted").bitwiseAND(F.bitwise_not(F.col("_seen")))
+    held = seen.join(F.broadcast(words), "_word").groupBy("x", "y").agg(
         F.sum("_rows").alias("n_rows"),
-        F.sum(F.bit_count(F.col("_seen").bitwiseAND(F.col("_wanted")))).cast("bigint").alias("n_hours"),
-        F.map_from_entries(
-            F.collect_list(F.struct("_word", F.col("_seen").bitwiseAND(F.col("_wanted"))))
-        ).alias("_seen"),
+        F.sum(F.bit_count(here)).cast("bigint").alias("n_hours"),
+        F.array_sort(F.collect_list(F.struct("_word", lacking.alias("_lacking")))).alias("_held"),
     )
     total = words.agg(F.sum(F.bit_count("_wanted")).cast("bigint").alias("n")).scalar()
     list_ = words.agg(F.array_sort(F.collect_list(F.struct("_word", "_wanted"))).alias("words")).scalar()
 
-    def gap(w: Column) -> Column:
-        """The first missing hour of a word; its bits are looked up in order."""
-        missing = w["_wanted"].bitwiseAND(F.bitwise_not(F.coalesce(F.col("_seen")[w["_word"]], F.lit(0).cast("bigint"))))
-        lowest = missing.bitwiseAND(-missing)
-        return F.when(missing != 0, w["_word"] * 32 + F.bit_count(lowest - 1))
+    def first_of(word: Column, bits: Column) -> Column:
+        """The first of some hours of a word."""
+        return word * 32 + F.bit_count(bits.bitwiseAND(-bits) - 1)
+
+    def gap(held: Column, place: Column) -> Column:
+        """What a cell's word tells of missing hours: some are missing in it, or the wanted word of
+        the same place stands before it, so that one up to that place is missing altogether."""
+        wanted = F.get("_words", place)
+        return F.when(held["_word"] > wanted["_word"], first_of(wanted["_word"], wanted["_wanted"])).when(
+            held["_lacking"] != 0, first_of(held["_word"], held["_lacking"])
+        )
 
-    first = F.array_min(F.transform(F.coalesce("_words", F.array().cast("array<struct<_word:bigint,_wanted:bigint>>")), gap))
     out = places.join(held, ["x", "y"], "left").withColumns({"_total": F.coalesce(total, F.lit(0)), "_words": list_})
-    out = out.withColumn("_seen", F.coalesce("_seen", F.map_from_arrays(F.array().cast("array<bigint>"), F.array().cast("array<bigint>"))))
+    # a cell's words are some of those wanted, so the two lists agree up to its first missing word
+    out = out.withColumn("_after", F.get("_words", F.when(F.col("_held").isNull(), 0).otherwise(F.size("_held"))))
+    first = F.least(
+        F.array_min(F.transform("_held", gap)), first_of(F.col("_after._word"), F.col("_after._wanted"))
+    )
     n_hours = F.coalesce("n_hours", F.lit(0))
     return out.select(
         "x",

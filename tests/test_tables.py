@@ -331,3 +331,25 @@ def test_repeated_rows_do_not_cover_gaps(spark):
     assert whole["all_preds_arrived"] and whole["cells"] == 1 and whole["n_missing"] == 0
     assert tb.covered(tb.hour_coverage(stored, cells, wanted.limit(0))).first()["all_preds_arrived"]
     assert tb.hour_coverage(stored, cells.limit(0), wanted).count() == 0
+
+
+def test_first_gaps_at_any_place(spark):
+    """Against a plain search, in hours that leave out words: before, inside, between and after the words a cell has."""
+    start = datetime(1969, 12, 25, 5)
+    hours = [start + timedelta(hours=k) for k in [*range(0, 100), *range(230, 300), 640, 641, 1000]]
+    n = len(hours)
+    missing = {0: [], 1: [0], 2: [n - 1], 3: range(n), 4: range(0, 60), 5: [50], 6: range(40, n), 7: range(1, n), 8: range(100, 170)}
+    missing |= {9: [170, 171], 10: [*range(30, 75), 99], 11: range(0, n - 1), 12: [*range(75, 170), n - 1], 13: [3, 160]}
+    rows = [(h, c, 0) for c, gone in missing.items() for k, h in enumerate(hours) if k not in gone]
+    stored = spark.createDataFrame(rows, "date_time timestamp_ntz, x bigint, y bigint")
+    cells = spark.createDataFrame([(c, 0) for c in missing], "x bigint, y bigint")
+    wanted = spark.createDataFrame([(h,) for h in [None, *hours]], "date_time timestamp_ntz")
+    got = {r["x"]: (r["n_hours"], r["n_missing"], r["first_missing"]) for r in tb.hour_coverage(stored, cells, wanted).collect()}
+    assert got == {c: (n - len(g), len(g), hours[min(g)] if len(g) else None) for c, g in missing.items()}
+
+
+def test_a_gap_is_not_looked_up_word_by_word(spark):
+    """A look-up in a map walks through it, so the work of a cell would grow with the square of its words."""
+    stored = spark.sql("SELECT timestamp_ntz'2024-01-01 00:00:00' AS date_time, 1L AS x, 1L AS y")
+    plan = tb.hour_coverage(stored, stored, stored)._jdf.queryExecution().optimizedPlan().toString()
+    assert "map" not in plan.lower()
