@@ -23,8 +23,10 @@ from sensorgrid.session import cut_lineage, small_side
 
 # Tiles of 2^22 fixed-point units (about 42 degrees) and, where a tile holds more than ``TILE_CELLS``
 # cells, its parts of a quarter the side, down to one unit. The whole globe has 5 × 9 top tiles.
-TILE_CELLS = 1024
+TILE_CELLS = 16
+POINTS_PER_TASK = 50_000
 _TOP, _STEP = 22, 2
+_LEVELS = range(_TOP, -1, -_STEP)
 _TOP_ROWS = (180 * DEGREE_SCALE >> _TOP) + 1
 _TOP_COLS = (360 * DEGREE_SCALE >> _TOP) + 1
 _SLACK_M = 0.01  # keeps every cell that could win after rounding to millimetres
@@ -45,36 +47,35 @@ _FAR = """
     * pow(sin(radians(least(greatest(abs(lon - lon_lo), abs(lon - lon_hi)), 180D)) / 2), 2)"""
 
 
-def _place(level: int) -> tuple:
-    """Row and column of the tile of that level in which a cell lies."""
-    row = F.shiftright(F.col("lat_int") + 90 * DEGREE_SCALE, level)
-    return row.alias("row"), F.shiftright(F.col("lon_int") + 180 * DEGREE_SCALE, level).alias("col")
-
-
-def _quadtree(cells: DataFrame, tile_cells: int) -> tuple[DataFrame, list[tuple[int, DataFrame]]]:
-    """Cells with the tile they end in (leaf level, row, col), and the tiles level by level.
+def _quadtree(cells: DataFrame, tile_cells: int) -> tuple[DataFrame, DataFrame]:
+    """Cells with the tile they end in (leaf level, row, col), and the tiles of all levels.
 
     A tile has its place, the extent of its cells in degrees, and ``leaf``: whether its cells are
-    few enough, or all at one place, to be looked at one by one. Only the cells of larger tiles go
-    on to the next level, so the levels grow with the crowding of the most crowded place.
+    few enough, or all at one place, to be looked at one by one. Only larger tiles have parts. The
+    tiles are counted at all levels in one pass, combined before the shuffle, and of cells at one
+    place only the smallest is kept, which is the one that can be nearest.
     """
     ends = [
         agg(degrees(f"{c}_int")).alias(f"{c}_{end}")
         for c in ("lat", "lon") for end, agg in (("lo", F.min), ("hi", F.max))
     ]
-    open_cells, level, leaves, tiles = cells, _TOP, [], []
-    while True:
-        placed = open_cells.select("x", "y", "lat_int", "lon_int", *_place(level))
-        found = placed.groupBy("row", "col").agg(F.count(F.lit(1)).alias("n"), *ends)
-        leaf = (F.col("n") <= tile_cells) | F.lit(level == 0)
-        found = cut_lineage(found.withColumn("leaf", leaf))
-        tiles.append((level, found))
-        marked = placed.join(found.select("row", "col", "leaf"), ["row", "col"])
-        leaves.append(marked.filter("leaf").drop("leaf").withColumn("level", F.lit(level)))
-        if found.filter(~F.col("leaf")).isEmpty():
-            return cut_lineage(reduce(DataFrame.unionByName, leaves)), tiles
-        open_cells = cut_lineage(marked.filter(~F.col("leaf")).select("x", "y", "lat_int", "lon_int"))
-        level -= min(_STEP, level)
+    spots = cells.groupBy("lat_int", "lon_int").agg(F.min(F.struct("x", "y")).alias("cell"))
+    spots = cut_lineage(spots.select("cell.x", "cell.y", "lat_int", "lon_int"))
+    placed = spots.withColumn("level", F.explode(F.array(*[F.lit(n) for n in _LEVELS]))).select(
+        "*",
+        F.expr(f"shiftright(lat_int + {90 * DEGREE_SCALE}, level)").alias("row"),
+        F.expr(f"shiftright(lon_int + {180 * DEGREE_SCALE}, level)").alias("col"),
+    )
+    counted = placed.groupBy("level", "row", "col").agg(F.count(F.lit(1)).alias("n"), *ends)
+    whole = F.col("n") <= tile_cells
+    counted = cut_lineage(counted.select("*", (whole | (F.col("level") == 0)).alias("leaf")))
+    parted = counted.filter("NOT leaf").selectExpr(f"level - {_STEP} AS level", "row AS up_row", "col AS up_col")
+    up = [F.shiftright(c, _STEP).alias(f"up_{c}") for c in ("row", "col")]
+    tiles = counted.drop("n").select("*", *up)
+    top = tiles.filter(F.col("level") == _TOP)
+    tiles = cut_lineage(top.unionByName(tiles.join(parted, ["level", "up_row", "up_col"], "left_semi")))
+    ends_in = small_side(tiles.filter("leaf").select("level", "row", "col"))
+    return cut_lineage(placed.join(ends_in, ["level", "row", "col"])), tiles
 
 
 def nearest_cell(points: DataFrame, cells: DataFrame, tile_cells: int = TILE_CELLS) -> DataFrame:
@@ -87,46 +88,50 @@ def nearest_cell(points: DataFrame, cells: DataFrame, tile_cells: int = TILE_CEL
     Exact search from coarse to fine tiles of a quadtree that is as deep as the cells are crowded:
     at each level a tile stays in the running for a point only if its nearest possible cell is not
     beyond the farthest possible cell of the best tile. All steps are equi-joins on tiles. A point
-    meets the cells of a few leaves, of at most ``tile_cells`` cells each (more only at one and the
-    same place), and points at one position are searched once.
+    meets the cells of a few leaves, of at most ``tile_cells`` cells each, and points at one position
+    are searched once. Each level takes up the one before it a single time.
     """
     located = cells.select("x", "y", "lat_int", "lon_int").filter("lat_int IS NOT NULL AND lon_int IS NOT NULL")
     leaves, tiles = _quadtree(located, tile_cells)
+    levels = sorted((r["level"] for r in tiles.select("level").distinct().collect()), reverse=True)
     at_place = Window.partitionBy("lat", "lon")
+    positions = points.select("lat", "lon").filter("lat IS NOT NULL AND lon IS NOT NULL").distinct()
+    positions = cut_lineage(positions)
+    tasks = max(2 * points.sparkSession.sparkContext.defaultParallelism, -(-positions.count() // POINTS_PER_TASK))
     running = (
-        points.select("lat", "lon")
-        .distinct()
-        .withColumn("tile", F.explode(F.sequence(F.lit(0), F.lit(_TOP_ROWS * _TOP_COLS - 1))))
-        .selectExpr("lat", "lon", f"tile DIV {_TOP_COLS} AS row", f"bigint(tile % {_TOP_COLS}) AS col")
+        positions.withColumn("tile", F.explode(F.sequence(F.lit(0), F.lit(_TOP_ROWS * _TOP_COLS - 1))))
+        .selectExpr("lat", "lon", f"{_TOP} AS to_level", f"tile DIV {_TOP_COLS} AS to_row", f"bigint(tile % {_TOP_COLS}) AS to_col")
     )
-    for k, (level, found) in enumerate(tiles):
-        inside = found.drop("n")
-        if k == 0:
-            asked = running.select("lat", "lon", "row", "col")
-            done = None
-        else:
-            above = tiles[k - 1][0] - level
-            up = {c: F.shiftright(c, above).alias(f"up_{c}") for c in ("row", "col")}
-            inside = inside.select("*", *up.values())
-            asked = running.filter("NOT leaf").selectExpr("lat", "lon", "row AS up_row", "col AS up_col")
-            done = running.filter("leaf")
-        met = asked.join(inside, ["row", "col"] if k == 0 else ["up_row", "up_col"]).select(
-            "lat", "lon", "row", "col", F.lit(level).alias("level"), "leaf",
+    place = ["to_level", "to_row", "to_col"]
+    extent = ["lat_lo", "lat_hi", "lon_lo", "lon_hi"]
+    for level in levels:
+        # a tile of this level is met from the tile it is a part of, a leaf above from itself
+        here = tiles.filter(F.col("level") == level)
+        above = tiles.filter(f"level > {level} AND leaf").selectExpr(
+            "level AS to_level", "row AS to_row", "col AS to_col", "level", "row", "col", "leaf", *extent
+        )
+        source = f"{_TOP} AS to_level, row AS to_row, col AS to_col" if level == _TOP else (
+            f"{level + _STEP} AS to_level, up_row AS to_row, up_col AS to_col"
+        )
+        ways = here.selectExpr(*source.split(", "), "level", "row", "col", "leaf", *extent).unionByName(above)
+        met = running.join(small_side(ways), place).select(
+            "lat", "lon", "level", "row", "col",
             metres(F.expr(_NEAR)).alias("near"), metres(F.expr(_FAR)).alias("far"),
         )
-        running = met if done is None else met.unionByName(done)
+        if level == _TOP:  # from here on a position stays in its task while tiles and leaves are broadcast
+            met = met.repartition(tasks, "lat", "lon")
         running = (
-            running.withColumn("best", F.min("far").over(at_place))
+            met.withColumn("best", F.min("far").over(at_place))
             .filter(F.col("near") <= F.col("best") + _SLACK_M)
-            .drop("best")
+            .selectExpr("lat", "lon", "level AS to_level", "row AS to_row", "col AS to_col")
         )
 
     distance = metres(
         haversine(F.col("lat"), F.col("lon"), degrees("lat_int"), degrees("lon_int"))
     )
+    leaves = leaves.selectExpr("level AS to_level", "row AS to_row", "col AS to_col", "x", "y", "lat_int", "lon_int")
     found = (
-        running.select("lat", "lon", "level", "row", "col")
-        .join(leaves, ["level", "row", "col"])
+        running.join(small_side(leaves), place)
         .groupBy("lat", "lon")
         .agg(F.min(F.struct(F.round(distance, 3).alias("dist_m"), "x", "y")).alias("near"))
         .select("lat", "lon", "near.x", "near.y", "near.dist_m")

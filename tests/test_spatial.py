@@ -76,6 +76,19 @@ def test_points_without_a_nearest_cell_stay(spark):
     assert none.count() == 4 and none.filter("x IS NOT NULL").isEmpty()
 
 
+def test_each_level_of_the_search_takes_up_the_one_before_once(spark):
+    """Also with more cells at one place than a tile may have, of which only the smallest can be nearest."""
+    cells = [(i, 0, 5_250_000 + i % 7, 1_340_000) for i in range(50)] + [(99, 0, 5_950_000, 1_340_000)]
+    points = [("a", 52.500021, 13.4), ("b", 59.4, 13.4)]
+    found = spatial.nearest_cell(
+        spark.createDataFrame(points, "bez string, lat double, lon double"),
+        spark.createDataFrame(cells, "x bigint, y bigint, lat_int bigint, lon_int bigint"),
+        tile_cells=2,
+    )
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Join ") <= 12 + 2  # levels, leaves, points
+    assert {r["bez"]: r["x"] for r in found.collect()} == {"a": 2, "b": 99}
+
+
 @pytest.fixture(scope="module")
 def streets(spark):
     cell_streets = spark.createDataFrame(
