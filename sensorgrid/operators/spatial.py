@@ -19,6 +19,7 @@ from sensorgrid.functions.expressions import (
 )
 from sensorgrid.functions.timeparts import LOCAL_TZ, TimeRange
 from sensorgrid.operators.calibrate import scaled_union
+from sensorgrid.operators.features import ROWS_PER_TASK
 from sensorgrid.session import cut_lineage, small_side
 
 # Tiles of 2^22 fixed-point units (about 42 degrees) and, where a tile holds more than ``TILE_CELLS``
@@ -162,15 +163,29 @@ def match_streets(
     )
 
 
+def _spread(rows: DataFrame, side: DataFrame, on: str) -> DataFrame:
+    """``rows`` dealt over as many tasks as their join with ``side`` needs by the rows it gives.
+
+    A few stored rows would otherwise be one task, however many rows each of them leads to. Both
+    tables are counted by ``on``, so they should be stored ones.
+    """
+    both = rows.groupBy(on).agg(F.count(F.lit(1)).alias("n")).join(side.groupBy(on).agg(F.count(F.lit(1)).alias("m")), on)
+    given = both.agg(F.sum(F.col("n") * F.col("m"))).first()[0] or 0
+    return rows.repartition(max(2 * rows.sparkSession.sparkContext.defaultParallelism, -(-given // ROWS_PER_TASK)))
+
+
 def cells_of_streets(matches: DataFrame, cell_streets: DataFrame) -> DataFrame:
-    """All cells of the matched street elements, one row per (match, cell)."""
+    """All cells of the matched street elements, one row per (match, cell).
+
+    The matches, a few per point, are staged, because their number decides how they are spread.
+    """
     cells = cell_streets.select(
         "element_nr", F.col("stadt_x").alias("x"), F.col("stadt_y").alias("y")
     )
+    named = cut_lineage(matches.filter(F.col("strname_match")).select("element_nr", "bez"))
     return (
-        matches.filter(F.col("strname_match"))
-        .select("element_nr", "bez")
-        .join(cells, "element_nr", "left")
+        _spread(named, cells, "element_nr")
+        .join(small_side(cells), "element_nr", "left")
         .select("element_nr", "bez", "x", "y")
     )
 

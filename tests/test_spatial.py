@@ -116,6 +116,17 @@ def test_street_matching(spark, streets):
     assert {(r["element_nr"], r["x"], r["y"]) for r in cells} == {("e1", 0, 0), ("e1", 0, 1)}
 
 
+def test_few_matches_of_many_cells_are_spread(spark, streets, monkeypatch):
+    """A handful of stored matches would be one task, however many cells each of them has."""
+    monkeypatch.setattr(spatial, "ROWS_PER_TASK", 2, raising=False)
+    matches = spark.createDataFrame(
+        [("e1", f"p{i}", True) for i in range(30)], "element_nr string, bez string, strname_match boolean"
+    )
+    out = spatial.cells_of_streets(matches, streets[0])
+    assert "Repartition 30, true" in out._jdf.queryExecution().optimizedPlan().toString()
+    assert out.count() == 60
+
+
 def test_comparison_at_points(spark, streets):
     """Two points name one element; a cell listed twice for an element counts twice."""
     cell_streets, names = streets
