@@ -210,7 +210,7 @@ def compare_at_points(
 
     The mean is the same for every point that names an element, so it is taken once per time and
     element, over the cells of matched elements only, and handed to the points afterwards. The
-    matches, a few per point, are staged because they are used twice.
+    matches, a few per point, and the means are staged because they are used twice.
     """
     matches = match_streets(nearest_cell(points, cell_coords), cell_streets, street_names)
     named = matches.filter(F.col("strname_match")).select("element_nr", "bez").distinct()
@@ -224,4 +224,6 @@ def compare_at_points(
         .groupBy("date_time", "element_nr")
         .agg(F.avg("pred").alias("pred"))
     )
-    return per_element.join(named, "element_nr").select("date_time", "element_nr", "bez", "pred")
+    per_element = cut_lineage(per_element)
+    handed = _spread(per_element, named, "element_nr").join(small_side(named), "element_nr")
+    return handed.select("date_time", "element_nr", "bez", "pred")
