@@ -161,14 +161,21 @@ def _partitions_of(stored: DataFrame, rows: DataFrame, table: Table) -> DataFram
 
 
 def _within(stored: DataFrame, touched: DataFrame, table: Table) -> DataFrame:
-    """Stored rows in the partitions named by ``touched``, each once."""
+    """Stored rows in the partitions named by ``touched``, each once.
+
+    The names are broadcast, few as they are: a shuffle by them would bring all rows of a partition
+    into one task.
+    """
     values = touched.limit(PRUNED_PARTITIONS + 1).collect()
     if any(part is None for v in values for part in v):
         raise ValueError(f"{table.path}: NULL in the key {table.key}")
     if len(values) <= PRUNED_PARTITIONS:
         for name in table.partition_by:
             stored = stored.filter(F.col(name).isin(sorted({v[name] for v in values})))
-    return stored.join(touched, list(table.partition_by), "left_semi").select(*table.columns)
+        names = F.broadcast(stored.sparkSession.createDataFrame(values, touched.schema))
+    else:
+        names = small_side(touched)
+    return stored.join(names, list(table.partition_by), "left_semi").select(*table.columns)
 
 
 _APPEND = "append_id"

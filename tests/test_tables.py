@@ -166,6 +166,23 @@ def test_many_new_keys_are_not_broadcast_however_few_bytes_they_take(spark, tmp_
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
 
 
+@pytest.mark.parametrize("pruned", [5_000, 1])
+def test_stored_rows_are_not_shuffled_by_their_partition(spark, tmp_path, monkeypatch, pruned):
+    """Whatever Catalyst thinks of the sizes: all rows of a partition would meet in one task."""
+    table = tb.Table(str(tmp_path / "t"), SCHEMA, ("x", "y"), ("x", "y"))
+    tb.upsert_latest(frame(spark, (1, 1, 1.0), (1, 2, 2.0), (2, 1, 3.0), (2, 2, 4.0)), table)
+    monkeypatch.setattr(tb, "PRUNED_PARTITIONS", pruned)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = tb._partitions_of(table.scan(spark), frame(spark, (1, 2, 0.0), (2, 1, 0.0), (2, 1, 9.0)), table)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert sorted(tuple(r) for r in found.collect()) == [(1, 2, 2.0), (2, 1, 3.0)]
+
+
 def test_repeated_new_rows_give_one_row(spark, table):
     tb.upsert_latest(frame(spark, (1, 1, 1.0), (1, 2, 9.0)), table)
     tb.upsert_latest(frame(spark, (1, 1, 2.0), (1, 1, None), (1, 1, 3.0), (1, 1, 3.0)), table)
